@@ -393,4 +393,204 @@ SELECT puuid, kda_decile, winrate_decile FROM player_performance"""
     q["mode_role"] = CHAMP + """
 SELECT champion_name, champion_id, most_played_role FROM champ_mode"""
 
+    q.update(_loading_queries())
+    q.update(_quality_queries())
+    return q
+
+
+DOCS = """
+doc_orders AS (
+  SELECT o.*,
+         (o.o_orderstatus = 'P' AND o.o_orderpriority = '5-LOW') AS is_empty,
+         (o.o_orderstatus = 'P' AND o.o_orderpriority = '4-NOT SPECIFIED') AS is_malformed,
+         EXISTS (SELECT 1 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+                 WHERE l.l_orderkey = o.o_orderkey) AS has_players
+  FROM orders o
+),
+valid_orders AS (
+  SELECT * FROM doc_orders WHERE NOT is_empty AND NOT is_malformed AND has_players
+)"""
+
+BATCH_LOADED = ("CASE WHEN v.o_orderdate < TIMESTAMP '1998-01-01' "
+                "THEN TIMESTAMP '2001-11-05' ELSE TIMESTAMP '2001-11-06' END")
+
+MATCH_COLS = ("r.match_id, r.game_creation, r.game_duration, r.game_mode, r.game_type, "
+              "r.game_version, r.platform_id, r.queue_id")
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" for x in r) + ")" for r in rows)
+
+
+def _loading_queries() -> dict[str, str]:
+    from ..sources.lookups import REGIONS, ROUTINGS
+    base = with_ctes(RAW, DOCS)
+    q: dict[str, str] = {}
+    q["incremental_load"] = base + f"""
+SELECT {MATCH_COLS}, {BATCH_LOADED} AS loaded_at
+FROM raw_matches r JOIN valid_orders v ON r.match_id = CAST(v.o_orderkey AS VARCHAR)"""
+
+    q["stream_incremental_load"] = base + f"""
+SELECT {MATCH_COLS}, TIMESTAMP '2001-11-07' AS loaded_at
+FROM raw_matches r JOIN valid_orders v ON r.match_id = CAST(v.o_orderkey AS VARCHAR)"""
+
+    q["explode_participants"] = base + f"""
+SELECT CAST(l.l_orderkey AS VARCHAR) AS match_id,
+       CAST(l.o_custkey AS VARCHAR) AS puuid,
+       CASE WHEN l.l_linenumber <= 4 THEN 'player_' || CAST(l.o_custkey AS VARCHAR)
+            WHEN l.l_linenumber BETWEEN 3 AND 6 THEN 'sn_' || CAST(l.o_custkey AS VARCHAR)
+            ELSE 'Unknown' END AS summoner_name,
+       CAST(CAST(substr(l.p_brand, 7, 10) AS INTEGER) * 100 + l.p_size AS INTEGER) AS champion_id,
+       l.p_brand || '_' || CAST(l.p_size AS VARCHAR) AS champion_name,
+       CAST(CASE WHEN l.l_linenumber % 2 = 1 THEN 100 ELSE 200 END AS INTEGER) AS team_id,
+       l.role_ AS role,
+       CASE WHEN l.role_ = 'JUNGLE' AND l.l_returnflag <> 'R' THEN 'JUNGLE' ELSE '' END AS lane,
+       CAST(floor(l.l_quantity) AS INTEGER) AS kills,
+       CAST(l.l_linenumber - 1 AS INTEGER) AS deaths,
+       CAST(round(l.l_discount * 100) AS INTEGER) AS assists,
+       CAST(floor(l.l_extendedprice) AS INTEGER) AS gold_earned,
+       CAST((l.l_partkey * 37 + l.l_suppkey) % 40000 AS INTEGER) AS total_damage_dealt,
+       CAST((l.l_suppkey * 91 + l.l_partkey) % 40000 AS INTEGER) AS total_damage_taken,
+       CAST(l.l_linenumber * 5 AS INTEGER) AS vision_score,
+       CAST(floor(l.l_quantity) AS INTEGER) * 4 AS cs,
+       l.l_linestatus = 'O' AS win,
+       {BATCH_LOADED} AS loaded_at
+FROM raw_lines l JOIN valid_orders v ON l.l_orderkey = v.o_orderkey"""
+
+    q["load_stats"] = base + """,
+lines2 AS (
+  SELECT * FROM doc_orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'
+  UNION ALL
+  SELECT * FROM doc_orders WHERE year(o_orderdate) = 1999
+),
+cls AS (
+  SELECT *, CASE WHEN is_malformed THEN 'error' WHEN is_empty THEN 'empty'
+                 WHEN NOT has_players THEN 'error' ELSE 'ok' END AS st
+  FROM lines2
+),
+v2 AS (SELECT DISTINCT o_orderkey, o_orderdate FROM cls WHERE st = 'ok'),
+players2 AS (
+  SELECT v2.o_orderkey, v2.o_orderdate, o.o_custkey
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN v2 ON l.l_orderkey = v2.o_orderkey
+)
+SELECT CAST(2 AS BIGINT) AS batch_id,
+       (SELECT count(*) FROM cls) AS matches_found,
+       (SELECT count(*) FROM v2 WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS matches_inserted,
+       CAST((SELECT count(*) FROM cls WHERE st = 'ok') - (SELECT count(*) FROM v2)
+            + (SELECT count(*) FROM v2 WHERE o_orderdate < TIMESTAMP '1998-01-01') AS BIGINT)
+         AS matches_skipped,
+       (SELECT count(*) FROM players2 WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+         AS participants_inserted,
+       (SELECT count(*) FROM cls WHERE st = 'error') AS errors,
+       (SELECT count(*) FROM cls WHERE st = 'empty') AS empty_documents,
+       (SELECT count(DISTINCT o_custkey) FROM players2) AS summoners_processed"""
+
+    q["anti_join_new_matches"] = with_ctes(RAW) + """
+SELECT n.match_id, n.game_creation, n.game_duration, n.game_mode, n.game_type,
+       n.game_version, n.platform_id, n.queue_id, n.loaded_at
+FROM raw_matches n
+WHERE n.loaded_at >= TIMESTAMP '1997-01-01'
+  AND NOT EXISTS (SELECT 1 FROM raw_matches e
+                  WHERE e.loaded_at < TIMESTAMP '1998-01-01' AND e.match_id = n.match_id)"""
+
+    q["latest_n_per_player"] = with_ctes(RAW) + """
+SELECT puuid, match_id, game_creation, CAST(rn AS INTEGER) AS rn FROM (
+  SELECT pm.puuid, m.match_id, m.game_creation,
+         row_number() OVER (PARTITION BY pm.puuid
+                            ORDER BY m.game_creation DESC, m.match_id ASC) AS rn
+  FROM (SELECT DISTINCT puuid, match_id FROM raw_participants) pm
+  JOIN raw_matches m ON pm.match_id = m.match_id
+  WHERE m.queue_id = 420) t
+WHERE rn <= 20"""
+
+    q["json_flatten_events"] = """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"""
+
+    q["queue_lookup_join"] = BASE + """
+SELECT queue_type AS queue_label, count(*) AS matches FROM stg_matches GROUP BY queue_type"""
+
+    routing_rows = [(pf, r) for r, pfs in ROUTINGS for pf in pfs]
+    q["platform_routing_explode"] = BASE + f"""
+SELECT r.routing, m.region, g.region_name, count(*) AS matches
+FROM stg_matches m
+LEFT JOIN (VALUES {_values(routing_rows)}) r(platform, routing) ON m.region = r.platform
+LEFT JOIN (VALUES {_values(REGIONS)}) g(code, region_name) ON m.region = g.code
+GROUP BY r.routing, m.region, g.region_name"""
+
+    q["table_row_counts"] = with_ctes(RAW) + """
+SELECT 'matches' AS table_name, count(*) AS row_count FROM raw_matches
+UNION ALL
+SELECT 'participants' AS table_name, count(*) AS row_count FROM raw_participants"""
+    return q
+
+
+def _count(name: str, sql: str) -> str:
+    return f"SELECT '{name}' AS check_name, (SELECT count(*) FROM ({sql}) t) AS failures"
+
+
+def _quality_queries() -> dict[str, str]:
+    allc = with_ctes(RAW, STAGING, CHAMPIONS, SUMMONERS)
+    q: dict[str, str] = {}
+
+    def dup(table, cols, skip_null=True):
+        where = f"WHERE {cols} IS NOT NULL" if skip_null else ""
+        return f"SELECT {cols} FROM {table} {where} GROUP BY {cols} HAVING count(*) > 1"
+
+    def union(parts):
+        return "\nUNION ALL\n".join(parts)
+
+    q["dq_unique"] = allc + "\n" + union([
+        _count("raw_matches.match_id", dup("raw_matches", "match_id")),
+        _count("stg_matches.match_id", dup("stg_matches", "match_id")),
+        _count("dim_champions.champion_name", dup("dim_champions", "champion_name")),
+        _count("dim_summoners.puuid", dup("summ_agg", "puuid")),
+    ])
+
+    def nn(name, table, col):
+        return _count(name, f"SELECT 1 FROM {table} WHERE {col} IS NULL")
+
+    fact = ("SELECT m.match_id FROM stg_matches m LEFT JOIN stg_participants p "
+            "ON m.match_id = p.match_id GROUP BY m.match_id, m.game_datetime, m.game_date, "
+            "m.dur10, m.game_length_category, m.queue_type, m.game_version, m.region, "
+            "m.loaded_at")
+    q["dq_not_null"] = allc + "\n" + union([
+        nn("raw_matches.match_id", "raw_matches", "match_id"),
+        nn("raw_matches.game_creation", "raw_matches", "game_creation"),
+        nn("raw_matches.game_duration", "raw_matches", "game_duration"),
+        nn("raw_participants.match_id", "raw_participants", "match_id"),
+        nn("raw_participants.champion_name", "raw_participants", "champion_name"),
+        nn("stg_matches.match_id", "stg_matches", "match_id"),
+        nn("stg_matches.duration_seconds", "stg_matches", "duration_seconds"),
+        nn("stg_participants.kills", "stg_participants", "kills"),
+        nn("stg_participants.deaths", "stg_participants", "deaths"),
+        nn("stg_participants.kda", "stg_participants", "kda100"),
+        nn("dim_champions.champion_name", "dim_champions", "champion_name"),
+        nn("fact_matches.match_id", f"({fact}) f", "match_id"),
+    ])
+
+    def rel(name, parent):
+        return _count(name, f"SELECT 1 FROM raw_participants c WHERE c.match_id IS NOT NULL "
+                            f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.match_id = c.match_id)")
+
+    q["dq_relationships"] = allc + "\n" + union([
+        rel("raw_participants.match_id->raw_matches", "raw_matches"),
+        rel("raw_participants.match_id->stg_matches", "stg_matches"),
+    ])
+
+    def rng(name, table, col, lo, hi):
+        return _count(name, f"SELECT 1 FROM {table} WHERE {col} < {lo} OR {col} > {hi}")
+
+    q["dq_accepted_range"] = allc + "\n" + union([
+        rng("stg_matches.duration_seconds", "stg_matches", "duration_seconds", 60, 10800),
+        rng("stg_participants.kills", "stg_participants", "kills", 0, 100),
+        rng("stg_participants.deaths", "stg_participants", "deaths", 0, 100),
+    ])
+
+    q["dq_unique_combination"] = allc + "\n" + union([
+        _count("stg_matches(match_id)", dup("stg_matches", "match_id", skip_null=False)),
+        _count("stg_participants(match_id,puuid)",
+               dup("stg_participants", "match_id, puuid", skip_null=False)),
+    ])
     return q

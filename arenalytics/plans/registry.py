@@ -16,8 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, TimestampType
 
+from ..operators import quality as Q
+from ..operators.load import insert_if_absent
+from ..operators.topn import latest_matches_per_player
+from ..session import scratch_path
+from ..sources import lookups
 from ..sources.adapter import load_raw
-from . import analytics, marts, staging
+from ..sources.tables import read_table
+from ..streaming.incremental import run_incremental_stream
+from . import analytics, examples, ingest, marts, staging
 
 # Fixed 'now' for reproducible reports: the day after the newest load
 # timestamp of the driver tables (max l_shipdate is 2001-11-04).
@@ -108,6 +115,157 @@ def _mode_role(m: Models) -> DataFrame:
                    "most_played_role")
 
 
+# --- loading ---------------------------------------------------------------
+
+def _incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping batches of match documents (with repeats, empty and
+    malformed lines) loaded insert-if-absent; the resulting raw.matches."""
+    sink = ingest.run_two_batches(spark, sf_dir, scratch_path(spark, "ingest"))
+    return ingest.read_sink(spark, sink, "matches").drop("raw_data", "batch_id")
+
+
+def _explode_participants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw.participants after the two-batch load (participant arrays
+    exploded only for newly inserted matches)."""
+    sink = ingest.run_two_batches(spark, sf_dir, scratch_path(spark, "ingest"))
+    return ingest.read_sink(spark, sink, "participants").drop("id", "raw_data", "batch_id")
+
+
+def _load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load statistics of the second (overlapping) batch."""
+    sink = ingest.run_two_batches(spark, sf_dir, scratch_path(spark, "ingest"))
+    return ingest.read_sink(spark, sink, "load_stats").filter(F.col("batch_id") == 2) \
+                 .select(*ingest.STATS_COLUMNS)
+
+
+STREAM_LOADED = dt.datetime(2001, 11, 7)
+
+
+def _stream_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same landing folders consumed by a Structured Streaming query
+    (availableNow, two files per micro-batch, foreachBatch loader)."""
+    root = scratch_path(spark, "stream")
+    ingest.write_stand_in_landing(spark, sf_dir, f"{root}/landing")
+    sink = f"{root}/sink"
+    run_incremental_stream(spark, f"{root}/landing/*", sink, f"{root}/checkpoint",
+                           STREAM_LOADED, max_files_per_trigger=2)
+    return ingest.read_sink(spark, sink, "matches").drop("raw_data", "batch_id")
+
+
+ANTI_JOIN_NEW_FROM = dt.datetime(1997, 1, 1)
+ANTI_JOIN_EXISTING_BEFORE = dt.datetime(1998, 1, 1)
+
+
+def _anti_join_new_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert-if-absent: matches of a new batch not already stored."""
+    matches, _ = load_raw(spark, sf_dir)
+    ts = F.col("loaded_at")
+    new = matches.filter(ts >= F.lit(ANTI_JOIN_NEW_FROM).cast("timestamp_ntz"))
+    existing = matches.filter(ts < F.lit(ANTI_JOIN_EXISTING_BEFORE).cast("timestamp_ntz"))
+    return insert_if_absent(new, existing).drop("raw_data")
+
+
+def _latest_n_per_player(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest 20 ranked solo/duo matches per player."""
+    matches, participants = load_raw(spark, sf_dir)
+    return latest_matches_per_player(participants, matches,
+                                     n=lookups.MATCHES_PER_RUN,
+                                     queue_id=lookups.DEFAULT_QUEUE_ID)
+
+
+def _json_flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON object field access on ``events.props``."""
+    return examples.flatten_event_props(read_table(spark, sf_dir, "events"))
+
+
+def _queue_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged matches per queue label via the broadcast queue lookup."""
+    m = Models(spark, sf_dir).stg_matches
+    return (lookups.label_queues(m).groupBy("queue_label")
+            .agg(F.count(F.lit(1)).alias("matches")))
+
+
+def _platform_routing_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged matches per routing / region via the exploded routing map."""
+    m = Models(spark, sf_dir).stg_matches
+    return (lookups.with_routing(m, "region")
+            .groupBy("routing", "region", "region_name")
+            .agg(F.count(F.lit(1)).alias("matches")))
+
+
+def _table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of the raw tables."""
+    matches, participants = load_raw(spark, sf_dir)
+    return examples.table_row_counts({"matches": matches, "participants": participants})
+
+
+# --- data-quality checks (one row per check instance) ----------------------
+
+def _dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Models(spark, sf_dir)
+    return Q.summarize([
+        Q.Check("raw_matches.match_id", Q.unique(m.raw_matches, "match_id")),
+        Q.Check("stg_matches.match_id", Q.unique(m.stg_matches, "match_id")),
+        Q.Check("dim_champions.champion_name", Q.unique(m.dim_champions(), "champion_name")),
+        Q.Check("dim_summoners.puuid", Q.unique(m.dim_summoners(), "puuid")),
+    ])
+
+
+def _dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Models(spark, sf_dir)
+    rm, rp, sm, sp = m.raw_matches, m.raw_participants, m.stg_matches, m.stg_participants
+    return Q.summarize([
+        Q.Check("raw_matches.match_id", Q.not_null(rm, "match_id")),
+        Q.Check("raw_matches.game_creation", Q.not_null(rm, "game_creation")),
+        Q.Check("raw_matches.game_duration", Q.not_null(rm, "game_duration")),
+        Q.Check("raw_participants.match_id", Q.not_null(rp, "match_id")),
+        Q.Check("raw_participants.champion_name", Q.not_null(rp, "champion_name")),
+        Q.Check("stg_matches.match_id", Q.not_null(sm, "match_id")),
+        Q.Check("stg_matches.duration_seconds", Q.not_null(sm, "duration_seconds")),
+        Q.Check("stg_participants.kills", Q.not_null(sp, "kills")),
+        Q.Check("stg_participants.deaths", Q.not_null(sp, "deaths")),
+        Q.Check("stg_participants.kda", Q.not_null(sp, "kda")),
+        Q.Check("dim_champions.champion_name", Q.not_null(m.dim_champions(), "champion_name")),
+        Q.Check("fact_matches.match_id", Q.not_null(m.fact_matches(), "match_id")),
+    ])
+
+
+def _dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Models(spark, sf_dir)
+    return Q.summarize([
+        Q.Check("raw_participants.match_id->raw_matches",
+                Q.relationships(m.raw_participants, "match_id", m.raw_matches, "match_id")),
+        Q.Check("raw_participants.match_id->stg_matches",
+                Q.relationships(m.raw_participants, "match_id", m.stg_matches, "match_id")),
+    ])
+
+
+def _dq_accepted_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Models(spark, sf_dir)
+    return Q.summarize([
+        Q.Check("stg_matches.duration_seconds",
+                Q.accepted_range(m.stg_matches, "duration_seconds", 60, 10800)),
+        Q.Check("stg_participants.kills", Q.accepted_range(m.stg_participants, "kills", 0, 100)),
+        Q.Check("stg_participants.deaths", Q.accepted_range(m.stg_participants, "deaths", 0, 100)),
+    ])
+
+
+def _dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Models(spark, sf_dir)
+    return Q.summarize([
+        Q.Check("stg_matches(match_id)", Q.unique_combination(m.stg_matches, ["match_id"])),
+        Q.Check("stg_participants(match_id,puuid)",
+                Q.unique_combination(m.stg_participants, ["match_id", "puuid"])),
+    ])
+
+
+def _direct(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return oracle_types(fn(spark, sf_dir))
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "stg_matches": _q(lambda m: m.stg_matches),
@@ -126,4 +284,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "percent_rank_kda": _q(_percent_rank_kda, **DISTRIBUTED),
         "ntile_kda": _q(_ntile_kda, **DISTRIBUTED),
         "mode_role": _q(_mode_role),
+        "incremental_load": _direct(_incremental_load),
+        "explode_participants": _direct(_explode_participants),
+        "load_stats": _direct(_load_stats),
+        "stream_incremental_load": _direct(_stream_incremental_load),
+        "anti_join_new_matches": _direct(_anti_join_new_matches),
+        "latest_n_per_player": _direct(_latest_n_per_player),
+        "json_flatten_events": _direct(_json_flatten_events),
+        "queue_lookup_join": _direct(_queue_lookup_join),
+        "platform_routing_explode": _direct(_platform_routing_explode),
+        "table_row_counts": _direct(_table_row_counts),
+        "dq_unique": _direct(_dq_unique),
+        "dq_not_null": _direct(_dq_not_null),
+        "dq_relationships": _direct(_dq_relationships),
+        "dq_accepted_range": _direct(_dq_accepted_range),
+        "dq_unique_combination": _direct(_dq_unique_combination),
     }
