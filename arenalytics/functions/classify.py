@@ -123,9 +123,12 @@ def kda_rating(kills, deaths, assists) -> Column:
     return _chain(pairs, KDA_OTHER)
 
 
-def cs_rating(cs_per_min) -> Column:
+def cs_rating(cs_per_min, scale: int = 0) -> Column:
+    """On the rounded rate; ``scale`` > 0 when it is given as an integer
+    ``rate × 10^scale``."""
     c = _col(cs_per_min)
-    return _chain([(c >= bound, label) for bound, label in CS_RATINGS], CS_OTHER)
+    return _chain([(c >= bound * 10 ** scale, label) for bound, label in CS_RATINGS],
+                  CS_OTHER)
 
 
 def champion_tier(win_rate, total_games) -> Column:

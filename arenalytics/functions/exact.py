@@ -7,9 +7,11 @@ computed here from integers:
 
     round(num / den, s) = sign(num) * ((2·|num|·10^s + den) div (2·den)) / 10^s
 
-with ``den > 0``.  The numerator is widened to ``decimal(38,0)`` so sums over
-billions of rows cannot overflow; the quotient (the rounded value times 10^s)
-always fits in a long.  All of it stays JVM-side in generated code.
+The row-level forms (staging: ratios of two int columns) run on longs, which
+codegen keeps primitive.  The group-level forms (means and rates over sums)
+widen the numerator to ``decimal(38,0)`` so sums over billions of rows cannot
+overflow; they run once per group, so the slower decimal arithmetic costs
+nothing measurable.  The quotient (rounded value × 10^s) always fits a long.
 """
 
 from __future__ import annotations
@@ -38,27 +40,30 @@ def nullif_zero(c) -> Column:
     return F.when(c != 0, c)
 
 
-def half_up_quotient(num, den) -> Column:
+def half_up_quotient(num, den, wide: bool = True) -> Column:
     """``num / den`` rounded half away from zero to an integer (long).
 
-    NULL when either side is NULL or ``den`` is 0.
+    NULL when either side is NULL or ``den`` is 0.  ``wide=False`` computes in
+    longs: only for operands known to stay below ~10^17.
     """
-    n = _col(num).cast(WIDE)
-    d = nullif_zero(_col(den)).cast(WIDE)
+    t = WIDE if wide else "long"
+    n = _col(num).cast(t)
+    d = nullif_zero(_col(den)).cast(t)
     mag = int_div(F.abs(n) * F.lit(2) + F.abs(d), F.abs(d) * F.lit(2))
     return F.when((n < 0) != (d < 0), -mag).otherwise(mag)
 
 
 def from_unscaled(q, scale: int, precision: int = 20) -> Column:
-    """Turn an integer ``q`` into the decimal ``q / 10^scale`` exactly."""
-    q = _col(q).cast(WIDE)
+    """Turn an integer ``q`` (|q| < 10^18) into the decimal ``q / 10^scale``
+    exactly."""
+    q = _col(q).cast(DecimalType(18, 0))
     if scale:
         q = q * F.lit(Decimal(1).scaleb(-scale))
     return q.cast(DecimalType(precision, scale))
 
 
 def round_ratio(num, den, scale: int, num_scale: int = 0,
-                precision: int = 20) -> Column:
+                precision: int = 20, wide: bool = True) -> Column:
     """``ROUND((num / 10^num_scale) / den, scale)`` computed exactly.
 
     ``num`` is an integer column holding a value scaled by ``10^num_scale``
@@ -66,21 +71,23 @@ def round_ratio(num, den, scale: int, num_scale: int = 0,
     (a count).  Result: ``decimal(precision, scale)``.
     """
     shift = scale - num_scale
-    n = _col(num).cast(WIDE)
-    d = _col(den).cast(WIDE)
+    t = WIDE if wide else "long"
+    n = _col(num).cast(t)
+    d = _col(den).cast(t)
     if shift > 0:
         n = n * F.lit(10 ** shift)
     elif shift < 0:
         d = d * F.lit(10 ** (-shift))
-    return from_unscaled(half_up_quotient(n, d), scale, precision)
+    return from_unscaled(half_up_quotient(n, d, wide), scale, precision)
 
 
-def unscaled(c, scale: int) -> Column:
-    """A decimal column with ``scale`` digits as its integer ``c × 10^scale``."""
+def unscaled(c, scale: int, wide: bool = False) -> Column:
+    """A decimal column with ``scale`` digits as its integer ``c × 10^scale``
+    (a long unless ``wide``)."""
     c = _col(c)
     if scale:
         c = c * F.lit(10 ** scale)
-    return c.cast(WIDE)
+    return c.cast(WIDE if wide else "long")
 
 
 def rounded_mean(c, scale: int, in_scale: int = 0, precision: int = 20) -> Column:

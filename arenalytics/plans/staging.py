@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import classify as C
-from ..functions.exact import int_div, nullif_zero, round_ratio, unscaled
+from ..functions.exact import (
+    from_unscaled, half_up_quotient, int_div, nullif_zero, round_ratio, unscaled)
 
 
 def stg_matches(matches: DataFrame) -> DataFrame:
@@ -28,7 +29,8 @@ def stg_matches(matches: DataFrame) -> DataFrame:
         "queue_id",
         "game_version",
         F.col("game_duration").alias("duration_seconds"),
-        round_ratio("game_duration", F.lit(60), 1, precision=12).alias("duration_minutes"),
+        round_ratio("game_duration", F.lit(60), 1, precision=12, wide=False)
+        .alias("duration_minutes"),
         C.duration_bucket("game_duration").alias("game_length_category"),
         C.queue_label("queue_id").alias("queue_type"),
         "loaded_at",
@@ -42,6 +44,11 @@ def stg_participants(participants: DataFrame, matches: DataFrame) -> DataFrame:
     ``duration_minutes`` are taken from it (column pruning reaches the scan).
     Per-minute rates divide by the *rounded* duration as the model does:
     ``x / (D/10)`` with ``D = duration_minutes × 10`` is ``10·x / D``.
+
+    Two projection layers: first the exact rounded values as scaled longs,
+    then decimals and labels from those longs.  Each rounded value is
+    computed once (the CS rating reads the rounded rate), and each layer's
+    generated code stays small enough for the JIT compiler.
     """
     p = participants.filter(
         (F.col("kills") >= 0) & (F.col("deaths") >= 0) & (F.col("assists") >= 0)
@@ -50,14 +57,25 @@ def stg_participants(participants: DataFrame, matches: DataFrame) -> DataFrame:
     j = p.join(m, "match_id", "inner")
 
     takedowns = F.col("kills") + F.col("assists")
-    kda = (F.when(F.col("deaths") == 0, takedowns.cast("decimal(20,2)"))
-            .otherwise(round_ratio(takedowns, F.col("deaths"), 2)))
+    dur10 = nullif_zero("_dur10")
 
     def per_minute(c, scale):
-        return round_ratio(F.col(c).cast("long") * 10, nullif_zero("_dur10"), scale)
+        # round(x / (D/10), scale) = round(10^(scale+1)·x / D) / 10^scale
+        return half_up_quotient(F.col(c).cast("long") * (10 ** (scale + 1)), dur10,
+                                wide=False)
 
-    cs_per_min = per_minute("cs", 1)
-    return j.select(
+    scaled = j.select(
+        "*",
+        F.when(F.col("deaths") == 0, takedowns.cast("long") * 100)
+         .otherwise(half_up_quotient(takedowns.cast("long") * 100, "deaths", wide=False))
+         .alias("_kda100"),
+        per_minute("cs", 1).alias("_cs10"),
+        per_minute("vision_score", 1).alias("_vision10"),
+        per_minute("gold_earned", 0).alias("_gold_pm"),
+        half_up_quotient(F.col("total_damage_dealt").cast("long") * 100,
+                         "gold_earned", wide=False).alias("_dpg100"),
+    )
+    return scaled.select(
         F.col("id").alias("participant_id"),
         "match_id",
         "puuid",
@@ -72,19 +90,18 @@ def stg_participants(participants: DataFrame, matches: DataFrame) -> DataFrame:
         "kills",
         "deaths",
         "assists",
-        kda.alias("kda"),
+        from_unscaled("_kda100", 2).alias("kda"),
         C.kda_rating("kills", "deaths", "assists").alias("kda_rating"),
         "gold_earned",
         F.col("total_damage_dealt").alias("damage_dealt"),
         F.col("total_damage_taken").alias("damage_taken"),
         F.col("cs").alias("total_cs"),
-        cs_per_min.alias("cs_per_min"),
-        C.cs_rating(cs_per_min).alias("cs_rating"),
+        from_unscaled("_cs10", 1).alias("cs_per_min"),
+        C.cs_rating("_cs10", scale=1).alias("cs_rating"),
         "vision_score",
-        per_minute("vision_score", 1).alias("vision_per_min"),
+        from_unscaled("_vision10", 1).alias("vision_per_min"),
         "win",
-        per_minute("gold_earned", 0).alias("gold_per_min"),
-        round_ratio("total_damage_dealt", nullif_zero("gold_earned"), 2)
-        .alias("damage_per_gold"),
+        from_unscaled("_gold_pm", 0).alias("gold_per_min"),
+        from_unscaled("_dpg100", 2).alias("damage_per_gold"),
         "loaded_at",
     )

@@ -25,6 +25,23 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Settings the models need on any session they run in (runtime SQL confs, so
+# they can be applied to a session the caller built).
+#  * UTC: epoch → timestamp/date conversions of the staging layer.
+#  * hugeMethodLimit 8000: HotSpot does not JIT-compile methods above 8000
+#    bytes of bytecode; a whole-stage-codegen stage whose method is larger
+#    would run interpreted (4× slower on the staging projection).  Above the
+#    limit Spark splits the stage into per-operator compiled code instead.
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def apply_runtime_conf(spark: SparkSession) -> None:
+    for k, v in RUNTIME_CONF.items():
+        spark.conf.set(k, v)
+
 
 def build_session(master: str | None = None, app: str = "arenalytics",
                   shuffle_partitions: int | None = None,
@@ -39,6 +56,7 @@ def build_session(master: str | None = None, app: str = "arenalytics",
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    conf.update(RUNTIME_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
