@@ -40,6 +40,7 @@ ROLE_MID = ["MIDDLE", "MID"]
 ROLE_ADC = ["BOTTOM", "CARRY"]
 ROLE_SUPPORT = ["UTILITY", "SUPPORT"]
 ROLE_OTHER = "Unknown"
+STANDARD_ROLES = ["Top", "Jungle", "Mid", "ADC", "Support", ROLE_OTHER]
 
 # KDA rating: 'Perfect' needs deaths = 0 and kills + assists > 5; then the
 # ratio (kills + assists) / deaths against these lower bounds; else 'Poor'.

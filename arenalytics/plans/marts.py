@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exact import mean_double, rounded_mean, rounded_rate
-from ..operators.mode import mode_by
+from ..functions.classify import STANDARD_ROLES
+from ..operators.mode import mode_by, mode_of_domain
 from ..operators.ranking import RankSpec, add_rankings
 
 MATCH_KEYS = ["match_id", "game_datetime", "game_date", "duration_minutes",
@@ -77,9 +78,9 @@ def dim_champions(stg_p: DataFrame) -> DataFrame:
     Plain aggregates are combined map-side (a popular champion collapses to
     one partial row per task).  The two exact distinct counts go through
     Catalyst's Expand rewrite, whose first shuffle is keyed by
-    (champion, distinct value) and so spreads a hot champion.  The mode is a
-    separate (champion, role) count that partial aggregation reduces to a few
-    rows per champion.
+    (champion, distinct value) and so spreads a hot champion.  The role mode
+    is six conditional counts in the same pass (the standardised role has a
+    fixed set of labels).
     """
     base = stg_p.groupBy(*CHAMPION_KEYS).agg(
         F.count(F.lit(1)).alias("total_games"),
@@ -99,9 +100,9 @@ def dim_champions(stg_p: DataFrame) -> DataFrame:
         F.min("loaded_at").alias("first_seen"),
         F.max("loaded_at").alias("last_seen"),
         F.countDistinct("puuid").alias("unique_players"),
+        mode_of_domain("standardized_role", STANDARD_ROLES).alias("most_played_role"),
     )
-    mode = mode_by(stg_p, CHAMPION_KEYS, "standardized_role", "most_played_role")
-    return join_null_safe(base, mode, CHAMPION_KEYS).select(*CHAMPION_COLUMNS)
+    return base.select(*CHAMPION_COLUMNS)
 
 
 SUMMONER_COLUMNS = [
@@ -138,10 +139,10 @@ def summoner_aggregates(stg_p: DataFrame) -> DataFrame:
         F.max("loaded_at").alias("last_game"),
         mean_double("kda", in_scale=2).alias("_kda_key"),
         (F.count_if(F.col("win")).cast("double") / F.count(F.lit(1))).alias("_wr_key"),
+        mode_of_domain("standardized_role", STANDARD_ROLES).alias("preferred_role"),
     )
-    role = mode_by(stg_p, ["puuid"], "standardized_role", "preferred_role")
     champ = mode_by(stg_p, ["puuid"], "champion_name", "most_played_champion")
-    return join_null_safe(join_null_safe(base, role, ["puuid"]), champ, ["puuid"])
+    return join_null_safe(base, champ, ["puuid"])
 
 
 def dim_summoners(stg_p: DataFrame, strategy: str = "auto", **rank_opts) -> DataFrame:

@@ -110,3 +110,17 @@ def test_window_group_limit_before_shuffle(spark):
     ps = participants_df(spark, [participant(i, f"m{i}", puuid="p") for i in range(30)])
     text = plan_text(latest_matches_per_player(ps, ms, n=20))
     assert "WindowGroupLimit" in text
+
+
+def test_mode_of_domain_matches_general_mode(spark):
+    from arenalytics.operators.mode import mode_of_domain
+    rows = [(1, "Mid"), (1, "ADC"), (1, "Mid"), (1, "ADC"), (1, "Top"),   # tie → ADC
+            (2, "Top"), (2, None), (2, None),                              # NULLs ignored
+            (3, None)]                                                     # only NULLs
+    df = spark.createDataFrame(rows, "k int, v string")
+    fixed = {r.k: r.m for r in df.groupBy("k").agg(
+        mode_of_domain("v", ["Top", "Jungle", "Mid", "ADC", "Support", "Unknown"]).alias("m"))
+        .collect()}
+    general = {r.k: r.m for r in mode_by(df, ["k"], "v", "m").collect()}
+    assert fixed == {1: "ADC", 2: "Top", 3: None}
+    assert {k: v for k, v in fixed.items() if v is not None} == general
