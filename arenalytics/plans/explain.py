@@ -16,14 +16,14 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
 def plan_summary(df: DataFrame) -> dict:
     """Exchanges (shuffles), broadcasts, single-partition exchanges, Python
     evaluation nodes and scans with their pushed filters."""
-    text = plan_text(df)
-    head = text.split("\n\n")[0]
+    text = plan_text(df, "simple")
     return {
-        "exchanges": len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning"
-                                    r"|Exchange RoundRobin", head)),
-        "single_partition": len(re.findall(r"Exchange SinglePartition", head)),
-        "broadcasts": len(re.findall(r"BroadcastExchange", head)),
+        "exchanges": len(re.findall(r"Exchange (?:hashpartitioning|rangepartitioning"
+                                    r"|RoundRobinPartitioning)", text)),
+        "single_partition": len(re.findall(r"Exchange SinglePartition", text)),
+        "broadcasts": len(re.findall(r"BroadcastExchange", text)),
         "python_nodes": len(re.findall(r"ArrowEvalPython|BatchEvalPython|MapInPandas"
-                                       r"|FlatMapGroupsInPandas", head)),
+                                       r"|FlatMapGroupsInPandas", text)),
+        "sort_merge_joins": len(re.findall(r"SortMergeJoin", text)),
         "pushed_filters": re.findall(r"PushedFilters: \[([^\]]*)\]", text),
     }
