@@ -72,19 +72,27 @@ CHAMPION_COLUMNS = [
     "unique_players"]
 
 
+def distinct_count(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
+    """``COUNT(DISTINCT value)`` per key as two narrow aggregates: distinct
+    (key, value) pairs — shuffled on both, so one hot key spreads over many
+    tasks — then a map-side-combined count per key.  Keys without a non-NULL
+    value get no row (0 after a left join)."""
+    return (df.filter(F.col(value).isNotNull())
+              .select(*keys, value).distinct()
+              .groupBy(*keys).agg(F.count(F.lit(1)).alias(alias)))
+
+
 def dim_champions(stg_p: DataFrame) -> DataFrame:
     """Per (champion_name, champion_id) statistics (20 columns).
 
-    Plain aggregates are combined map-side (a popular champion collapses to
-    one partial row per task).  The two exact distinct counts go through
-    Catalyst's Expand rewrite, whose first shuffle is keyed by
-    (champion, distinct value) and so spreads a hot champion.  The role mode
-    is six conditional counts in the same pass (the standardised role has a
-    fixed set of labels).
+    The measures are one hash aggregate combined map-side (a popular champion
+    collapses to one partial row per task); the role mode is six conditional
+    counts inside it (the standardised role has a fixed set of labels).  The
+    two exact distinct counts are separate (champion, value) aggregates — a
+    champion is a hot key by nature, and these shuffle on the pair.
     """
     base = stg_p.groupBy(*CHAMPION_KEYS).agg(
         F.count(F.lit(1)).alias("total_games"),
-        F.countDistinct("match_id").alias("total_matches"),
         F.sum(F.when(F.col("win"), 1).otherwise(0)).alias("total_wins"),
         rounded_rate("win").alias("win_rate"),
         rounded_mean("kills", 2).alias("avg_kills"),
@@ -99,10 +107,15 @@ def dim_champions(stg_p: DataFrame) -> DataFrame:
         rounded_mean("vision_score", 1).alias("avg_vision_score"),
         F.min("loaded_at").alias("first_seen"),
         F.max("loaded_at").alias("last_seen"),
-        F.countDistinct("puuid").alias("unique_players"),
         mode_of_domain("standardized_role", STANDARD_ROLES).alias("most_played_role"),
     )
-    return base.select(*CHAMPION_COLUMNS)
+    out = join_null_safe(
+        join_null_safe(base, distinct_count(stg_p, CHAMPION_KEYS, "match_id", "total_matches"),
+                       CHAMPION_KEYS),
+        distinct_count(stg_p, CHAMPION_KEYS, "puuid", "unique_players"), CHAMPION_KEYS)
+    return out.select(
+        *[F.coalesce(c, F.lit(0)).alias(c) if c in ("total_matches", "unique_players")
+          else F.col(c) for c in CHAMPION_COLUMNS])
 
 
 SUMMONER_COLUMNS = [
@@ -116,12 +129,22 @@ SUMMONER_COLUMNS = [
 
 def summoner_aggregates(stg_p: DataFrame) -> DataFrame:
     """Per-player aggregates plus the two unrounded ordering keys of the
-    percentiles (``_kda_key``, ``_wr_key``: exact sums, one division)."""
+    percentiles (``_kda_key``, ``_wr_key``: exact sums, one division).
+
+    Three narrow aggregates, joined per player:
+
+    * the numeric measures — fixed-width buffers, one hash aggregate that
+      combines map-side, so a heavy player collapses before the shuffle;
+    * a (player, champion) count: its groups give the distinct champions, the
+      champion mode and ``MAX(summoner_name)`` (string buffers need a
+      sort-based aggregate; they stay off the wide measure rows);
+    * distinct (player, match) pairs, counted per player.
+    Both distinct counts therefore shuffle on (player, value) first, which
+    spreads a heavy player over many tasks, and never drag the measure
+    buffers through a row-multiplying Expand.
+    """
     base = stg_p.groupBy("puuid").agg(
-        F.max("summoner_name").alias("summoner_name"),
         F.count(F.lit(1)).alias("total_games"),
-        F.countDistinct("match_id").alias("total_matches"),
-        F.countDistinct("champion_name").alias("unique_champions_played"),
         F.sum(F.when(F.col("win"), 1).otherwise(0)).alias("total_wins"),
         rounded_rate("win").alias("win_rate"),
         rounded_mean("kills", 2).alias("avg_kills"),
@@ -141,8 +164,17 @@ def summoner_aggregates(stg_p: DataFrame) -> DataFrame:
         (F.count_if(F.col("win")).cast("double") / F.count(F.lit(1))).alias("_wr_key"),
         mode_of_domain("standardized_role", STANDARD_ROLES).alias("preferred_role"),
     )
-    champ = mode_by(stg_p, ["puuid"], "champion_name", "most_played_champion")
-    return join_null_safe(base, champ, ["puuid"])
+    per_champ = stg_p.groupBy("puuid", "champion_name").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("summoner_name").alias("_name"))
+    champs = per_champ.groupBy("puuid").agg(
+        F.max("_name").alias("summoner_name"),
+        F.count("champion_name").alias("unique_champions_played"),
+        F.min_by(F.col("champion_name"),
+                 F.struct(F.col("champion_name").isNull(), -F.col("_n"),
+                          F.col("champion_name"))).alias("most_played_champion"))
+    matches = distinct_count(stg_p, ["puuid"], "match_id", "total_matches")
+    out = join_null_safe(join_null_safe(base, champs, ["puuid"]), matches, ["puuid"])
+    return out.withColumn("total_matches", F.coalesce("total_matches", F.lit(0)))
 
 
 def dim_summoners(stg_p: DataFrame, strategy: str = "auto", **rank_opts) -> DataFrame:
