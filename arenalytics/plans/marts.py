@@ -28,39 +28,55 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str],
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def distinct_count(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
+    """``COUNT(DISTINCT value)`` per key as two narrow aggregates: distinct
+    (key, value) pairs — shuffled on both, so one hot key spreads over many
+    tasks — then a map-side-combined count per key.  Keys without a non-NULL
+    value get no row (0 after a left join)."""
+    return (df.filter(F.col(value).isNotNull())
+              .select(*keys, value).distinct()
+              .groupBy(*keys).agg(F.count(F.lit(1)).alias(alias)))
+
+
 def fact_matches(stg_m: DataFrame, stg_p: DataFrame) -> DataFrame:
     """stg_matches ⟕ stg_participants, grouped per match (18 columns).
 
-    The join output is hash-partitioned by ``match_id``; the aggregate groups
-    by keys that include it, so Spark reuses that partitioning (one shuffle
-    per side, none after the join).  A match without players keeps its row:
-    COUNT(*) counts the NULL-extended row, averages are NULL, wins 0.
+    Aggregate first, join second: participants are reduced to one row per
+    match (map-side combined, so even a match holding a huge share of the rows
+    collapses before the shuffle) and the distinct champions per match come
+    from distinct (match, champion) pairs.  The left join then pairs one match
+    row with at most one aggregate row on each side — no skewed join input.
+    Semantics of the grouped left join are kept: a match without players has
+    total_players 1 (COUNT(*) counts the NULL-extended row), wins 0, distinct
+    champions 0 and NULL averages and CS.
     """
-    m = stg_m.select(*MATCH_KEYS)
-    p = stg_p.select("match_id", "kills", "deaths", "assists", "total_cs",
-                     "vision_score", "team_side", "win", "champion_name")
-    j = m.join(p, "match_id", "left")
-
     def wins(side):
-        return F.sum(F.when((F.col("team_side") == side) & F.col("win"), 1)
-                     .otherwise(0))
+        return F.sum(F.when((F.col("team_side") == side) & F.col("win"), 1).otherwise(0))
 
-    agg = j.groupBy(*MATCH_KEYS).agg(
-        F.avg("kills").alias("avg_kills"),
-        F.avg("deaths").alias("avg_deaths"),
-        F.avg("assists").alias("avg_assists"),
+    def mean(c):
+        return (F.sum(c).cast("double") / F.count(c)).alias(f"avg_{c}")
+
+    per_match = stg_p.groupBy("match_id").agg(
+        mean("kills"), mean("deaths"), mean("assists"),
         F.sum("total_cs").alias("total_cs"),
-        F.avg("vision_score").alias("avg_vision_score"),
-        F.count(F.lit(1)).alias("total_players"),
-        wins("Blue").alias("blue_wins"),
-        wins("Red").alias("red_wins"),
-        F.countDistinct("champion_name").alias("unique_champions"),
+        mean("vision_score"),
+        F.count(F.lit(1)).alias("_players"),
+        wins("Blue").alias("_blue"),
+        wins("Red").alias("_red"),
     )
-    return agg.select(
+    champs = distinct_count(stg_p, ["match_id"], "champion_name", "_champs")
+    j = (stg_m.select(*MATCH_KEYS)
+              .join(per_match, "match_id", "left")
+              .join(champs, "match_id", "left"))
+    return j.select(
         "match_id", "game_datetime", "game_date", "duration_minutes",
         "game_length_category", "queue_type", "game_version", "region",
         "avg_kills", "avg_deaths", "avg_assists", "total_cs", "avg_vision_score",
-        "total_players", "blue_wins", "red_wins", "unique_champions", "loaded_at")
+        F.coalesce("_players", F.lit(1)).alias("total_players"),
+        F.coalesce("_blue", F.lit(0)).alias("blue_wins"),
+        F.coalesce("_red", F.lit(0)).alias("red_wins"),
+        F.coalesce("_champs", F.lit(0)).alias("unique_champions"),
+        "loaded_at")
 
 
 CHAMPION_KEYS = ["champion_name", "champion_id"]
@@ -72,16 +88,6 @@ CHAMPION_COLUMNS = [
     "unique_players"]
 
 
-def distinct_count(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
-    """``COUNT(DISTINCT value)`` per key as two narrow aggregates: distinct
-    (key, value) pairs — shuffled on both, so one hot key spreads over many
-    tasks — then a map-side-combined count per key.  Keys without a non-NULL
-    value get no row (0 after a left join)."""
-    return (df.filter(F.col(value).isNotNull())
-              .select(*keys, value).distinct()
-              .groupBy(*keys).agg(F.count(F.lit(1)).alias(alias)))
-
-
 def dim_champions(stg_p: DataFrame) -> DataFrame:
     """Per (champion_name, champion_id) statistics (20 columns).
 
