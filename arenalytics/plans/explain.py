@@ -25,5 +25,5 @@ def plan_summary(df: DataFrame) -> dict:
         "python_nodes": len(re.findall(r"ArrowEvalPython|BatchEvalPython|MapInPandas"
                                        r"|FlatMapGroupsInPandas", text)),
         "sort_merge_joins": len(re.findall(r"SortMergeJoin", text)),
-        "pushed_filters": re.findall(r"PushedFilters: \[([^\]]*)\]", text),
+        "pushed_filters": re.findall(r"PushedFilters: \[([^\]]*)\]", plan_text(df)),
     }
