@@ -68,6 +68,26 @@ def build_session(master: str | None = None, app: str = "arenalytics",
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a cluster run over ``input_bytes`` of raw Parquet.
+
+    Shuffle partitions scale with the data (≈ ``partition_bytes`` of shuffle
+    input each, never fewer than two waves of tasks) so a reducer's share fits
+    executor memory without spilling; AQE then coalesces small partitions and
+    splits skewed ones at run time.  Scan splits match the shuffle target.
+    The broadcast threshold stays Spark's size-checked default.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if none is set.
 
