@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import write_layer
 from . import analytics, marts, staging
@@ -32,8 +33,14 @@ def build_all(spark: SparkSession, raw_matches: DataFrame, raw_participants: Dat
     put("fact_matches", marts.fact_matches(sm, sp))
     dc = put("dim_champions", marts.dim_champions(sp))
     ds = put("dim_summoners", marts.dim_summoners(sp, strategy=strategy))
-    cs = put("champion_stats", analytics.champion_stats(dc, sp, as_of, strategy=strategy))
-    put("player_performance", analytics.player_performance(ds, sp, as_of, strategy=strategy))
+    # the two reports are stored ordered by games played (a distributed range
+    # sort; readers scanning the files in order see the report order)
+    by_games = [F.col("total_games").desc(), F.col("champion_name").asc()]
+    cs = put("champion_stats", analytics.champion_stats(dc, sp, as_of, strategy=strategy)
+             .orderBy(*by_games))
+    put("player_performance",
+        analytics.player_performance(ds, sp, as_of, strategy=strategy)
+        .orderBy(F.col("total_games").desc(), F.col("puuid").asc()))
     put("meta_analysis", analytics.meta_analysis_json(analytics.meta_analysis(cs, as_of)))
     put("role_distribution", analytics.role_distribution(cs))
     return paths
