@@ -16,9 +16,10 @@ wrong for a player table at cluster scale.  The distributed form:
    local rank − (rows of earlier buckets tied with this bucket's first value).
    NTILE and PERCENT_RANK follow from row number, rank and the total N.
 
-The input is checkpointed first (reliable checkpoint in the shared
-``spark.checkpoint.dir``) so the range bounds — sampled from the input — are
-identical however often a stage is recomputed after a lost executor.
+Range bounds are sampled anew by every execution of the exchange, so the
+bucketed and locally ranked rows are written once (reliable checkpoint in the
+shared ``spark.checkpoint.dir``) and both the per-bucket summary and the final
+rows read that copy; a lost executor re-reads it instead of re-bucketing.
 
 Below ``threshold`` rows the built-in single-partition window is used.
 """
@@ -104,8 +105,13 @@ def _distributed_one(df: DataFrame, s: RankSpec, buckets: int) -> DataFrame:
         "_b", F.spark_partition_id())
     w_full = Window.partitionBy("_b").orderBy(*order)
     w_val = Window.partitionBy("_b").orderBy(s.value_order())
+    # Range bounds are sampled per execution (the sampler is seeded by the RDD
+    # id), so two plans over the same input can bucket rows differently.  The
+    # bucketed, locally ranked rows are therefore written once and both the
+    # summary and the rows read that copy.
     local = (parted.withColumn("_rn", F.row_number().over(w_full))
-                   .withColumn("_rk", F.rank().over(w_val)))
+                   .withColumn("_rk", F.rank().over(w_val))
+                   .checkpoint(eager=True))
 
     summ = local.groupBy("_b").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -166,20 +172,17 @@ def add_rankings(df: DataFrame, specs: list[RankSpec], strategy: str = "auto",
     if strategy == "window":
         return _window_columns(df, specs)
     spark = df.sparkSession
-    if materialize:
-        ensure_checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
+    ensure_checkpoint_dir(spark)
     if strategy == "auto":
+        if materialize:
+            # counted once, then read by whichever path runs
+            df = df.checkpoint(eager=True)
         if df.count() <= threshold:
             return _window_columns(df, specs)
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     buckets = max(1, min(buckets, MAX_BUCKETS))
     out = df
-    for i, s in enumerate(specs):
-        if i:
-            # each ranking samples its own range bounds from its input: keep
-            # that input fixed across recomputation
-            out = out.checkpoint(eager=True)
+    for s in specs:
         out = _distributed_one(out, s, buckets)
     return out
