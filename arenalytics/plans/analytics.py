@@ -101,12 +101,14 @@ TOP_K = 10
 
 
 def _top_k(df: DataFrame, order: list[Column], fields: list[tuple[str, str]]) -> DataFrame:
-    """Top-k rows (k = 10) in ``order`` with a name tiebreak, numbered 1..k.
+    """Top-k rows (k = 10) in ``order`` with a (name, id) tiebreak — the
+    champion key, so the cut is deterministic — numbered 1..k.
 
     ``orderBy().limit()`` plans as TakeOrderedAndProject: each task keeps its
-    own k best rows, the driver-side merge sees at most k × tasks.
+    own k best rows and a single task merges at most k × tasks rows.
     """
-    full = order + [F.col("champion_name").asc()]
+    full = order + [F.col("champion_name").asc_nulls_last(),
+                    F.col("champion_id").asc_nulls_last()]
     top = df.orderBy(*full).limit(TOP_K)
     return top.select(
         F.row_number().over(Window.orderBy(*full)).alias("position"),

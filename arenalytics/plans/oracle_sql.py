@@ -353,9 +353,10 @@ FROM player_performance"""
 
     def top(where: str, order: str, fields: str) -> str:
         return CHAMP + f"""
-SELECT CAST(row_number() OVER (ORDER BY {order}, champion_name) AS INTEGER) AS position, {fields}
+SELECT CAST(row_number() OVER (ORDER BY {order}, champion_name ASC NULLS LAST,
+                                  champion_id ASC NULLS LAST) AS INTEGER) AS position, {fields}
 FROM champion_stats {where}
-ORDER BY {order}, champion_name
+ORDER BY {order}, champion_name ASC NULLS LAST, champion_id ASC NULLS LAST
 LIMIT 10"""
 
     q["meta_top_champions"] = top(

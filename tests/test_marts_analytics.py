@@ -124,8 +124,8 @@ def test_player_performance_recent_and_days(spark):
 
 def _cs_rows(spark, rows):
     schema = ("champion_name string, win_rate decimal(20,2), total_games long, "
-              "pick_rate decimal(20,2), avg_kda decimal(20,2)")
-    return spark.createDataFrame(rows, schema)
+              "pick_rate decimal(20,2), avg_kda decimal(20,2), champion_id int")
+    return spark.createDataFrame([r + (i,) for i, r in enumerate(rows)], schema)
 
 
 def test_top_k_threshold_ties_and_empty(spark):
