@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify as C
 from ..functions.exact import round_ratio, unscaled
+from ..functions.timeutil import date_literal, ntz_literal
 from ..operators.ranking import RankSpec, add_rankings
 
 CHAMPION_STATS_COLUMNS = [
@@ -30,15 +31,12 @@ PLAYER_COLUMNS = [
 
 def as_of_timestamp(as_of: dt.datetime | dt.date) -> Column:
     """The injectable 'now' (CURRENT_TIMESTAMP) as a timestamp_ntz literal."""
-    if not isinstance(as_of, dt.datetime):
-        as_of = dt.datetime.combine(as_of, dt.time())
-    return F.lit(as_of).cast("timestamp_ntz")
+    return ntz_literal(as_of)
 
 
 def as_of_date(as_of: dt.datetime | dt.date) -> Column:
     """CURRENT_DATE for the given 'now'."""
-    d = as_of.date() if isinstance(as_of, dt.datetime) else as_of
-    return F.lit(d).cast("date")
+    return date_literal(as_of)
 
 
 def total_matches(stg_p: DataFrame) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, TimestampType
 
+from ..functions.timeutil import ntz_literal
 from ..operators import quality as Q
 from ..operators.load import insert_if_absent
 from ..operators.topn import latest_matches_per_player
@@ -160,8 +161,8 @@ def _anti_join_new_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Insert-if-absent: matches of a new batch not already stored."""
     matches, _ = load_raw(spark, sf_dir)
     ts = F.col("loaded_at")
-    new = matches.filter(ts >= F.lit(ANTI_JOIN_NEW_FROM).cast("timestamp_ntz"))
-    existing = matches.filter(ts < F.lit(ANTI_JOIN_EXISTING_BEFORE).cast("timestamp_ntz"))
+    new = matches.filter(ts >= ntz_literal(ANTI_JOIN_NEW_FROM))
+    existing = matches.filter(ts < ntz_literal(ANTI_JOIN_EXISTING_BEFORE))
     return insert_if_absent(new, existing).drop("raw_data")
 
 
