@@ -22,12 +22,20 @@ def latest_matches_per_player(participants: DataFrame, matches: DataFrame,
                               n: int = 20, queue_id: int | None = 420) -> DataFrame:
     """Newest ``n`` match ids per player, optionally of one queue only (a
     falsy ``queue_id`` lists all queues).  Newest = highest game_creation;
-    equal times are ordered by match id."""
-    pm = participants.select("puuid", "match_id").distinct()
+    equal times are ordered by match id.
+
+    A player listed twice in one match must count that match once: the rank
+    is a ``dense_rank`` over (time, match id), so copies tie, and the cap runs
+    as a WindowGroupLimit before the shuffle; the copies are dropped only in
+    the ≤ n rows per player that survive (that de-duplication reuses the
+    window's partitioning by player — no extra shuffle).
+    """
     m = matches.select("match_id", "game_creation", "queue_id")
     if queue_id:
         m = m.filter(F.col("queue_id") == queue_id)
-    j = pm.join(m, "match_id")
-    return top_n_per_group(
-        j, ["puuid"], [F.col("game_creation").desc(), F.col("match_id").asc()], n
-    ).select("puuid", "match_id", "game_creation", "rn")
+    j = participants.select("puuid", "match_id").join(m, "match_id")
+    w = Window.partitionBy("puuid").orderBy(F.col("game_creation").desc(),
+                                            F.col("match_id").asc())
+    top = j.withColumn("rn", F.dense_rank().over(w)).filter(F.col("rn") <= n)
+    return (top.dropDuplicates(["puuid", "match_id"])
+               .select("puuid", "match_id", "game_creation", F.col("rn").cast("int")))
