@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of rankings are removed once their RDD is unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Settings the models need on any session they run in (runtime SQL confs, so
