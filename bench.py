@@ -9,9 +9,11 @@ first.  Prints one JSON line.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -29,32 +31,82 @@ HEADLINE = [
 ]
 
 
+def stage_metrics(log_dir: str) -> dict[str, dict[str, int]]:
+    """Per job group (= query of the warm pass): completed stages and bytes
+    written to shuffle, read from Spark's JSON event log."""
+    group_of_stage: dict[int, str] = {}
+    shuffle: dict[int, int] = {}
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if os.path.isdir(path) or os.path.basename(path).startswith("."):
+            continue
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group and group.startswith("warm:"):
+                        for sid in ev.get("Stage IDs", []):
+                            group_of_stage[sid] = group[5:]
+                elif kind == "SparkListenerTaskEnd":
+                    m = ev.get("Task Metrics") or {}
+                    w = (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                    shuffle[ev["Stage ID"]] = shuffle.get(ev["Stage ID"], 0) + w
+                elif kind == "SparkListenerStageCompleted":
+                    info = ev.get("Stage Info") or {}
+                    shuffle.setdefault(info.get("Stage ID"), 0)
+    out: dict[str, dict[str, int]] = {}
+    for sid, group in group_of_stage.items():
+        if sid not in shuffle:
+            continue                      # skipped (reused) stage
+        rec = out.setdefault(group, {"stages": 0, "shuffle_bytes": 0})
+        rec["stages"] += 1
+        rec["shuffle_bytes"] += shuffle[sid]
+    return out
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    log_dir = tempfile.mkdtemp(prefix="arenalytics-eventlog-")
     spark = build_session(f"local[{cpus}]", app="arenalytics-bench",
                           shuffle_partitions=max(8, cpus * 2),
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g",
+                                 "spark.eventLog.enabled": "true",
+                                 "spark.eventLog.dir": log_dir,
+                                 "spark.eventLog.compress": "false",
+                                 "spark.eventLog.rolling.enabled": "false"})
+    sc = spark.sparkContext
     qs = registry.queries()
 
-    def suite() -> dict[str, float]:
+    def suite(tag: str) -> dict[str, float]:
         times: dict[str, float] = {}
         for name in HEADLINE:
+            sc.setJobGroup(f"{tag}:{name}", name)
             t0 = time.time()
             qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times[name] = round(time.time() - t0, 3)
+        sc.setJobGroup(f"{tag}:full_build", "full_build")
         t0 = time.time()
         m, p = load_raw(spark, sf_dir)
         build.build_all(spark, m, p, scratch_path(spark, "bench-build"), registry.AS_OF)
         times["full_build"] = round(time.time() - t0, 3)
         return times
 
-    cold = suite()
-    warm = suite()
+    cold = suite("cold")
+    warm = suite("warm")
+    spark.stop()                          # flushes the event log
+    try:
+        metrics = stage_metrics(log_dir)
+    except (OSError, ValueError):
+        metrics = {}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(warm.values()), 3),
                       "unit": "sec", "queries": warm, "sf": sf,
-                      "cold_value": round(sum(cold.values()), 3)}))
+                      "cold_value": round(sum(cold.values()), 3),
+                      "stages": {k: v["stages"] for k, v in sorted(metrics.items())},
+                      "shuffle_bytes": {k: v["shuffle_bytes"]
+                                        for k, v in sorted(metrics.items())}}))
 
 
 if __name__ == "__main__":
