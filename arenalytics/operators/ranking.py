@@ -165,7 +165,10 @@ def add_rankings(df: DataFrame, specs: list[RankSpec], strategy: str = "auto",
     """Add one column per spec.
 
     strategy: 'window' (built-in global window), 'distributed', or 'auto'
-    (checkpoint the input, count it, and pick by ``threshold``).
+    (count the input and pick by ``threshold``; with ``materialize`` the input
+    is checkpointed first so it is computed once for the count and the
+    ranking).  ``buckets`` defaults to ``spark.sql.shuffle.partitions``,
+    capped at ``MAX_BUCKETS``.
     """
     if strategy not in ("auto", "window", "distributed"):
         raise ValueError(strategy)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exact import mean_double, rounded_mean, rounded_rate
 from ..functions.classify import STANDARD_ROLES
-from ..operators.mode import mode_by, mode_of_domain
+from ..operators.mode import mode_of_domain
 from ..operators.ranking import RankSpec, add_rankings
 
 MATCH_KEYS = ["match_id", "game_datetime", "game_date", "duration_minutes",
