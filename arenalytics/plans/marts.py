@@ -28,14 +28,52 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str],
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def distinct_count(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
+class EntityKeys:
+    """Group keys of a per-entity mart, encoded so that NULL is a value.
+
+    Every aggregate of the mart groups by (coalesce(key, default), key IS
+    NULL); the aggregates are then joined with a plain equi-join on those
+    columns.  That is NULL-safe (a NULL key meets the other NULL key) and,
+    unlike ``<=>`` join keys, matches the hash partitioning every aggregate
+    already has — the joins add no shuffle.
+    """
+
+    def __init__(self, df: DataFrame, keys: list[str]):
+        self.keys = keys
+        types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        self.encoded = []
+        for i, k in enumerate(keys):
+            default = F.lit("") if types[k] == "string" else F.lit(0).cast(types[k])
+            self.encoded += [F.coalesce(F.col(k), default).alias(f"_key{i}"),
+                             F.col(k).isNull().alias(f"_null{i}")]
+        self.cols = [f"_key{i}" for i in range(len(keys))] + \
+                    [f"_null{i}" for i in range(len(keys))]
+
+    def on(self, df: DataFrame, *extra: str) -> DataFrame:
+        """``df`` with the encoded key columns (and ``extra`` columns kept)."""
+        keep = [c for c in df.columns if c not in self.cols]
+        return df.select(*keep, *self.encoded) if not extra else \
+            df.select(*extra, *self.encoded)
+
+    def decoded(self) -> list:
+        return [F.when(~F.col(f"_null{i}"), F.col(f"_key{i}")).alias(k)
+                for i, k in enumerate(self.keys)]
+
+
+def distinct_count(df: DataFrame, keys: list[str], value: str, alias: str,
+                   ek: EntityKeys | None = None) -> DataFrame:
     """``COUNT(DISTINCT value)`` per key as two narrow aggregates: distinct
     (key, value) pairs — shuffled on both, so one hot key spreads over many
     tasks — then a map-side-combined count per key.  Keys without a non-NULL
-    value get no row (0 after a left join)."""
-    return (df.filter(F.col(value).isNotNull())
-              .select(*keys, value).distinct()
-              .groupBy(*keys).agg(F.count(F.lit(1)).alias(alias)))
+    value get no row (0 after a left join).  With ``ek`` the result is keyed
+    by the encoded key columns."""
+    if ek is None:
+        return (df.filter(F.col(value).isNotNull())
+                  .select(*keys, value).distinct()
+                  .groupBy(*keys).agg(F.count(F.lit(1)).alias(alias)))
+    rows = ek.on(df.filter(F.col(value).isNotNull()), value)
+    return (rows.distinct()
+                .groupBy(*ek.cols).agg(F.count(F.lit(1)).alias(alias)))
 
 
 def fact_matches(stg_m: DataFrame, stg_p: DataFrame) -> DataFrame:
@@ -95,9 +133,11 @@ def dim_champions(stg_p: DataFrame) -> DataFrame:
     collapses to one partial row per task); the role mode is six conditional
     counts inside it (the standardised role has a fixed set of labels).  The
     two exact distinct counts are separate (champion, value) aggregates — a
-    champion is a hot key by nature, and these shuffle on the pair.
+    champion is a hot key by nature, and these shuffle on the pair.  All three
+    share the encoded champion key, so joining them adds no shuffle.
     """
-    base = stg_p.groupBy(*CHAMPION_KEYS).agg(
+    ek = EntityKeys(stg_p, CHAMPION_KEYS)
+    base = ek.on(stg_p).groupBy(*ek.cols).agg(
         F.count(F.lit(1)).alias("total_games"),
         F.sum(F.when(F.col("win"), 1).otherwise(0)).alias("total_wins"),
         rounded_rate("win").alias("win_rate"),
@@ -115,10 +155,11 @@ def dim_champions(stg_p: DataFrame) -> DataFrame:
         F.max("loaded_at").alias("last_seen"),
         mode_of_domain("standardized_role", STANDARD_ROLES).alias("most_played_role"),
     )
-    out = join_null_safe(
-        join_null_safe(base, distinct_count(stg_p, CHAMPION_KEYS, "match_id", "total_matches"),
-                       CHAMPION_KEYS),
-        distinct_count(stg_p, CHAMPION_KEYS, "puuid", "unique_players"), CHAMPION_KEYS)
+    out = (base.join(distinct_count(stg_p, CHAMPION_KEYS, "match_id", "total_matches", ek),
+                     ek.cols, "left")
+               .join(distinct_count(stg_p, CHAMPION_KEYS, "puuid", "unique_players", ek),
+                     ek.cols, "left"))
+    out = out.select(*ek.decoded(), *[c for c in out.columns if c not in ek.cols])
     return out.select(
         *[F.coalesce(c, F.lit(0)).alias(c) if c in ("total_matches", "unique_players")
           else F.col(c) for c in CHAMPION_COLUMNS])
@@ -147,9 +188,11 @@ def summoner_aggregates(stg_p: DataFrame) -> DataFrame:
     * distinct (player, match) pairs, counted per player.
     Both distinct counts therefore shuffle on (player, value) first, which
     spreads a heavy player over many tasks, and never drag the measure
-    buffers through a row-multiplying Expand.
+    buffers through a row-multiplying Expand.  All three are keyed by the
+    encoded player key, so joining them adds no shuffle.
     """
-    base = stg_p.groupBy("puuid").agg(
+    ek = EntityKeys(stg_p, ["puuid"])
+    base = ek.on(stg_p).groupBy(*ek.cols).agg(
         F.count(F.lit(1)).alias("total_games"),
         F.sum(F.when(F.col("win"), 1).otherwise(0)).alias("total_wins"),
         rounded_rate("win").alias("win_rate"),
@@ -170,16 +213,18 @@ def summoner_aggregates(stg_p: DataFrame) -> DataFrame:
         (F.count_if(F.col("win")).cast("double") / F.count(F.lit(1))).alias("_wr_key"),
         mode_of_domain("standardized_role", STANDARD_ROLES).alias("preferred_role"),
     )
-    per_champ = stg_p.groupBy("puuid", "champion_name").agg(
+    per_champ = ek.on(stg_p, "champion_name", "summoner_name").groupBy(
+        *ek.cols, "champion_name").agg(
         F.count(F.lit(1)).alias("_n"), F.max("summoner_name").alias("_name"))
-    champs = per_champ.groupBy("puuid").agg(
+    champs = per_champ.groupBy(*ek.cols).agg(
         F.max("_name").alias("summoner_name"),
         F.count("champion_name").alias("unique_champions_played"),
         F.min_by(F.col("champion_name"),
                  F.struct(F.col("champion_name").isNull(), -F.col("_n"),
                           F.col("champion_name"))).alias("most_played_champion"))
-    matches = distinct_count(stg_p, ["puuid"], "match_id", "total_matches")
-    out = join_null_safe(join_null_safe(base, champs, ["puuid"]), matches, ["puuid"])
+    matches = distinct_count(stg_p, ["puuid"], "match_id", "total_matches", ek)
+    out = base.join(champs, ek.cols, "left").join(matches, ek.cols, "left")
+    out = out.select(*ek.decoded(), *[c for c in out.columns if c not in ek.cols])
     return out.withColumn("total_matches", F.coalesce("total_matches", F.lit(0)))
 
 

@@ -156,3 +156,21 @@ def test_role_distribution_unrounded(spark):
     out = {r.role: r for r in analytics.role_distribution(cs).collect()}
     assert out["Top"].champion_count == 3
     assert out["Top"].avg_role_winrate == 15005 / 300
+
+
+def test_null_group_keys_are_one_group(spark):
+    """NULL player ids / champion ids form their own group and still get
+    their distinct counts and modes (the joins of the narrow aggregates are
+    NULL-safe)."""
+    parts = [participant(1, "m1", puuid=None, champ="A", champ_id=None),
+             participant(2, "m2", puuid=None, champ="A", champ_id=None),
+             participant(3, "m2", puuid=None, champ="B", champ_id=None),
+             participant(4, "m3", puuid="x", champ="A", champ_id=1)]
+    _, sp = _stg(spark, parts, [match("m1"), match("m2"), match("m3")])
+    ds = {r.puuid: r for r in marts.summoner_aggregates(sp).collect()}
+    assert ds[None].total_games == 3 and ds[None].total_matches == 2
+    assert ds[None].unique_champions_played == 2 and ds[None].most_played_champion == "A"
+    dc = {(r.champion_name, r.champion_id): r for r in marts.dim_champions(sp).collect()}
+    assert dc[("A", None)].total_games == 2 and dc[("A", None)].total_matches == 2
+    assert dc[("A", None)].unique_players == 0        # only NULL players
+    assert dc[("A", 1)].unique_players == 1
