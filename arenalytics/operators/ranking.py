@@ -16,10 +16,11 @@ wrong for a player table at cluster scale.  The distributed form:
    local rank − (rows of earlier buckets tied with this bucket's first value).
    NTILE and PERCENT_RANK follow from row number, rank and the total N.
 
-Range bounds are sampled anew by every execution of the exchange, so the
-bucketed and locally ranked rows are written once (reliable checkpoint in the
-shared ``spark.checkpoint.dir``) and both the per-bucket summary and the final
-rows read that copy; a lost executor re-reads it instead of re-bucketing.
+Range bounds are sampled anew by every execution of the exchange (the sampler
+is seeded by the RDD id), so the bucketed and locally ranked rows are written
+once (Parquet below the shared ``spark.checkpoint.dir``) and both the
+per-bucket summary and the final rows read that copy; a lost executor re-reads
+it instead of re-bucketing.
 
 Below ``threshold`` rows the built-in single-partition window is used.
 """
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exact import int_div
 from ..session import ensure_checkpoint_dir
+from ..session import materialize as write_once
 
 DEFAULT_THRESHOLD = 200_000
 MAX_BUCKETS = 8192
@@ -109,9 +111,8 @@ def _distributed_one(df: DataFrame, s: RankSpec, buckets: int) -> DataFrame:
     # id), so two plans over the same input can bucket rows differently.  The
     # bucketed, locally ranked rows are therefore written once and both the
     # summary and the rows read that copy.
-    local = (parted.withColumn("_rn", F.row_number().over(w_full))
-                   .withColumn("_rk", F.rank().over(w_val))
-                   .checkpoint(eager=True))
+    local = write_once(parted.withColumn("_rn", F.row_number().over(w_full))
+                             .withColumn("_rk", F.rank().over(w_val)), "rank-buckets")
 
     summ = local.groupBy("_b").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -179,7 +180,7 @@ def add_rankings(df: DataFrame, specs: list[RankSpec], strategy: str = "auto",
     if strategy == "auto":
         if materialize:
             # counted once, then read by whichever path runs
-            df = df.checkpoint(eager=True)
+            df = write_once(df, "rank-input")
         if df.count() <= threshold:
             return _window_columns(df, specs)
     if buckets is None:

@@ -20,7 +20,7 @@ from ..functions.timeutil import ntz_literal
 from ..operators import quality as Q
 from ..operators.load import insert_if_absent
 from ..operators.topn import latest_matches_per_player
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import materialize, scratch_path
 from ..sources import lookups
 from ..sources.adapter import load_raw
 from ..sources.tables import read_table
@@ -50,8 +50,8 @@ class Models:
     The marts read the staged participants several times (measures, distinct
     counts, modes, the total-matches subquery).  As in a full build, where the
     staging table is written once and read by every mart, ``shared_stg`` is
-    materialized once per query (reliable checkpoint in the shared folder)
-    instead of recomputing the scan, joins and staging per consumer.
+    written once per query (Parquet in the shared checkpoint folder) instead
+    of recomputing the scan, joins and staging per consumer.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, strategy: str = "auto",
@@ -72,8 +72,7 @@ class Models:
     @property
     def shared_stg(self) -> DataFrame:
         if self._shared is None:
-            ensure_checkpoint_dir(self.spark)
-            self._shared = self.stg_participants.checkpoint(eager=True)
+            self._shared = materialize(self.stg_participants, "stg-participants")
         return self._shared
 
     def fact_matches(self) -> DataFrame:

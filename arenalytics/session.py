@@ -115,3 +115,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as Parquet to a new folder below the
+    shared checkpoint folder and reading it back.
+
+    Preferred over ``DataFrame.checkpoint`` for wide intermediate tables:
+    columnar and compressed on disk, and every later reader scans only the
+    columns it uses.  Losing an executor after this point re-reads the files
+    instead of recomputing the lineage.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
