@@ -20,7 +20,7 @@ from ..functions.timeutil import ntz_literal
 from ..operators import quality as Q
 from ..operators.load import insert_if_absent
 from ..operators.topn import latest_matches_per_player
-from ..session import materialize, scratch_path
+from ..session import scratch_path
 from ..sources import lookups
 from ..sources.adapter import load_raw
 from ..sources.tables import read_table
@@ -47,11 +47,11 @@ def oracle_types(df: DataFrame) -> DataFrame:
 class Models:
     """Lazily built model chain for one (session, sf_dir).
 
-    The marts read the staged participants several times (measures, distinct
-    counts, modes, the total-matches subquery).  As in a full build, where the
-    staging table is written once and read by every mart, ``shared_stg`` is
-    written once per query (Parquet in the shared checkpoint folder) instead
-    of recomputing the scan, joins and staging per consumer.
+    Each registered query is one lazy plan from the raw tables; the marts'
+    several reads of the staged participants are separate scans of it.  (The
+    full refresh, ``plans/build.py``, stores the staging table once and every
+    mart reads the stored copy; measured in-process at sf0.1, writing staging
+    per query did not pay for itself in local mode.)
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, strategy: str = "auto",
@@ -59,7 +59,6 @@ class Models:
         self.spark, self.sf_dir = spark, sf_dir
         self.strategy, self.rank_opts = strategy, rank_opts
         self.raw_matches, self.raw_participants = load_raw(spark, sf_dir)
-        self._shared: DataFrame | None = None
 
     @property
     def stg_matches(self) -> DataFrame:
@@ -69,28 +68,22 @@ class Models:
     def stg_participants(self) -> DataFrame:
         return staging.stg_participants(self.raw_participants, self.stg_matches)
 
-    @property
-    def shared_stg(self) -> DataFrame:
-        if self._shared is None:
-            self._shared = materialize(self.stg_participants, "stg-participants")
-        return self._shared
-
     def fact_matches(self) -> DataFrame:
-        return marts.fact_matches(self.stg_matches, self.shared_stg)
+        return marts.fact_matches(self.stg_matches, self.stg_participants)
 
     def dim_champions(self) -> DataFrame:
-        return marts.dim_champions(self.shared_stg)
+        return marts.dim_champions(self.stg_participants)
 
     def dim_summoners(self) -> DataFrame:
-        return marts.dim_summoners(self.shared_stg, strategy=self.strategy,
+        return marts.dim_summoners(self.stg_participants, strategy=self.strategy,
                                    **self.rank_opts)
 
     def champion_stats(self) -> DataFrame:
-        return analytics.champion_stats(self.dim_champions(), self.shared_stg,
+        return analytics.champion_stats(self.dim_champions(), self.stg_participants,
                                         AS_OF, strategy=self.strategy, **self.rank_opts)
 
     def player_performance(self) -> DataFrame:
-        return analytics.player_performance(self.dim_summoners(), self.shared_stg,
+        return analytics.player_performance(self.dim_summoners(), self.stg_participants,
                                             AS_OF, strategy=self.strategy,
                                             **self.rank_opts)
 
@@ -228,7 +221,7 @@ def _dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Models(spark, sf_dir)
-    rm, rp, sm, sp = m.raw_matches, m.raw_participants, m.stg_matches, m.shared_stg
+    rm, rp, sm, sp = m.raw_matches, m.raw_participants, m.stg_matches, m.stg_participants
     return Q.summarize([
         Q.Check("raw_matches.match_id", Q.not_null(rm, "match_id")),
         Q.Check("raw_matches.game_creation", Q.not_null(rm, "game_creation")),
@@ -260,8 +253,8 @@ def _dq_accepted_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.summarize([
         Q.Check("stg_matches.duration_seconds",
                 Q.accepted_range(m.stg_matches, "duration_seconds", 60, 10800)),
-        Q.Check("stg_participants.kills", Q.accepted_range(m.shared_stg, "kills", 0, 100)),
-        Q.Check("stg_participants.deaths", Q.accepted_range(m.shared_stg, "deaths", 0, 100)),
+        Q.Check("stg_participants.kills", Q.accepted_range(m.stg_participants, "kills", 0, 100)),
+        Q.Check("stg_participants.deaths", Q.accepted_range(m.stg_participants, "deaths", 0, 100)),
     ])
 
 
