@@ -22,15 +22,21 @@ def build_all(spark: SparkSession, raw_matches: DataFrame, raw_participants: Dat
     """Write every dataset below ``out_dir``; returns name → path."""
     paths: dict[str, str] = {}
 
-    def put(name: str, df: DataFrame, partition_by=None) -> DataFrame:
+    def put(name: str, df: DataFrame, by_date: bool = False) -> DataFrame:
         path = os.path.join(out_dir, name)
-        write_layer(df, path, partition_by)
+        if by_date:
+            write_layer(df, path, partition_by=["game_date"],
+                        cluster_by=["game_date", "match_id"])
+        else:
+            write_layer(df, path)
         paths[name] = path
         return spark.read.parquet(path)
 
-    sm = put("stg_matches", staging.stg_matches(raw_matches))
+    # match-grain tables are stored by game date: date-bounded reads (e.g.
+    # the project's start-date variable) prune folders
+    sm = put("stg_matches", staging.stg_matches(raw_matches), by_date=True)
     sp = put("stg_participants", staging.stg_participants(raw_participants, sm))
-    put("fact_matches", marts.fact_matches(sm, sp))
+    put("fact_matches", marts.fact_matches(sm, sp), by_date=True)
     dc = put("dim_champions", marts.dim_champions(sp))
     ds = put("dim_summoners", marts.dim_summoners(sp, strategy=strategy))
     # the two reports are stored ordered by games played (a distributed range
