@@ -38,7 +38,10 @@ def main():
     print("driver's single-row-group files are hash-partitioned once by order key); on")
     print("many-file inputs those exchanges do not exist.  Single-partition exchanges")
     print("are global aggregates of one row, the per-bucket ranking summary, or the")
-    print("built-in window on inputs under the ranking threshold.\n")
+    print("built-in window on inputs under the ranking threshold.  Registered queries are")
+    print("lazy plans from the raw tables, so a mart with several aggregates (measures +")
+    print("distinct counts) repeats the stand-in scan and its spreading per aggregate; in")
+    print("the full build those aggregates read the stored staging table instead.\n")
     print("| Query | Shuffles | Single-partition | Broadcasts | Sort-merge joins "
           "| Python nodes | Pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
