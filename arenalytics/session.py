@@ -9,7 +9,7 @@ laptop) do we pick a folder of our own.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -23,8 +23,6 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # checkpoint files of rankings are removed once their RDD is unreachable
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Settings the models need on any session they run in (runtime SQL confs, so
@@ -94,8 +92,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if none is set.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Tests and local runs leave it unset; then a fresh folder under the
-    system temp directory is registered.
+    as is.  Only a local master may leave it unset; then a fresh folder under
+    the system temp directory is registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -104,6 +102,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and "
+                               "all executors share")
         conf_dir = tempfile.mkdtemp(prefix="arenalytics-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -111,10 +112,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, never reused folder below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, name: str):
