@@ -1,2 +1,10 @@
 """Training-data operators: filtering, deduplication, scoring, sharding and
 packing of text corpora.  Nothing outside this package imports it."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with the job, so executors need no copy
+# of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -20,7 +20,8 @@ LOWER = UPPER.lower()
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 __all__ = ["UPPER", "LOWER", "WORD_PATTERN", "ascii_lower", "bounded_rows", "doubles_literal",
-           "id_and_text", "materialize", "read_table", "text_bytes", "text_or_empty"]
+           "id_and_text", "let", "materialize", "read_table", "text_bytes", "text_or_empty",
+           "words_of"]
 
 
 def text_or_empty(col: str = "text") -> Column:
@@ -59,3 +60,13 @@ def bounded_rows(df: DataFrame, limit: int) -> DataFrame:
 
 def session_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often the
+    body (or a lambda in it) uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0))

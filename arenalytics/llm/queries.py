@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .minhash import near_duplicates
+from .quality import judge_quality
 from .sharding import assign_shards
 from .url_filter import judge_urls
 
@@ -17,6 +19,17 @@ def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents (b-bit MinHash)."""
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op9_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts and verdict of every document."""
+    return judge_quality(read_table(spark, sf_dir, "documents"),
+                         read_table(spark, sf_dir, "labels"))
+
+
 def op10_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's url."""
     return judge_urls(read_table(spark, sf_dir, "pages")) \
@@ -24,7 +37,8 @@ def op10_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_histogram_shards, op10_redirect_equivalence)}
+    return {f.__name__: f for f in (
+        op4_histogram_shards, op8_bbit_minhash, op9_ngram_ratio, op10_redirect_equivalence)}
 
 
 def oracle_sql() -> dict[str, str]:
