@@ -6,12 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .decontaminate import contaminated
 from .minhash import near_duplicates
 from .quality import judge_quality
 from .sharding import assign_shards
 from .url_filter import judge_urls
 
 
+def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, with the overlap found."""
+    return contaminated(read_table(spark, sf_dir, "documents"),
+                        read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of near equal bytes (histogram sort)."""
     out = assign_shards(read_table(spark, sf_dir, "documents"), 24)
@@ -38,7 +45,7 @@ def op10_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op4_histogram_shards, op8_bbit_minhash, op9_ngram_ratio, op10_redirect_equivalence)}
+        op1_spaced_seeds, op4_histogram_shards, op8_bbit_minhash, op9_ngram_ratio, op10_redirect_equivalence)}
 
 
 def oracle_sql() -> dict[str, str]:
