@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
 from .decontaminate import contaminated
 from .minhash import near_duplicates
+from .packing import pack_documents
 from .quality import judge_quality
+from .secrets import scan_secrets
 from .sharding import assign_shards
 from .url_filter import judge_urls
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold a benchmark item, with the overlap found."""
@@ -26,6 +31,16 @@ def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 4096 tokens (Karmarkar-Karp)."""
+    return pack_documents(read_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op6_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets in every document."""
+    return scan_secrets(read_table(spark, sf_dir, "documents"))
+
+
 def op8_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (b-bit MinHash)."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -45,7 +60,8 @@ def op10_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_spaced_seeds, op4_histogram_shards, op8_bbit_minhash, op9_ngram_ratio, op10_redirect_equivalence)}
+        op1_spaced_seeds, op4_histogram_shards, op5_differencing,
+        op6_markov_secrets, op8_bbit_minhash, op9_ngram_ratio, op10_redirect_equivalence)}
 
 
 def oracle_sql() -> dict[str, str]:
