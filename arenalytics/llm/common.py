@@ -7,7 +7,7 @@ re-reads files.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -20,7 +20,7 @@ LOWER = UPPER.lower()
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 __all__ = ["UPPER", "LOWER", "WORD_PATTERN", "ascii_lower", "bounded_rows", "doubles_literal",
-           "id_and_text", "let", "materialize", "read_table", "text_bytes", "text_or_empty",
+           "id_and_text", "let", "materialize", "read_table", "spare_name", "text_bytes", "text_or_empty",
            "words_of"]
 
 
@@ -58,10 +58,6 @@ def bounded_rows(df: DataFrame, limit: int) -> DataFrame:
     return df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 
-def session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
-
-
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often the
     body (or a lambda in it) uses it."""
@@ -70,3 +66,11 @@ def let(value: Column, body) -> Column:
 
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0))
+
+
+def spare_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = "_" + name
+    return name

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, materialize, text_or_empty
+from .common import id_and_text, materialize, spare_name, text_or_empty
 from .wordhash import mix, slices, texts_of, word_bounds, word_hashes
 
 # Fixed masks over windows of SPAN words; 1: regarded.  Each regards 7 of 11.
@@ -208,6 +208,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame,
 def decontaminate(docs: DataFrame, benchmark: DataFrame,
                   min_overlap: float = MIN_OVERLAP) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that hold no item."""
-    bad = contaminated(docs, benchmark, min_overlap).select(
-        F.col("doc_id").alias("__bad_doc")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == F.col("__bad_doc"), "left_anti")
+    name = spare_name(docs, "dropped_id")
+    bad = contaminated(docs, benchmark, min_overlap).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, docs["doc_id"].cast("long") == F.col(name), "left_anti")

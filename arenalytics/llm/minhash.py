@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, materialize
+from .common import id_and_text, materialize, spare_name
 from .components import connected_components
 from .wordhash import mix, shingle_sets
 
@@ -231,3 +231,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def keep_one_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose document is the one
+    kept of its component.  Rows that repeat one doc_id are one document."""
+    gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    name = spare_name(docs, "dropped_id")
+    return docs.join(gone.toDF(name), docs["doc_id"].cast("long") == F.col(name), "left_anti")

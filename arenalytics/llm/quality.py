@@ -16,7 +16,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_rows, doubles_literal, let, materialize, text_or_empty, words_of
+from .common import bounded_rows, doubles_literal, let, materialize, spare_name, text_or_empty,
+                     words_of
 
 SYMBOLS = "#*$%&|<>"                 # fixed by the contract
 WHITE = " \t\n\x0b\f\r"
@@ -134,37 +135,56 @@ def _base(d: DataFrame) -> DataFrame:
                         | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words")))
 
 
+def fit_quality(docs: DataFrame, labels: DataFrame | None,
+                trusted_docs: int = TRUSTED_DOCS) -> tuple[list[float], float]:
+    """(log ratio per bucket, threshold).  ``labels`` (doc_id, quality): rows
+    with quality 1 are trusted; of them the ``trusted_docs`` with the smallest
+    hash of their id are used.  Without any every ratio and the threshold are 0."""
+    none = [0.0] * BUCKETS, 0.0
+    if labels is None:
+        return none
+    trusted = bounded_rows(
+        labels.filter("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
+        .filter("doc_id is not null").distinct(), trusted_docs)
+    folds = materialize(trusted.select(
+        "doc_id", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)).cast("int").alias("fold")),
+        "trusted")
+    counts = bucket_counts(docs, folds)
+    raw = [c[0] for c in counts]
+    if not sum(c[1] + c[2] for c in counts):
+        return none
+    without = [doubles_literal(log_ratios([c[k] for c in counts], raw)) for k in (2, 1)]
+    held = _base(_counted(docs).join(F.broadcast(folds), "doc_id")).filter(~F.col("base_failed"))
+    score = F.when(F.col("fold") == 0, mean_ratio(F.col("words"), without[0])) \
+             .otherwise(mean_ratio(F.col("words"), without[1]))
+    threshold = held.agg(F.min(score).alias("s")).first()["s"]
+    return log_ratios([c[1] + c[2] for c in counts], raw), float(threshold or 0.0)
+
+
 def judge_quality(docs: DataFrame, labels: DataFrame | None,
                   trusted_docs: int = TRUSTED_DOCS) -> DataFrame:
     """One row per document: the counts, base_failed, score, threshold, kept.
 
-    ``labels`` (doc_id, quality): rows with quality 1 are trusted; of them the
-    ``trusted_docs`` with the smallest hash of their id are used.  Without any
-    trusted document every score is 0 and the base rules decide alone.  A null
-    text is empty and fails the base rules; repeated rows are judged alike; an
-    empty table gives no rows; other columns are ignored.
+    Without any trusted document every score is 0 and the base rules decide
+    alone.  A null text is empty and fails the base rules; repeated rows are
+    judged alike; an empty table gives no rows; other columns are ignored.
     """
-    ratios, threshold = [0.0] * BUCKETS, 0.0
-    if labels is not None:
-        trusted = bounded_rows(
-            labels.filter("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
-            .filter("doc_id is not null").distinct(), trusted_docs)
-        folds = materialize(trusted.select(
-            "doc_id", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)).cast("int").alias("fold")),
-            "trusted")
-        counts = bucket_counts(docs, folds)
-        raw = [c[0] for c in counts]
-        if sum(c[1] + c[2] for c in counts):
-            ratios = log_ratios([c[1] + c[2] for c in counts], raw)
-            other = [doubles_literal(log_ratios([c[k] for c in counts], raw)) for k in (2, 1)]
-            held = _base(_counted(docs).join(F.broadcast(folds), "doc_id")) \
-                .filter(~F.col("base_failed"))
-            score = F.when(F.col("fold") == 0, mean_ratio(F.col("words"), other[0])) \
-                     .otherwise(mean_ratio(F.col("words"), other[1]))
-            threshold = held.agg(F.min(score).alias("s")).first()["s"] or 0.0
+    ratios, threshold = fit_quality(docs, labels, trusted_docs)
     out = _base(_counted(docs))
     out = out.withColumn("score", mean_ratio(F.col("words"), doubles_literal(ratios)))
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "score", F.lit(float(threshold)).alias("threshold"),
-        (~F.col("base_failed") & (F.col("score") >= float(threshold))).alias("kept"))
+        "base_failed", "score", F.lit(threshold).alias("threshold"),
+        (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame | None,
+              trusted_docs: int = TRUSTED_DOCS) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that judge_quality keeps."""
+    ratios, threshold = fit_quality(docs, labels, trusted_docs)
+    words = spare_name(docs, "words")
+    w = F.col(words)
+    good = ((F.size(w) >= MIN_WORDS)
+            & (100 * repeated_words(w) <= MAX_REPEAT * F.size(w))
+            & (mean_ratio(w, doubles_literal(ratios)) >= threshold))
+    return docs.withColumn(words, words_of(text_or_empty())).filter(good).drop(words)
