@@ -16,8 +16,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_rows, doubles_literal, let, materialize, spare_name, text_or_empty,
-                     words_of
+from .common import (
+    bounded_rows, doubles_literal, let, materialize, spare_name, text_or_empty, words_of)
 
 SYMBOLS = "#*$%&|<>"                 # fixed by the contract
 WHITE = " \t\n\x0b\f\r"
