@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .decontaminate import contaminated
+from .language_model import score_documents
 from .minhash import near_duplicates
 from .packing import pack_documents
 from .quality import judge_quality
@@ -41,6 +42,11 @@ def op6_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op7_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document."""
+    return score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op8_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (b-bit MinHash)."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -61,7 +67,7 @@ def op10_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_spaced_seeds, op4_histogram_shards, op5_differencing,
-        op6_markov_secrets, op8_bbit_minhash, op9_ngram_ratio, op10_redirect_equivalence)}
+        op6_markov_secrets, op7_deleted_interpolation, op8_bbit_minhash, op9_ngram_ratio, op10_redirect_equivalence)}
 
 
 def oracle_sql() -> dict[str, str]:
