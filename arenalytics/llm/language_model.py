@@ -18,50 +18,37 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, materialize, text_bytes
-from .wordhash import mix, slices, texts_of, word_bounds, word_hashes
+from .chunks import (
+    CHUNK_BYTES, Key, in_chunks, range_bits, range_edges, rows_table, squeeze, squeeze_sorted,
+    unsqueeze, unsqueeze_sorted, unzipped)
+from .common import materialize, text_bytes
+from .wordhash import mix, slices, word_bounds, word_hashes
 
 FOLDS, HELD_OUT = 5, 1            # fixed by the contract
 EM_FOLD = 0                       # training fold whose counts are deleted for EM
-CHUNK_BYTES = 4 << 20
 END, START = np.uint64(0x5851F42D4C957F2C), np.uint64(0x14057B7EF767814E)
 CLASSES = 24                      # context-frequency buckets
 LEVELS = 48                       # half-octave steps of a probability in the EM table
 EM_ROUNDS = 60
 
-Key = tuple[pa.Scalar, ...]
-
 SENT = "part int, chunk long, keys binary, counts binary"
+SENT_ROWS = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("keys", pa.binary()),
+                       ("counts", pa.binary())])
 RETURNED = ("part int, chunk long, counts binary, kept binary, tokens long, types long, "
             "kept_tokens long")
 SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
           "score double")
 
 
-def _squeeze(a: np.ndarray) -> bytes:
-    """Whole numbers as compressed byte planes (high, mostly equal bytes together)."""
-    planes = np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def _unsqueeze(b: bytes) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
-    return np.ascontiguousarray(raw.reshape(8, -1).T).view("<u8").reshape(-1)
-
-
 class _Chunk:
     """The tokens of a chunk's documents, laid end to end in document order."""
 
     def __init__(self, table: pa.Table):
-        table = table.combine_chunks()
         self.ids = table.column("doc_id")
-        text = table.column("text")
-        text = text.chunk(0) if text.num_chunks else pa.array([], pa.string())
-        data, off = texts_of(text)
+        data, off = unzipped(table)
         tokens, lengths = [], []
         for i, j in slices(off):
             b, o = data[off[i]:off[j]], off[i:j + 1] - off[i]
@@ -91,23 +78,13 @@ class _Chunk:
         end = np.searchsorted(self.keys, END & even)
         self.context[self.first] = end
 
-    def parts(self, bits: int) -> np.ndarray:
-        """Boundaries of the key ranges in ``keys``."""
-        edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
-        return np.r_[0, np.searchsorted(self.keys, edges), len(self.keys)]
-
 
 def _send(bits: int):
     def run(key: Key, table: pa.Table) -> pa.Table:
         chunk = _Chunk(table)
-        edges = chunk.parts(bits)
-        rows = [(p, key[0].as_py(), _squeeze(np.diff(chunk.keys[a:z], prepend=np.uint64(0))),
-                 _squeeze(chunk.counts[a:z]))
-                for p, (a, z) in enumerate(zip(edges[:-1], edges[1:])) if z > a]
-        cols = list(zip(*rows)) or [[]] * 4
-        return pa.table({"part": pa.array(cols[0], pa.int32()), "chunk": pa.array(cols[1], pa.int64()),
-                         "keys": pa.array(cols[2], pa.binary()),
-                         "counts": pa.array(cols[3], pa.binary())})
+        return rows_table([(p, key[0].as_py(), squeeze_sorted(chunk.keys[a:z]),
+                            squeeze(chunk.counts[a:z]))
+                           for p, a, z in range_edges(chunk.keys, bits)], SENT_ROWS)
     return run
 
 
@@ -115,8 +92,8 @@ def _add_up(key: Key, table: pa.Table) -> pa.Table:
     """All counts of one key range, handed back chunk by chunk; and its totals
     (chunk null)."""
     chunks = table.column("chunk").to_numpy()
-    keys = [np.cumsum(_unsqueeze(b.as_py()), dtype=np.uint64) for b in table.column("keys")]
-    counts = [_unsqueeze(b.as_py()).astype(np.int64) for b in table.column("counts")]
+    keys = [unsqueeze_sorted(b.as_py()) for b in table.column("keys")]
+    counts = [unsqueeze(b.as_py()).astype(np.int64) for b in table.column("counts")]
     fold = chunks % FOLDS
     every, place = np.unique(np.concatenate(keys), return_inverse=True)
     at = np.cumsum([0, *map(len, keys)])
@@ -129,7 +106,7 @@ def _add_up(key: Key, table: pa.Table) -> pa.Table:
     rows = []
     for i, c in enumerate(chunks.tolist()):
         own = place[at[i]:at[i + 1]]
-        rows.append((c, _squeeze(total[own]), _squeeze(kept[own]) if fold[i] == EM_FOLD else None,
+        rows.append((c, squeeze(total[own]), squeeze(kept[own]) if fold[i] == EM_FOLD else None,
                      0, 0, 0))
     word = (every & np.uint64(1)) == 0
     rows.append((None, None, None, int(total[word].sum()), int(np.count_nonzero(total[word])),
@@ -145,7 +122,7 @@ def _add_up(key: Key, table: pa.Table) -> pa.Table:
 def _returned(counts: pa.Table, column: str) -> np.ndarray:
     """A chunk's counts in the order of its keys."""
     parts = sorted(zip(counts.column("part").to_pylist(), counts.column(column).to_pylist()))
-    return np.concatenate([_unsqueeze(b) for _, b in parts]).astype(np.float64) if parts \
+    return np.concatenate([unsqueeze(b) for _, b in parts]).astype(np.float64) if parts \
         else np.empty(0)
 
 
@@ -233,11 +210,11 @@ def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFram
     """
     size = text_bytes(docs)
     n = max(1, -(-size // (FOLDS * chunk_bytes)))
-    bits = max(4, (n * FOLDS - 1).bit_length() - 1)
+    bits = range_bits(n * FOLDS)
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
     # the rest of a chunk's number, divided by FOLDS, is its fold
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(n)) * FOLDS + fold
-    d = id_and_text(docs).withColumn("chunk", chunk.cast("long"))
+    d = in_chunks(docs, chunk)
 
     sent = d.groupBy("chunk").applyInArrow(_send(bits), SENT)
     counts = materialize(sent.groupBy("part").applyInArrow(_add_up, RETURNED), "ngram-counts")
@@ -246,7 +223,7 @@ def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFram
     counts = counts.filter("chunk is not null")
 
     em = F.col("chunk") % FOLDS == EM_FOLD
-    table = (d.filter(em).groupBy("chunk")
+    table = (in_chunks(docs.filter(fold == EM_FOLD), chunk).groupBy("chunk")
              .cogroup(counts.filter(em).select("chunk", "part", "kept").groupBy("chunk"))
              .applyInArrow(_deleted(t["kept_tokens"]), "cell long, n double, f2 double, f1 double")
              .groupBy("cell").agg(F.sum("n").alias("n"), F.sum("f2").alias("f2"), F.sum("f1").alias("f1")))
