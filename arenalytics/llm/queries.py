@@ -14,6 +14,7 @@ from .packing import pack_documents
 from .quality import judge_quality
 from .secrets import scan_secrets
 from .sharding import assign_shards
+from .suffix_dedup import remove_repeats
 from .toxicity import classify
 from .url_filter import judge_urls
 
@@ -31,6 +32,11 @@ def op2_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op3_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat an earlier one's 50-byte strings."""
+    return remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of near equal bytes (histogram sort)."""
     out = assign_shards(read_table(spark, sf_dir, "documents"), 24)
@@ -72,7 +78,7 @@ def op10_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_spaced_seeds, op2_classifier_chain, op4_histogram_shards, op5_differencing,
+        op1_spaced_seeds, op2_classifier_chain, op3_prefix_doubling, op4_histogram_shards, op5_differencing,
         op6_markov_secrets, op7_deleted_interpolation, op8_bbit_minhash, op9_ngram_ratio, op10_redirect_equivalence)}
 
 
