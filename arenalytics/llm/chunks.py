@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import id_and_text
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20      # a task holds some twenty times this in arrays
 
 Key = tuple[pa.Scalar, ...]
 
@@ -66,8 +66,8 @@ def in_chunks(docs: DataFrame, chunk: Column) -> DataFrame:
 
 
 def range_bits(chunks: int) -> int:
-    """Bits of the key-range number: about half as many ranges as chunks."""
-    return max(4, (chunks - 1).bit_length() - 1)
+    """Bits of the key-range number: as many ranges as chunks, or up to twice."""
+    return max(4, (chunks - 1).bit_length())
 
 
 def range_edges(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:

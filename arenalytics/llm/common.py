@@ -7,7 +7,7 @@ re-reads files.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -20,7 +20,7 @@ LOWER = UPPER.lower()
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 __all__ = ["UPPER", "LOWER", "WORD_PATTERN", "ascii_lower", "bounded_rows", "doubles_literal",
-           "id_and_text", "let", "materialize", "read_table", "spare_name", "text_bytes", "text_or_empty",
+           "id_and_text", "let", "materialize", "small_batches", "read_table", "spare_name", "text_bytes", "text_or_empty",
            "words_of"]
 
 
@@ -74,3 +74,9 @@ def spare_name(df: DataFrame, name: str) -> str:
     while name.lower() in have:
         name = "_" + name
     return name
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts may be long: bound what a Python task gets at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))

@@ -9,9 +9,9 @@
    all; pairs are screened by the collision-corrected similarity of the packed
    signatures and confirmed on the full shingle sets; links are merged into
    components.  Buckets whose members are then of one component need nothing
-   more.  In the others, members of different components are still paired:
-   all of them in small buckets, against more and more hubs in large ones,
-   until no untested pair across components is left.
+   more.  In the others, members of different components are still screened:
+   all of them in buckets of at most SMALL_BUCKET, against more and more hubs
+   in larger ones, until no untested pair across components is left.
 
 Only what could change a component is tested, so a group of thousands of near
 copies costs about one test per member, and no link between components is
@@ -39,7 +39,7 @@ SIG_LONGS = N * LOW_BITS // 64
 # A pair whose estimate is this far below the threshold is not confirmed: five
 # standard deviations of the estimate at similarity 0.75.
 SCREEN = 0.52
-SMALL_BUCKET = 32
+SMALL_BUCKET = 2048
 
 _SEEDS = np.random.RandomState(20240917)
 _MULT = _SEEDS.randint(1, 1 << 62, N).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -134,79 +134,83 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _links(pairs: DataFrame, sigs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` that are links: screened on signatures and set
-    sizes, confirmed on the shingle sets of the whole texts."""
-    s = sigs.select("doc_id", "n", "sig")
-    screened = (
-        pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        .join(s.toDF("a", "n_a", "sig_a"), "a").join(s.toDF("b", "n_b", "sig_b"), "b")
-        .filter((SIMILARITY[1] * F.least("n_a", "n_b") >= SIMILARITY[0] * F.greatest("n_a", "n_b"))
-                & (estimated_similarity("sig_a", "sig_b") >= SCREEN)).select("a", "b"))
-    screened = materialize(screened, "minhash-screened")
-    ids = screened.select(F.col("a").alias("doc_id")) \
-        .union(screened.select(F.col("b").alias("doc_id"))).distinct()
-    texts = materialize(id_and_text(docs).join(ids, "doc_id").dropDuplicates(["doc_id"]),
-                        "minhash-texts")
-    wide = screened.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-    return materialize(wide.mapInArrow(_confirm, "a long, b long"), "minhash-links")
+def _may_link(a: str, b: str) -> Column:
+    """Whether two members (their ``n`` and ``sig``) pass the screen: set sizes
+    that allow the threshold, and an estimate not far below it."""
+    return ((SIMILARITY[1] * F.least(f"n_{a}", f"n_{b}")
+             >= SIMILARITY[0] * F.greatest(f"n_{a}", f"n_{b}"))
+            & (estimated_similarity(f"sig_{a}", f"sig_{b}") >= SCREEN))
+
 
+def _screened(left: DataFrame, right: DataFrame, more: Column) -> DataFrame:
+    """(a, b), a < b: members of one bucket that pass the screen; the screen is
+    part of the join, so nothing else leaves it."""
+    def named(df: DataFrame, x: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"{c}_{x}") for c in df.columns])
+    x, y = named(left, "x"), named(right, "y")
+    return (x.join(y, (F.col("key_x") == F.col("key_y")) & more & _may_link("x", "y"))
+            .select(F.least("doc_id_x", "doc_id_y").alias("a"),
+                    F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct())
 
-def _merge(comp: DataFrame, links: DataFrame) -> DataFrame:
-    """New (doc_id, comp) after ``links`` (a, b)."""
-    named = links.join(comp.toDF("a", "src"), "a").join(comp.toDF("b", "dst"), "b")
-    cc = connected_components(named.select("src", "dst")) \
-        .select(F.col("node").alias("comp"), F.col("component").alias("root"))
-    return materialize(comp.join(cc, "comp", "left")
-                       .select("doc_id", F.coalesce("root", "comp").alias("comp")), "minhash-comp")
 
+def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` that are links by the sets of their whole texts."""
+    pairs = materialize(pairs, "minhash-pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    texts = materialize(id_and_text(docs).join(ids, "doc_id").dropDuplicates(["doc_id"]),
+                        "minhash-texts")
+    wide = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+    return wide.mapInArrow(_confirm, "a long, b long")
 
-def _pairs_with_hubs(members: DataFrame, hubs: DataFrame) -> DataFrame:
-    return (members.join(hubs.select("key", F.col("doc_id").alias("a"), F.col("comp").alias("comp_a")),
-                         "key")
-            .filter(F.col("comp") != F.col("comp_a"))
-            .select("a", F.col("doc_id").alias("b")))
+
+def _merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(doc_id, comp) of all linked documents, after ``links`` (a, b)."""
+    edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    if comp is not None:
+        edges = edges.union(comp.select("doc_id", "comp"))
+    return connected_components(edges).toDF("doc_id", "comp")
 
 
 def link_components(sigs: DataFrame, docs: DataFrame, max_rounds: int = 20) -> DataFrame:
-    """(doc_id, comp) of the documents in ``sigs`` that have a band in common
-    with another; the rest is alone."""
+    """(doc_id, comp) of the documents in ``sigs`` that are linked with another."""
     bands = sigs.select("doc_id", F.explode("bands").alias("key"))
     sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
     members = materialize(bands.join(sizes, "key"), "minhash-members")
     degree = members.groupBy("doc_id").agg(F.sum("size").alias("degree"))
-    members = materialize(members.join(degree, "doc_id").select("key", "doc_id", "degree"),
+    about = sigs.select("doc_id", "n", "sig").join(degree, "doc_id")
+    members = materialize(members.join(about, "doc_id"), "minhash-members")
+    hubs = members.groupBy("key").agg(F.max_by("doc_id", "degree").alias("hub"))
+    members = materialize(members.join(hubs, "key").select("key", "size", "doc_id", "n", "sig", "hub"),
                           "minhash-members")
-    comp = materialize(degree.select("doc_id", F.col("doc_id").alias("comp")), "minhash-comp")
 
-    hubs = members.groupBy("key").agg(F.max_by("doc_id", "degree").alias("doc_id"))
-    hubs = materialize(hubs, "minhash-hubs")
-    now = members.join(comp, "doc_id")
-    pairs = _pairs_with_hubs(now, hubs.withColumn("comp", F.col("doc_id")))
-    comp = _merge(comp, _links(pairs, sigs, docs))
-    members = members.join(hubs, ["key", "doc_id"], "left_anti")
+    is_hub = F.col("doc_id") == F.col("hub")
+    comp = _merged(None, _links(_screened(
+        members.filter(~is_hub).select("key", "doc_id", "n", "sig"),
+        members.filter(is_hub).select("key", "doc_id", "n", "sig"), F.lit(True)), docs))
 
+    members = members.filter(~is_hub).select("key", "size", "doc_id", "n", "sig")
     for round_ in range(max_rounds):
-        now = members.join(comp, "doc_id")
-        mixed = (now.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"),
-                                        F.max("comp").alias("hi"))
-                 .filter(F.col("lo") != F.col("hi")).select("key", "size"))
-        members = materialize(now.join(mixed, "key").select("key", "doc_id", "comp", "size"),
-                              "minhash-mixed")
-        if members.isEmpty():
+        now = members.join(comp, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+        mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
+                   .filter(F.col("lo") != F.col("hi")).select("key")
+        now = materialize(now.join(mixed, "key"), "minhash-mixed")
+        if now.isEmpty():
             return comp
-        # small buckets: every pair across components, at most SMALL_BUCKET per member
-        small = members.filter(F.col("size") <= SMALL_BUCKET)
-        pairs = _pairs_with_hubs(small, small).filter(F.col("a") < F.col("b"))
-        # large ones: against a growing number of hubs, which are then done
-        large = members.filter(F.col("size") > SMALL_BUCKET)
-        share = F.lit(SMALL_BUCKET * 2.0 ** round_) / F.col("size")
+        # buckets of a known size: every pair across components
+        fields = ["key", "doc_id", "n", "sig", "comp"]
+        small = now.filter(F.col("size") <= SMALL_BUCKET).select(fields)
+        pairs = _screened(small, small, F.col("comp_x") < F.col("comp_y"))
+        # larger ones: against a growing number of hubs, which are then done
+        large = now.filter(F.col("size") > SMALL_BUCKET)
         draw = F.pmod(F.xxhash64("doc_id", F.lit(round_)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        hub = draw < share
-        pairs = pairs.union(_pairs_with_hubs(large, large.filter(hub)))
-        links = _links(pairs, sigs, docs)
-        comp = _merge(comp, links)
-        members = large.filter(~hub).select("key", "doc_id")
+        drawn = draw < F.lit(SMALL_BUCKET * 2.0 ** round_) / F.col("size")
+        pairs = pairs.union(_screened(large.select(fields), large.filter(drawn).select(fields),
+                                      F.col("comp_x") != F.col("comp_y"))).distinct()
+        comp = _merged(comp, _links(pairs, docs))
+        members = materialize(large.filter(~drawn).select("key", "size", "doc_id", "n", "sig"),
+                              "minhash-members")
+        if members.isEmpty():
+            return comp
     raise RuntimeError("near-duplicate buckets did not settle")
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, small_batches
 from .decontaminate import contaminated
 from .language_model import score_documents
 from .minhash import near_duplicates
@@ -77,9 +77,18 @@ def op10_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (
-        op1_spaced_seeds, op2_classifier_chain, op3_prefix_doubling, op4_histogram_shards, op5_differencing,
-        op6_markov_secrets, op7_deleted_interpolation, op8_bbit_minhash, op9_ngram_ratio, op10_redirect_equivalence)}
+    def prepared(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return f(spark, sf_dir)
+        run.__doc__ = f.__doc__
+        return run
+
+    return {f.__name__: prepared(f) for f in (
+        op1_spaced_seeds, op2_classifier_chain, op3_prefix_doubling,
+        op4_histogram_shards, op5_differencing, op6_markov_secrets,
+        op7_deleted_interpolation, op8_bbit_minhash, op9_ngram_ratio,
+        op10_redirect_equivalence)}
 
 
 def oracle_sql() -> dict[str, str]:
