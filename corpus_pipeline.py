@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenalytics.llm.common import materialize, read_table
+from arenalytics.llm.common import materialize, read_table, small_batches
 from arenalytics.llm.decontaminate import decontaminate
 from arenalytics.llm.minhash import keep_one_each
 from arenalytics.llm.packing import pack_documents
@@ -28,11 +28,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component."""
+    small_batches(spark)
     return keep_one_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    small_batches(spark)
     return decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
@@ -46,6 +48,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in windows of 4096 tokens."""
+    small_batches(spark)
     return pack_documents(docs, TOKENIZER)
 
 
