@@ -30,7 +30,7 @@ from .common import id_and_text, materialize
 WINDOW, END_ID = 4096, 2           # fixed by the contract
 PARTS = 4                          # pieces of a remainder: at most WINDOW / PARTS ids
 BATCH_PIECES = 2048
-CACHE_WORDS = 500_000              # words whose ids a task remembers
+CACHE_WORDS = 250_000              # words whose ids a worker remembers
 NARROW_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 # The white-space-free words of these two settings can be encoded one by one.
@@ -96,6 +96,18 @@ class Encoder:
             yield b"".join(map(self.known.__getitem__, words))
 
 
+def encoder_of(path: str) -> Encoder:
+    """The worker's one encoder of a tokenizer.  It is kept on the tokenizers
+    module, which outlives a task: a tokenizer loaded anew by every task does
+    not give all its memory back."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_encoders_by_path", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def cuts(n: int, window: int = WINDOW, parts: int = PARTS) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` ids."""
     out = [(s, window) for s in range(0, n - window + 1, window)]
@@ -111,7 +123,7 @@ def cuts(n: int, window: int = WINDOW, parts: int = PARTS) -> list[tuple[int, in
 
 def _pieces(path: str, window: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             doc, start, length, crc, total, ids_col = [], [], [], [], [], []
