@@ -402,14 +402,44 @@ SELECT champion_name, champion_id, most_played_role FROM champ_mode"""
 DOCS = """
 doc_orders AS (
   SELECT o.*,
-         (o.o_orderstatus = 'P' AND o.o_orderpriority = '5-LOW') AS is_empty,
-         (o.o_orderstatus = 'P' AND o.o_orderpriority = '4-NOT SPECIFIED') AS is_malformed,
-         EXISTS (SELECT 1 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-                 WHERE l.l_orderkey = o.o_orderkey) AS has_players
+         (o.o_orderstatus = 'P' AND o.o_orderpriority = '5-LOW') AS empty_beside,
+         (o.o_orderstatus = 'P' AND o.o_orderpriority = '4-NOT SPECIFIED') AS malformed_beside
   FROM orders o
 ),
-valid_orders AS (
-  SELECT * FROM doc_orders WHERE NOT is_empty AND NOT is_malformed AND has_players
+doc_players AS (
+  SELECT l.*, (l.role_ = 'JUNGLE' AND l.l_returnflag <> 'R') AS jungle_lane,
+         '{"puuid":"' || l.o_custkey || '"'
+         || CASE WHEN l.l_linenumber <= 4 THEN ',"riotIdGameName":"player_' || l.o_custkey || '"' ELSE '' END
+         || CASE WHEN l.l_linenumber BETWEEN 3 AND 6 THEN ',"summonerName":"sn_' || l.o_custkey || '"' ELSE '' END
+         || ',"championId":' || (CAST(substr(l.p_brand, 7, 10) AS INTEGER) * 100 + l.p_size)
+         || ',"championName":"' || l.p_brand || '_' || l.p_size || '"'
+         || ',"teamId":' || CASE WHEN l.l_linenumber % 2 = 1 THEN 100 ELSE 200 END
+         || CASE WHEN l.role_ <> '' THEN ',"teamPosition":"' || l.role_ || '"' ELSE '' END
+         || CASE WHEN l.role_ = 'JUNGLE' AND l.l_returnflag <> 'R' THEN ',"lane":"JUNGLE"' ELSE '' END
+         || ',"kills":' || CAST(floor(l.l_quantity) AS INTEGER)
+         || ',"deaths":' || (l.l_linenumber - 1)
+         || ',"assists":' || CAST(round(l.l_discount * 100) AS INTEGER)
+         || ',"goldEarned":' || CAST(floor(l.l_extendedprice) AS INTEGER)
+         || ',"totalDamageDealtToChampions":' || (l.l_partkey * 37 + l.l_suppkey) % 40000
+         || ',"totalDamageTaken":' || (l.l_suppkey * 91 + l.l_partkey) % 40000
+         || ',"visionScore":' || l.l_linenumber * 5
+         || ',"totalMinionsKilled":' || CAST(floor(l.l_quantity) AS INTEGER) * 3
+         || ',"neutralMinionsKilled":' || CAST(floor(l.l_quantity) AS INTEGER)
+         || ',"win":' || CASE WHEN l.l_linestatus = 'O' THEN 'true' ELSE 'false' END
+         || CASE WHEN l.l_returnflag = 'R' THEN ',"lane":null' ELSE '' END
+         || ',"item0":' || l.l_suppkey || '}' AS player_text
+  FROM raw_lines l
+),
+doc_texts AS (
+  SELECT r.match_id,
+         '{"metadata":{"dataVersion":"2","matchId":"' || r.match_id || '"},"info":{"gameCreation":'
+         || r.game_creation || ',"gameDuration":' || r.game_duration
+         || ',"gameMode":"CLASSIC","gameType":"MATCHED_GAME","gameVersion":"' || r.game_version
+         || '","platformId":"' || r.platform_id || '","queueId":' || r.queue_id || ',"participants":['
+         || coalesce(string_agg(p.player_text, ',' ORDER BY p.l_linenumber, p.player_text), '')
+         || ']}}' AS raw_data
+  FROM raw_matches r LEFT JOIN doc_players p ON CAST(p.l_orderkey AS VARCHAR) = r.match_id
+  GROUP BY r.match_id, r.game_creation, r.game_duration, r.game_version, r.platform_id, r.queue_id
 )"""
 
 BATCH_LOADED = ("CASE WHEN v.o_orderdate < TIMESTAMP '1998-01-01' "
@@ -428,15 +458,19 @@ def _loading_queries() -> dict[str, str]:
     base = with_ctes(RAW, DOCS)
     q: dict[str, str] = {}
     q["incremental_load"] = base + f"""
-SELECT {MATCH_COLS}, {BATCH_LOADED} AS loaded_at
-FROM raw_matches r JOIN valid_orders v ON r.match_id = CAST(v.o_orderkey AS VARCHAR)"""
+SELECT {MATCH_COLS}, t.raw_data, {BATCH_LOADED} AS loaded_at
+FROM raw_matches r JOIN doc_orders v ON r.match_id = CAST(v.o_orderkey AS VARCHAR)
+     JOIN doc_texts t ON t.match_id = r.match_id"""
 
     q["stream_incremental_load"] = base + f"""
-SELECT {MATCH_COLS}, TIMESTAMP '2001-11-07' AS loaded_at
-FROM raw_matches r JOIN valid_orders v ON r.match_id = CAST(v.o_orderkey AS VARCHAR)"""
+SELECT {MATCH_COLS}, t.raw_data, TIMESTAMP '2001-11-07' AS loaded_at
+FROM raw_matches r JOIN doc_texts t ON t.match_id = r.match_id"""
 
     q["explode_participants"] = base + f"""
-SELECT CAST(l.l_orderkey AS VARCHAR) AS match_id,
+SELECT CAST('0x' || substr(md5(CAST(l.l_orderkey AS VARCHAR) || ':' || (row_number() OVER (
+              PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.player_text) - 1)), 1, 15)
+            AS BIGINT) AS id,
+       CAST(l.l_orderkey AS VARCHAR) AS match_id,
        CAST(l.o_custkey AS VARCHAR) AS puuid,
        CASE WHEN l.l_linenumber <= 4 THEN 'player_' || CAST(l.o_custkey AS VARCHAR)
             WHEN l.l_linenumber BETWEEN 3 AND 6 THEN 'sn_' || CAST(l.o_custkey AS VARCHAR)
@@ -444,8 +478,8 @@ SELECT CAST(l.l_orderkey AS VARCHAR) AS match_id,
        CAST(CAST(substr(l.p_brand, 7, 10) AS INTEGER) * 100 + l.p_size AS INTEGER) AS champion_id,
        l.p_brand || '_' || CAST(l.p_size AS VARCHAR) AS champion_name,
        CAST(CASE WHEN l.l_linenumber % 2 = 1 THEN 100 ELSE 200 END AS INTEGER) AS team_id,
-       l.role_ AS role,
-       CASE WHEN l.role_ = 'JUNGLE' AND l.l_returnflag <> 'R' THEN 'JUNGLE' ELSE '' END AS lane,
+       coalesce(l.role_, '') AS role,
+       CASE WHEN l.jungle_lane THEN 'JUNGLE' WHEN l.l_returnflag = 'R' THEN NULL ELSE '' END AS lane,
        CAST(floor(l.l_quantity) AS INTEGER) AS kills,
        CAST(l.l_linenumber - 1 AS INTEGER) AS deaths,
        CAST(round(l.l_discount * 100) AS INTEGER) AS assists,
@@ -455,38 +489,44 @@ SELECT CAST(l.l_orderkey AS VARCHAR) AS match_id,
        CAST(l.l_linenumber * 5 AS INTEGER) AS vision_score,
        CAST(floor(l.l_quantity) AS INTEGER) * 4 AS cs,
        l.l_linestatus = 'O' AS win,
+       l.player_text AS raw_data,
        {BATCH_LOADED} AS loaded_at
-FROM raw_lines l JOIN valid_orders v ON l.l_orderkey = v.o_orderkey"""
+FROM doc_players l JOIN doc_orders v ON l.l_orderkey = v.o_orderkey"""
 
     q["load_stats"] = base + """,
-lines2 AS (
-  SELECT * FROM doc_orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'
+batch_orders AS (
+  SELECT 1 AS b, * FROM doc_orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
+  UNION ALL
+  SELECT 2 AS b, * FROM doc_orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'
   UNION ALL
-  SELECT * FROM doc_orders WHERE year(o_orderdate) = 1999
+  SELECT 2 AS b, * FROM doc_orders WHERE year(o_orderdate) = 1999
+),
+lines_of AS (
+  SELECT b, count(*) AS documents, count_if(empty_beside) AS empty, count_if(malformed_beside) AS bad
+  FROM batch_orders GROUP BY b
+),
+ids_of AS (SELECT DISTINCT b, o_orderkey, o_custkey, o_orderdate FROM batch_orders),
+new_of AS (
+  SELECT b, o_orderkey FROM ids_of WHERE b = 1 OR o_orderdate >= TIMESTAMP '1998-01-01'
 ),
-cls AS (
-  SELECT *, CASE WHEN is_malformed THEN 'error' WHEN is_empty THEN 'empty'
-                 WHEN NOT has_players THEN 'error' ELSE 'ok' END AS st
-  FROM lines2
+inserted AS (SELECT b, count(*) AS n FROM new_of GROUP BY b),
+players_in AS (
+  SELECT n.b, count(*) AS n FROM new_of n JOIN raw_lines l ON l.l_orderkey = n.o_orderkey GROUP BY n.b
 ),
-v2 AS (SELECT DISTINCT o_orderkey, o_orderdate FROM cls WHERE st = 'ok'),
-players2 AS (
-  SELECT v2.o_orderkey, v2.o_orderdate, o.o_custkey
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN v2 ON l.l_orderkey = v2.o_orderkey
+players_seen AS (
+  SELECT i.b, count(DISTINCT i.o_custkey) AS n
+  FROM ids_of i JOIN raw_lines l ON l.l_orderkey = i.o_orderkey GROUP BY i.b
 )
-SELECT CAST(2 AS BIGINT) AS batch_id,
-       (SELECT count(*) FROM cls) AS matches_found,
-       (SELECT count(*) FROM v2 WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS matches_inserted,
-       CAST((SELECT count(*) FROM cls WHERE st = 'ok') - (SELECT count(*) FROM v2)
-            + (SELECT count(*) FROM v2 WHERE o_orderdate < TIMESTAMP '1998-01-01') AS BIGINT)
-         AS matches_skipped,
-       (SELECT count(*) FROM players2 WHERE o_orderdate >= TIMESTAMP '1998-01-01')
-         AS participants_inserted,
-       (SELECT count(*) FROM cls WHERE st = 'error') AS errors,
-       (SELECT count(*) FROM cls WHERE st = 'empty') AS empty_documents,
-       (SELECT count(DISTINCT o_custkey) FROM players2) AS summoners_processed"""
+SELECT CAST(t.b AS BIGINT) AS batch_id,
+       CAST(t.documents + t.empty + t.bad AS BIGINT) AS matches_found,
+       i.n AS matches_inserted,
+       CAST(t.documents - i.n AS BIGINT) AS matches_skipped,
+       p.n AS participants_inserted,
+       CAST(t.bad AS BIGINT) AS errors,
+       CAST(t.empty AS BIGINT) AS empty_documents,
+       s.n AS summoners_processed
+FROM lines_of t JOIN inserted i ON i.b = t.b JOIN players_in p ON p.b = t.b
+     JOIN players_seen s ON s.b = t.b"""
 
     q["anti_join_new_matches"] = with_ctes(RAW) + """
 SELECT n.match_id, n.game_creation, n.game_duration, n.game_mode, n.game_type,

@@ -129,21 +129,20 @@ def _incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping batches of match documents (with repeats, empty and
     malformed lines) loaded insert-if-absent; the resulting raw.matches."""
     sink = ingest.run_two_batches(spark, sf_dir, scratch_path(spark, "ingest"))
-    return ingest.read_sink(spark, sink, "matches").drop("raw_data", "batch_id")
+    return ingest.read_sink(spark, sink, "matches").drop("run_id", "batch_id")
 
 
 def _explode_participants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw.participants after the two-batch load (participant arrays
     exploded only for newly inserted matches)."""
     sink = ingest.run_two_batches(spark, sf_dir, scratch_path(spark, "ingest"))
-    return ingest.read_sink(spark, sink, "participants").drop("id", "raw_data", "batch_id")
+    return ingest.read_sink(spark, sink, "participants").drop("run_id", "batch_id")
 
 
 def _load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load statistics of the second (overlapping) batch."""
+    """Load statistics of both batches."""
     sink = ingest.run_two_batches(spark, sf_dir, scratch_path(spark, "ingest"))
-    return ingest.read_sink(spark, sink, "load_stats").filter(F.col("batch_id") == 2) \
-                 .select(*ingest.STATS_COLUMNS)
+    return ingest.read_sink(spark, sink, "load_stats").select(*ingest.STATS_COLUMNS)
 
 
 STREAM_LOADED = dt.datetime(2001, 11, 7)
@@ -151,13 +150,13 @@ STREAM_LOADED = dt.datetime(2001, 11, 7)
 
 def _stream_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same landing folders consumed by a Structured Streaming query
-    (availableNow, two files per micro-batch, foreachBatch loader)."""
+    (availableNow, sixteen files per micro-batch, foreachBatch loader)."""
     root = scratch_path(spark, "stream")
     ingest.write_stand_in_landing(spark, sf_dir, f"{root}/landing")
     sink = f"{root}/sink"
     run_incremental_stream(spark, f"{root}/landing/*", sink, f"{root}/checkpoint",
-                           STREAM_LOADED, max_files_per_trigger=2)
-    return ingest.read_sink(spark, sink, "matches").drop("raw_data", "batch_id")
+                           STREAM_LOADED, max_files_per_trigger=16)
+    return ingest.read_sink(spark, sink, "matches").drop("run_id", "batch_id")
 
 
 ANTI_JOIN_NEW_FROM = dt.datetime(1997, 1, 1)

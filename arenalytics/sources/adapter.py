@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table, spread
+from .tables import read_table
 
 # Fixed stand-in mappings (input shaping only).
 PRIORITY_TO_QUEUE = [("1-URGENT", 420), ("2-HIGH", 440), ("3-MEDIUM", 400),
@@ -97,8 +97,8 @@ def raw_participants_from_lines(lineitem: DataFrame, orders: DataFrame,
 
 def load_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(raw.matches, raw.participants) stand-ins for one scale factor."""
-    orders = spread(read_table(spark, sf_dir, "orders"), "o_orderkey")
-    lineitem = spread(read_table(spark, sf_dir, "lineitem"), "l_orderkey")
+    orders = read_table(spark, sf_dir, "orders")
+    lineitem = read_table(spark, sf_dir, "lineitem")
     matches = raw_matches_from_orders(orders)
     participants = raw_participants_from_lines(lineitem, orders,
                                                read_table(spark, sf_dir, "part"))

@@ -17,22 +17,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition by ``keys`` only if the input has fewer partitions than
-    the cluster runs tasks at once (e.g. one Parquet file with one row group).
-
-    On real inputs (many files, many row groups) this is a no-op and adds no
-    shuffle.  When it does fire, partitioning by the downstream join key means
-    the next join/aggregate on that key reuses the partitioning.
-    """
-    spark = df.sparkSession
-    want = max(spark.sparkContext.defaultParallelism,
-               int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
-        return df
-    return df.repartition(want, *keys)
-
-
 def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite", cluster_by: list[str] | None = None) -> None:
     """Full-refresh table sink (the models' ``materialized: table``).

@@ -34,9 +34,7 @@ def main():
                     f"{pushed[:160]} |")
     print("# Physical plan shapes\n")
     print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local mode, pre-AQE plan).\n")
-    print("Shuffles include the stand-in input spreading (`sources.tables.spread`: the")
-    print("driver's single-row-group files are hash-partitioned once by order key); on")
-    print("many-file inputs those exchanges do not exist.  Single-partition exchanges")
+    print("Single-partition exchanges")
     print("are global aggregates of one row, the per-bucket ranking summary, or the")
     print("built-in window on inputs under the ranking threshold.  Registered queries are")
     print("lazy plans from the raw tables, so a mart with several aggregates (measures +")
