@@ -29,7 +29,9 @@ MIN_VALUE, MIN_ACCESS = 8, 16
 
 METHOD = "markov"
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"             # what the method judges
-IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_-]{5,}"   # ordinary tokens it learns from
+# Ordinary tokens it learns from: shorter than those it judges, so that a secret
+# nobody has labelled is not learnt as ordinary.
+IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_][A-Za-z0-9_-]{5,14}(?![A-Za-z0-9+/_=-])"
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 MIN_RATIO = 0.5                              # mean nats per character
 SAMPLE_DOCS = 20_000                         # documents the identifiers are taken from

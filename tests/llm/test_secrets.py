@@ -45,10 +45,10 @@ def test_models_part_random_from_ordinary(spark):
         return "".join(rnd.choice(alphabet) for _ in range(n))
     stems = ["parse", "table", "count", "value", "config", "reader", "handle", "index", "buffer", "result"]
 
-    def name():
-        return "_".join(rnd.choice(stems) for _ in range(4))
+    def name(n=2):
+        return "_".join(rnd.choice(stems) for _ in range(n))
     rows = [(i, f"{name()} then token={key(24)} and {name()}") for i in range(400)]
-    bare, names = [key(30) for _ in range(50)], [name() for _ in range(50)]
+    bare, names = [key(30) for _ in range(50)], [name(4) for _ in range(50)]
     rows += [(1000 + i, f"see {b} here") for i, b in enumerate(bare)]
     rows += [(2000 + i, f"call {n} here") for i, n in enumerate(names)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
