@@ -4,41 +4,38 @@ A window with no PARTITION BY puts every row in one task
 (``Exchange SinglePartition``).  That is right for a few thousand champions and
 wrong for a player table at cluster scale.  The distributed form:
 
-1. ``repartitionByRange(P, value, tiebreak…)`` — sampled bounds on the full
-   sort key, so even a value shared by a third of all rows is split over many
-   buckets; the bucket id is ``spark_partition_id()``.
+1. The input is written once; each ranking then works on a narrow projection
+   (entity key, value).  ``repartitionByRange(P, value, key)`` — sampled bounds
+   on the value and the key, so even a value shared by a third of all rows is
+   split over many buckets; the bucket id is ``spark_partition_id()``.
 2. Inside each bucket, ordinary windows give the local row number and the
    local rank (ties on the value only).
 3. A one-row-per-bucket summary (row count, first and last value, rows tied
    at the last value) becomes prefix offsets with tiny windows; it has at most
-   P rows, so broadcasting it is bounded by construction.
+   P rows, one per task of the shuffle.
 4. Global row number = offset + local row number.  Global rank = offset +
    local rank − (rows of earlier buckets tied with this bucket's first value).
    NTILE and PERCENT_RANK follow from row number, rank and the total N.
+5. The ranks are joined back to the input by the entity key.
 
 Range bounds are sampled anew by every execution of the exchange (the sampler
 is seeded by the RDD id), so the bucketed and locally ranked rows are written
 once (Parquet below the shared ``spark.checkpoint.dir``) and both the
 per-bucket summary and the final rows read that copy; a lost executor re-reads
 it instead of re-bucketing.
-
-Below ``threshold`` rows the built-in single-partition window is used.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exact import int_div
-from ..session import ensure_checkpoint_dir
 from ..session import materialize as write_once
 
-DEFAULT_THRESHOLD = 200_000
-MAX_BUCKETS = 8192
-
 
 @dataclass(frozen=True)
 class RankSpec:
@@ -82,30 +79,14 @@ def _ntile(rn: Column, n: Column, tiles: int) -> Column:
     return F.when(i < big, first).otherwise(rest).cast("int")
 
 
-def _window_columns(df: DataFrame, specs: list[RankSpec]) -> DataFrame:
-    out = df
-    for s in specs:
-        w_val = Window.orderBy(s.value_order())
-        w_full = Window.orderBy(*s.full_order())
-        if s.kind == "rank":
-            col = F.rank().over(w_val).cast("long")
-        elif s.kind == "percent_rank":
-            col = F.percent_rank().over(w_val)
-        elif s.kind == "ntile":
-            col = F.ntile(s.tiles).over(w_full)
-        elif s.kind == "row_number":
-            col = F.row_number().over(w_full).cast("long")
-        else:
-            raise ValueError(s.kind)
-        out = out.withColumn(s.out, col)
-    return out
-
-
-def _distributed_one(df: DataFrame, s: RankSpec, buckets: int) -> DataFrame:
+def _ranks(df: DataFrame, s: RankSpec, key: list[str], buckets: int) -> DataFrame:
+    """(key…, ranking column) of one spec."""
     order = s.full_order()
-    parted = df.repartitionByRange(buckets, *order).withColumn(
-        "_b", F.spark_partition_id())
-    w_full = Window.partitionBy("_b").orderBy(*order)
+    rest = [F.col(k).asc_nulls_last() for k in key if k not in s.tiebreak]
+    parted = (df.select(*dict.fromkeys([*key, s.value, *s.tiebreak]))
+              .repartitionByRange(buckets, *order, *rest)
+              .withColumn("_b", F.spark_partition_id()))
+    w_full = Window.partitionBy("_b").orderBy(*order, *rest)
     w_val = Window.partitionBy("_b").orderBy(s.value_order())
     # Range bounds are sampled per execution (the sampler is seeded by the RDD
     # id), so two plans over the same input can bucket rows differently.  The
@@ -141,7 +122,7 @@ def _distributed_one(df: DataFrame, s: RankSpec, buckets: int) -> DataFrame:
                 F.col("_prev_cum")).otherwise(F.lit(0)))
             .select("_b", "_off", "_N", "_first", "_first_null", "_eq_before"))
 
-    j = local.join(F.broadcast(summ), "_b")
+    j = local.join(summ, "_b")
     is_first = F.when(F.col("_first_null"), F.col(s.value).isNull()).otherwise(
         F.col(s.value).eqNullSafe(F.col("_first")))
     rn = F.col("_off") + F.col("_rn")
@@ -157,36 +138,24 @@ def _distributed_one(df: DataFrame, s: RankSpec, buckets: int) -> DataFrame:
         col = rn.cast("long")
     else:
         raise ValueError(s.kind)
-    return j.select(*df.columns, col.alias(s.out))
+    return j.select(*key, col.alias(s.out))
 
 
-def add_rankings(df: DataFrame, specs: list[RankSpec], strategy: str = "auto",
-                 threshold: int = DEFAULT_THRESHOLD, buckets: int | None = None,
-                 materialize: bool = True) -> DataFrame:
+def add_rankings(df: DataFrame, specs: list[RankSpec], key: list[str],
+                 buckets: int | None = None) -> DataFrame:
     """Add one column per spec.
 
-    strategy: 'window' (built-in global window), 'distributed', or 'auto'
-    (count the input and pick by ``threshold``; with ``materialize`` the input
-    is checkpointed first so it is computed once for the count and the
-    ranking).  ``buckets`` defaults to ``spark.sql.shuffle.partitions``,
-    capped at ``MAX_BUCKETS``.
+    ``key`` names the columns that tell the rows apart (nulls allowed); equal
+    values are split over buckets by it and the ranks come back by it.  One
+    path for every size; ``buckets`` defaults to ``spark.sql.shuffle.partitions``.
     """
-    if strategy not in ("auto", "window", "distributed"):
-        raise ValueError(strategy)
-    if strategy == "window":
-        return _window_columns(df, specs)
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    if strategy == "auto":
-        if materialize:
-            # counted once, then read by whichever path runs
-            df = write_once(df, "rank-input")
-        if df.count() <= threshold:
-            return _window_columns(df, specs)
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    buckets = max(1, min(buckets, MAX_BUCKETS))
-    out = df
+    out = df = write_once(df, "rank-input")
     for s in specs:
-        out = _distributed_one(out, s, buckets)
+        ranks = _ranks(df, s, key, max(1, buckets))
+        names = [f"_key{i}" for i in range(len(key))]
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, names)])
+        out = out.join(ranks.toDF(*names, s.out), same, "left").drop(*names)
     return out

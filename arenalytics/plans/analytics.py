@@ -46,14 +46,14 @@ def total_matches(stg_p: DataFrame) -> Column:
 
 
 def champion_stats(dim_c: DataFrame, stg_p: DataFrame, as_of,
-                   strategy: str = "auto", **rank_opts) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """Ranked champion table with pick rate and tier (23 columns)."""
     c = dim_c.withColumn(
         "pick_rate", round_ratio(F.col("total_games") * 100, total_matches(stg_p), 2))
     ranked = add_rankings(c, [
         RankSpec("winrate_rank", "rank", "win_rate", descending=True),
         RankSpec("popularity_rank", "rank", "total_games", descending=True),
-    ], strategy=strategy, **rank_opts)
+    ], ["champion_id", "champion_name"], buckets)
     return ranked.select(
         *[F.col(x) for x in CHAMPION_STATS_COLUMNS[:19]],
         C.champion_tier("win_rate", "total_games").alias("tier"),
@@ -69,13 +69,13 @@ def recent_games(stg_p: DataFrame, as_of) -> DataFrame:
 
 
 def player_performance(dim_s: DataFrame, stg_p: DataFrame, as_of,
-                       strategy: str = "auto", **rank_opts) -> DataFrame:
+                       buckets: int | None = None) -> DataFrame:
     """Player report with deciles, skill tier and activity (28 columns)."""
     p = dim_s.join(recent_games(stg_p, as_of), "puuid", "left")
     ranked = add_rankings(p, [
         RankSpec("kda_decile", "ntile", "avg_kda", tiebreak=("puuid",)),
         RankSpec("winrate_decile", "ntile", "win_rate", tiebreak=("puuid",)),
-    ], strategy=strategy, **rank_opts)
+    ], ["puuid"], buckets)
     days = F.datediff(as_of_date(as_of), F.to_date("last_game"))
     return ranked.select(
         "puuid", "summoner_name", "total_games",

@@ -18,7 +18,7 @@ from . import analytics, marts, staging
 
 
 def build_all(spark: SparkSession, raw_matches: DataFrame, raw_participants: DataFrame,
-              out_dir: str, as_of, strategy: str = "auto") -> dict[str, str]:
+              out_dir: str, as_of) -> dict[str, str]:
     """Write every dataset below ``out_dir``; returns name → path."""
     paths: dict[str, str] = {}
 
@@ -38,14 +38,14 @@ def build_all(spark: SparkSession, raw_matches: DataFrame, raw_participants: Dat
     sp = put("stg_participants", staging.stg_participants(raw_participants, sm))
     put("fact_matches", marts.fact_matches(sm, sp), by_date=True)
     dc = put("dim_champions", marts.dim_champions(sp))
-    ds = put("dim_summoners", marts.dim_summoners(sp, strategy=strategy))
+    ds = put("dim_summoners", marts.dim_summoners(sp))
     # the two reports are stored ordered by games played (a distributed range
     # sort; readers scanning the files in order see the report order)
     by_games = [F.col("total_games").desc(), F.col("champion_name").asc()]
-    cs = put("champion_stats", analytics.champion_stats(dc, sp, as_of, strategy=strategy)
+    cs = put("champion_stats", analytics.champion_stats(dc, sp, as_of)
              .orderBy(*by_games))
     put("player_performance",
-        analytics.player_performance(ds, sp, as_of, strategy=strategy)
+        analytics.player_performance(ds, sp, as_of)
         .orderBy(F.col("total_games").desc(), F.col("puuid").asc()))
     put("meta_analysis", analytics.meta_analysis_json(analytics.meta_analysis(cs, as_of)))
     put("role_distribution", analytics.role_distribution(cs))

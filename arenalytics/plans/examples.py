@@ -46,15 +46,13 @@ def delete_by_key(df: DataFrame, column: str, value) -> DataFrame:
 def resolve_players(tracked: DataFrame, accounts: DataFrame) -> DataFrame:
     """Tracked (name, tag) → puuid; unresolved players keep a NULL puuid.
 
-    Tags arrive as numbers or text, so both sides compare as strings.  The
-    tracked list is configuration-sized and is the broadcast side (a right
-    outer join lets Spark broadcast its left input).
+    Tags arrive as numbers or text, so both sides compare as strings.
     """
     t = tracked.select(F.col("name").cast("string").alias("name"),
                        F.col("tag").cast("string").alias("tag"))
     a = accounts.select(F.col("name").cast("string").alias("name"),
                         F.col("tag").cast("string").alias("tag"), "puuid")
-    return a.join(F.broadcast(t), ["name", "tag"], "right").select("name", "tag", "puuid")
+    return a.join(t, ["name", "tag"], "right").select("name", "tag", "puuid")
 
 
 def unresolved_players(resolved: DataFrame) -> DataFrame:

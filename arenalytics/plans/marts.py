@@ -228,11 +228,11 @@ def summoner_aggregates(stg_p: DataFrame) -> DataFrame:
     return out.withColumn("total_matches", F.coalesce("total_matches", F.lit(0)))
 
 
-def dim_summoners(stg_p: DataFrame, strategy: str = "auto", **rank_opts) -> DataFrame:
+def dim_summoners(stg_p: DataFrame, buckets: int | None = None) -> DataFrame:
     """Per-player profile with KDA and win-rate percentiles (24 columns)."""
     agg = summoner_aggregates(stg_p)
     ranked = add_rankings(agg, [
         RankSpec("kda_percentile", "percent_rank", "_kda_key"),
         RankSpec("winrate_percentile", "percent_rank", "_wr_key"),
-    ], strategy=strategy, **rank_opts)
+    ], ["puuid"], buckets)
     return ranked.select(*SUMMONER_COLUMNS)

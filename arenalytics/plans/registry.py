@@ -54,10 +54,9 @@ class Models:
     per query did not pay for itself in local mode.)
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, strategy: str = "auto",
-                 **rank_opts):
+    def __init__(self, spark: SparkSession, sf_dir: str, buckets: int | None = None):
         self.spark, self.sf_dir = spark, sf_dir
-        self.strategy, self.rank_opts = strategy, rank_opts
+        self.buckets = buckets
         self.raw_matches, self.raw_participants = load_raw(spark, sf_dir)
 
     @property
@@ -75,17 +74,15 @@ class Models:
         return marts.dim_champions(self.stg_participants)
 
     def dim_summoners(self) -> DataFrame:
-        return marts.dim_summoners(self.stg_participants, strategy=self.strategy,
-                                   **self.rank_opts)
+        return marts.dim_summoners(self.stg_participants, buckets=self.buckets)
 
     def champion_stats(self) -> DataFrame:
         return analytics.champion_stats(self.dim_champions(), self.stg_participants,
-                                        AS_OF, strategy=self.strategy, **self.rank_opts)
+                                        AS_OF, buckets=self.buckets)
 
     def player_performance(self) -> DataFrame:
         return analytics.player_performance(self.dim_summoners(), self.stg_participants,
-                                            AS_OF, strategy=self.strategy,
-                                            **self.rank_opts)
+                                            AS_OF, buckets=self.buckets)
 
 
 def _q(build: Callable[[Models], DataFrame], **model_opts):
@@ -95,9 +92,9 @@ def _q(build: Callable[[Models], DataFrame], **model_opts):
     return run
 
 
-# Forced distributed ranking with few buckets: ties and NULL-free runs cross
+# Ranking with few buckets: ties and NULL-free runs cross
 # bucket borders even on small data, so the oracle checks the offset logic.
-DISTRIBUTED = {"strategy": "distributed", "buckets": 7}
+DISTRIBUTED = {"buckets": 7}
 
 
 def _rank_winrate(m: Models) -> DataFrame:

@@ -4,6 +4,7 @@ single-partition window functions (property check over many shapes)."""
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from arenalytics.operators.ranking import RankSpec, _ntile, add_rankings
@@ -26,6 +27,18 @@ def _data(n, distinct, null_share, seed):
     return rows
 
 
+def _window_columns(df, specs):
+    """The same columns by the built-in global windows."""
+    for s in specs:
+        value, full = Window.orderBy(s.value_order()), Window.orderBy(*s.full_order())
+        df = df.withColumn(s.out, {
+            "rank": lambda: F.rank().over(value).cast("long"),
+            "percent_rank": lambda: F.percent_rank().over(value),
+            "ntile": lambda: F.ntile(s.tiles).over(full),
+            "row_number": lambda: F.row_number().over(full).cast("long")}[s.kind]())
+    return df
+
+
 def _collect(df):
     return {r.id: tuple(r[s.out] for s in SPECS) for r in df.collect()}
 
@@ -44,40 +57,43 @@ def _collect(df):
 ])
 def test_distributed_equals_window(spark, n, distinct, null_share, buckets):
     df = spark.createDataFrame(_data(n, distinct, null_share, n), "id int, v double")
-    want = _collect(add_rankings(df, SPECS, strategy="window"))
-    got = _collect(add_rankings(df, SPECS, strategy="distributed", buckets=buckets))
+    want = _collect(_window_columns(df, SPECS))
+    got = _collect(add_rankings(df, SPECS, ["id"], buckets))
     assert got == want
 
 
-def test_auto_picks_by_threshold(spark):
-    df = spark.createDataFrame(_data(50, 4, 0.0, 1), "id int, v double")
-    small = add_rankings(df, SPECS[:1], strategy="auto", threshold=100)
-    big = add_rankings(df, SPECS[:1], strategy="auto", threshold=10, buckets=3)
-    from arenalytics.plans.explain import plan_text
-    assert "SinglePartition" in plan_text(small)
-    assert _collect_one(small) == _collect_one(big)
-
-
-def _collect_one(df):
-    return sorted((r.id, r.rk_desc) for r in df.collect())
-
-
-def test_distributed_rows_never_meet_in_one_task(spark):
-    """The rows are bucketed by range and ranked per bucket; only the
-    per-bucket summary (≤ buckets rows) is gathered and broadcast."""
+def test_rows_never_meet_in_one_task(spark):
+    """Only the per-bucket summary (≤ buckets rows) is gathered."""
+    from arenalytics.operators import ranking
     from arenalytics.plans.explain import plan_text
     df = spark.createDataFrame(_data(100, 10, 0.0, 2), "id int, v double")
-    out = add_rankings(df, [SPECS[0]], strategy="distributed", buckets=4,
-                       materialize=False)
-    text = plan_text(out, "simple")
-    assert "BroadcastExchange" in text
-    # every single-partition exchange sits under the broadcast summary
-    head, _, summary = text.partition("BroadcastExchange")
-    assert "SinglePartition" not in head
+    text = plan_text(ranking._ranks(df, SPECS[0], ["id"], 4), "simple")
+    # the exchange of the rows themselves is behind the written buckets
+    assert "rank-buckets" in text or "FileScan" in text
+    assert "RoundRobin" not in text
+
+
+def test_a_hot_value_is_split(spark, monkeypatch):
+    """A third of the rows share a value: no bucket holds more than twice the mean."""
+    from arenalytics.operators import ranking
+    kept = []
+    write = ranking.write_once
+
+    def keep(df, name):
+        out = write(df, name)
+        kept.append((name, out))
+        return out
+    monkeypatch.setattr(ranking, "write_once", keep)
+    df = spark.range(60_000).select(F.col("id").cast("int").alias("id"), F.when(
+        F.col("id") % 3 == 0, 0.5).otherwise(F.col("id") * 1.0).alias("v"))
+    add_rankings(df, [SPECS[0], SPECS[2]], ["id"], 12).count()
+    for name, out in kept:
+        if name == "rank-buckets":
+            sizes = [r["count"] for r in out.groupBy("_b").count().collect()]
+            assert len(sizes) >= 11 and max(sizes) <= 2 * 60_000 / 12
 
 
 def test_ntile_formula_matches_builtin(spark):
-    from pyspark.sql import Window
     for n in [1, 2, 9, 10, 11, 23, 101]:
         df = spark.range(n).withColumn("rn", F.col("id") + 1)
         got = df.select(_ntile(F.col("rn"), F.lit(n), 10).alias("t"),

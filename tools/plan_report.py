@@ -35,8 +35,8 @@ def main():
     print("# Physical plan shapes\n")
     print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local mode, pre-AQE plan).\n")
     print("Single-partition exchanges")
-    print("are global aggregates of one row, the per-bucket ranking summary, or the")
-    print("built-in window on inputs under the ranking threshold.  Registered queries are")
+    print("are global aggregates of one row or the per-bucket ranking summary.  Ranked")
+    print("marts show only the part after their eager writes.  Registered queries are")
     print("lazy plans from the raw tables, so a mart with several aggregates (measures +")
     print("distinct counts) repeats the stand-in scan and its spreading per aggregate; in")
     print("the full build those aggregates read the stored staging table instead.\n")
