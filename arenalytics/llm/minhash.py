@@ -153,12 +153,9 @@ def _screened(left: DataFrame, right: DataFrame, more: Column) -> DataFrame:
                     F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct())
 
 
-def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` that are links by the sets of their whole texts."""
     pairs = materialize(pairs, "minhash-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = materialize(id_and_text(docs).join(ids, "doc_id").dropDuplicates(["doc_id"]),
-                        "minhash-texts")
     wide = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     return wide.mapInArrow(_confirm, "a long, b long")
 
@@ -183,10 +180,15 @@ def link_components(sigs: DataFrame, docs: DataFrame, max_rounds: int = 20) -> D
     members = materialize(members.join(hubs, "key").select("key", "size", "doc_id", "n", "sig", "hub"),
                           "minhash-members")
 
+    # the texts of all candidates, moved once; the same plan at every size
+    ids = members.select("doc_id").distinct().hint("merge")
+    texts = materialize(id_and_text(docs).join(ids, "doc_id").dropDuplicates(["doc_id"]),
+                        "minhash-texts")
+
     is_hub = F.col("doc_id") == F.col("hub")
     comp = _merged(None, _links(_screened(
         members.filter(~is_hub).select("key", "doc_id", "n", "sig"),
-        members.filter(is_hub).select("key", "doc_id", "n", "sig"), F.lit(True)), docs))
+        members.filter(is_hub).select("key", "doc_id", "n", "sig"), F.lit(True)), texts))
 
     members = members.filter(~is_hub).select("key", "size", "doc_id", "n", "sig")
     for round_ in range(max_rounds):
@@ -206,7 +208,7 @@ def link_components(sigs: DataFrame, docs: DataFrame, max_rounds: int = 20) -> D
         drawn = draw < F.lit(SMALL_BUCKET * 2.0 ** round_) / F.col("size")
         pairs = pairs.union(_screened(large.select(fields), large.filter(drawn).select(fields),
                                       F.col("comp_x") != F.col("comp_y"))).distinct()
-        comp = _merged(comp, _links(pairs, docs))
+        comp = _merged(comp, _links(pairs, texts))
         members = materialize(large.filter(~drawn).select("key", "size", "doc_id", "n", "sig"),
                               "minhash-members")
         if members.isEmpty():

@@ -33,7 +33,7 @@ TOKEN = r"[A-Za-z0-9+/_=-]{16,}"             # what the method judges
 # nobody has labelled is not learnt as ordinary.
 IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_][A-Za-z0-9_-]{5,14}(?![A-Za-z0-9+/_=-])"
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
-MIN_RATIO = 0.5                              # mean nats per character
+MIN_RATIO = 0.1                              # mean nats per character
 SAMPLE_DOCS = 20_000                         # documents the identifiers are taken from
 PLACEHOLDER = "[SECRET]"
 
