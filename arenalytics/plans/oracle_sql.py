@@ -287,6 +287,11 @@ SELECT match_id, region, game_datetime, game_date, game_creation_timestamp,
        """ + dec("dur10", 1) + """ AS duration_minutes,
        game_length_category, queue_type, loaded_at
 FROM stg_matches"""
+    q["sink_round_trip"] = q["stg_matches"]
+    q["delete_by_queue"] = q["stg_matches"] + " WHERE queue_id IS NULL OR queue_id <> 420"
+    q["run_variables"] = q["stg_matches"] + (
+        " WHERE game_date >= DATE '1997-01-01' AND queue_id IN (420, 440)")
+
 
     q["stg_participants"] = BASE + f"""
 SELECT participant_id, match_id, puuid, summoner_name, champion_id, champion_name,
@@ -351,8 +356,8 @@ SELECT puuid, summoner_name, total_games, recent_games, unique_champions_played,
        {AS_OF_TS} AS calculated_at
 FROM player_performance"""
 
-    def top(where: str, order: str, fields: str) -> str:
-        return CHAMP + f"""
+    def top(where: str, order: str, fields: str, head: str = CHAMP) -> str:
+        return head + f"""
 SELECT CAST(row_number() OVER (ORDER BY {order}, champion_name ASC NULLS LAST,
                                   champion_id ASC NULLS LAST) AS INTEGER) AS position, {fields}
 FROM champion_stats {where}
@@ -370,6 +375,35 @@ LIMIT 10"""
         f"champion_name AS champion, {dec('pick_rate100', 2)} AS pick_rate, "
         f"{dec('win_rate100', 2)} AS winrate")
 
+    winrate, pick_rate = (f"CAST({c} / 100.0 AS DECIMAL(18, 2))"
+                          for c in ("win_rate100", "pick_rate100"))
+
+    def json_list(where: str, order: str, keys: list[tuple[str, str]]) -> str:
+        fields = ", ".join(f"{expr} AS {key}" for key, expr in keys)
+        inner = top(where, order, f"champion_name AS champion, {fields}", head="")
+        text = " || ".join(f"""',"{key}":' || coalesce(CAST({key} AS VARCHAR), 'null')"""
+                           for key, _ in keys)
+        return f"""(SELECT '[' || string_agg('{{"champion":"' || champion || '"' || {text} || '}}',
+                         ',' ORDER BY position) || ']' FROM ({inner}) t)"""
+
+    def meta(extra: str) -> str:
+        rows = f"WHERE total_games >= 20 {extra}"
+        best = [("winrate", winrate), ("games", "total_games")]
+        every = "WHERE true " + extra
+        return CHAMP + f"""
+SELECT {json_list(rows, "win_rate100 DESC NULLS FIRST", best)} AS top_champions,
+       {json_list(rows, "win_rate100 ASC NULLS LAST", best)} AS worst_champions,
+       {json_list(every, "pick_rate100 DESC NULLS FIRST",
+                  [("pick_rate", pick_rate), ("winrate", winrate)])} AS most_popular_champions,
+       CAST(sum(win_rate100) AS DOUBLE) / (count(*) * 100) AS global_avg_winrate,
+       CAST(sum(avg_kda100) AS DOUBLE) / (count(*) * 100) AS global_avg_kda,
+       count(*) AS total_champions_played,
+       {AS_OF_TS} AS calculated_at
+FROM champion_stats {every}"""
+
+    q["meta_analysis"] = meta("")
+    q["meta_analysis_small_samples"] = meta("AND total_games < 20")
+
     q["meta_global_stats"] = CHAMP + f"""
 SELECT CAST(sum(win_rate100) AS DOUBLE) / (count(*) * 100) AS global_avg_winrate,
        CAST(sum(avg_kda100) AS DOUBLE) / (count(*) * 100) AS global_avg_kda,
@@ -493,6 +527,16 @@ SELECT CAST('0x' || substr(md5(CAST(l.l_orderkey AS VARCHAR) || ':' || (row_numb
        {BATCH_LOADED} AS loaded_at
 FROM doc_players l JOIN doc_orders v ON l.l_orderkey = v.o_orderkey"""
 
+    q["load_inserted_ids"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS match_id FROM orders
+WHERE o_orderdate >= TIMESTAMP '1998-01-01'"""
+
+    q["player_lookup"] = """
+SELECT t.c_name AS name, CAST(t.tag AS VARCHAR) AS tag, CAST(a.c_custkey AS VARCHAR) AS puuid
+FROM (SELECT c_name, c_nationkey + CASE WHEN c_custkey % 5 = 0 THEN 100 ELSE 0 END AS tag
+      FROM customer) t
+LEFT JOIN customer a ON a.c_name = t.c_name AND a.c_nationkey = t.tag"""
+
     q["load_stats"] = base + """,
 batch_orders AS (
   SELECT 1 AS b, * FROM doc_orders WHERE o_orderdate < TIMESTAMP '1998-01-01'

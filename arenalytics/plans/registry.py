@@ -23,7 +23,7 @@ from ..operators.topn import latest_matches_per_player
 from ..session import scratch_path
 from ..sources import lookups
 from ..sources.adapter import load_raw
-from ..sources.tables import read_table
+from ..sources.tables import read_table, register_view, write_layer
 from ..streaming.incremental import run_incremental_stream
 from . import analytics, examples, ingest, marts, staging
 
@@ -120,6 +120,18 @@ def _mode_role(m: Models) -> DataFrame:
                    "most_played_role")
 
 
+def _meta_analysis(m: Models) -> DataFrame:
+    """The one-row meta report, its lists as JSON text."""
+    return analytics.meta_analysis_json(analytics.meta_analysis(m.champion_stats(), AS_OF))
+
+
+def _meta_analysis_small_samples(m: Models) -> DataFrame:
+    """The same report over champions under the sample size: no champion
+    qualifies for the best and worst lists, which are NULL then."""
+    cs = m.champion_stats().filter(F.col("total_games") < analytics.MIN_GAMES_FOR_RANKING)
+    return analytics.meta_analysis_json(analytics.meta_analysis(cs, AS_OF))
+
+
 # --- loading ---------------------------------------------------------------
 
 def _incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +148,30 @@ def _explode_participants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.read_sink(spark, sink, "participants").drop("run_id", "batch_id")
 
 
+def _load_inserted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys that the second (overlapping) batch really inserted."""
+    sink = ingest.run_two_batches(spark, sf_dir, scratch_path(spark, "ingest"))
+    return ingest.inserted_match_ids(spark, sink, 2)
+
+
+def _player_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracked (name, tag) pairs resolved to player ids; a fifth of the tags
+    belongs to no account and stays unresolved."""
+    c = read_table(spark, sf_dir, "customer")
+    accounts = c.select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("tag"),
+                        F.col("c_custkey").cast("string").alias("puuid"))
+    tag = F.when(F.col("c_custkey") % 5 == 0, F.col("c_nationkey") + 100).otherwise(F.col("c_nationkey"))
+    return examples.resolve_players(c.select(F.col("c_name").alias("name"), tag.alias("tag")), accounts)
+
+
+def _sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """stg_matches through the view sink and the table sink, read back."""
+    path = scratch_path(spark, "sink-round-trip")
+    register_view(Models(spark, sf_dir).stg_matches, "stg_matches_view")
+    write_layer(spark.table("stg_matches_view"), path)
+    return oracle_types(spark.read.parquet(path))
+
+
 def _load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load statistics of both batches."""
     sink = ingest.run_two_batches(spark, sf_dir, scratch_path(spark, "ingest"))
@@ -211,7 +247,8 @@ def _dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
         Q.Check("raw_matches.match_id", Q.unique(m.raw_matches, "match_id")),
         Q.Check("stg_matches.match_id", Q.unique(m.stg_matches, "match_id")),
         Q.Check("dim_champions.champion_name", Q.unique(m.dim_champions(), "champion_name")),
-        Q.Check("dim_summoners.puuid", Q.unique(m.dim_summoners(), "puuid")),
+        Q.Check("dim_summoners.puuid",
+                Q.unique(marts.summoner_aggregates(m.stg_participants), "puuid")),
     ])
 
 
@@ -283,6 +320,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "meta_worst_champions": _q(lambda m: analytics.meta_worst_champions(m.champion_stats())),
         "meta_most_popular": _q(lambda m: analytics.meta_most_popular(m.champion_stats())),
         "meta_global_stats": _q(lambda m: analytics.meta_global_stats(m.champion_stats(), AS_OF)),
+        "delete_by_queue": _q(lambda m: examples.delete_by_key(m.stg_matches, "queue_id", 420)),
+        "run_variables": _q(lambda m: lookups.apply_run_vars(m.stg_matches, "1997-01-01", [420, 440])),
+        "meta_analysis": _q(_meta_analysis),
+        "meta_analysis_small_samples": _q(_meta_analysis_small_samples),
         "role_distribution": _q(lambda m: analytics.role_distribution(m.champion_stats())),
         "rank_winrate": _q(_rank_winrate, **DISTRIBUTED),
         "percent_rank_kda": _q(_percent_rank_kda, **DISTRIBUTED),
@@ -291,6 +332,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_load": _direct(_incremental_load),
         "explode_participants": _direct(_explode_participants),
         "load_stats": _direct(_load_stats),
+        "load_inserted_ids": _direct(_load_inserted_ids),
+        "player_lookup": _direct(_player_lookup),
+        "sink_round_trip": _direct(_sink_round_trip),
         "stream_incremental_load": _direct(_stream_incremental_load),
         "anti_join_new_matches": _direct(_anti_join_new_matches),
         "latest_n_per_player": _direct(_latest_n_per_player),
