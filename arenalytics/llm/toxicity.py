@@ -61,6 +61,14 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 + [pa.array(sets, pa.list_(pa.int32()))], names=[*kept, "features"])
 
 
+def _sets(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    """The rows of a list column as arrays."""
+    a = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if isinstance(a, pa.ChunkedArray):
+        a = a.chunk(0) if a.num_chunks else pa.array([], column.type)
+    return np.split(a.flatten().to_numpy(), np.cumsum(a.value_lengths().to_numpy())[:-1]) if len(a) else []
+
+
 def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
@@ -116,9 +124,9 @@ def _train(step: int):
     """One model: the sample without fold ``model`` (all of it for -1)."""
     def run(key: Key, table: pa.Table) -> pa.Table:
         rows = table.sort_by("doc_id")
-        sets = [np.array(s, np.int32) for s in rows.column("features").to_pylist()]
-        y = rows.column("y").combine_chunks().flatten().to_numpy().reshape(len(sets), -1)
-        odds = rows.column("odds").combine_chunks().flatten().to_numpy().reshape(len(sets), -1)
+        sets = _sets(rows.column("features"))
+        y = np.stack(_sets(rows.column("y")))
+        odds = np.stack(_sets(rows.column("odds")))
         w = fit_linear(sets, odds[:, :step], y[:, step])
         return pa.table({"model": pa.array([key[0].as_py()], pa.int32()),
                          "weights": pa.array([w.astype(np.float32).tobytes()], pa.binary())})
@@ -128,8 +136,8 @@ def _train(step: int):
 def _predict_out_of_fold(models: dict[int, np.ndarray], step: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.array(s, np.int32) for s in batch.column("features").to_pylist()]
-            odds = np.array(batch.column("odds").to_pylist(), float).reshape(len(sets), -1)
+            sets = _sets(batch.column("features"))
+            odds = np.stack(_sets(batch.column("odds"))) if sets else np.empty((0, step))
             fold = batch.column("fold").to_numpy()
             out = np.zeros(len(sets))
             for k, w in models.items():
