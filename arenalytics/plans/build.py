@@ -25,15 +25,15 @@ def build_all(spark: SparkSession, raw_matches: DataFrame, raw_participants: Dat
     def put(name: str, df: DataFrame, by_date: bool = False) -> DataFrame:
         path = os.path.join(out_dir, name)
         if by_date:
-            write_layer(df, path, partition_by=["game_date"],
-                        cluster_by=["game_date", "match_id"])
+            write_layer(df, path, cluster_by=["game_date", "match_id"])
         else:
             write_layer(df, path)
         paths[name] = path
         return spark.read.parquet(path)
 
-    # match-grain tables are stored by game date: date-bounded reads (e.g.
-    # the project's start-date variable) prune folders
+    # match-grain tables are stored in the order of game date: date-bounded
+    # reads (e.g. the project's start-date variable) skip files and row groups
+    # by their statistics, without a folder per day
     sm = put("stg_matches", staging.stg_matches(raw_matches), by_date=True)
     sp = put("stg_participants", staging.stg_participants(raw_participants, sm))
     put("fact_matches", marts.fact_matches(sm, sp), by_date=True)

@@ -21,14 +21,14 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite", cluster_by: list[str] | None = None) -> None:
     """Full-refresh table sink (the models' ``materialized: table``).
 
-    With ``partition_by`` the table is stored in one folder per value (readers
-    filtering on it prune folders).  ``cluster_by`` (the partition columns
-    followed by a unique key) range-partitions the rows first: each task then
-    holds a contiguous slice, so it writes to few folders, and a value holding
-    a large share of the rows is split over several tasks by the unique key.
+    ``cluster_by`` (columns readers filter on, then a unique key) range-
+    partitions and sorts the rows: each file holds a contiguous slice, so its
+    statistics let filters skip it, and a value holding a large share of the
+    rows is split over several tasks by the unique key.  ``partition_by``
+    stores one folder per value, for few values with many rows each.
     """
     if cluster_by:
-        df = df.repartitionByRange(*cluster_by)
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
