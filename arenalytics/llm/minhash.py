@@ -11,7 +11,9 @@
    components.  Buckets whose members are then of one component need nothing
    more.  In the others, members of different components are still screened:
    all of them in buckets of at most SMALL_BUCKET, against more and more hubs
-   in larger ones, until no untested pair across components is left.
+   in larger ones, until no untested pair across components is left.  There
+   the shingles that a member has to itself bound its similarity exactly, which
+   leaves out most pairs.
 
 Only what could change a component is tested, so a group of thousands of near
 copies costs about one test per member, and no link between components is
@@ -135,13 +137,34 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _may_link(a: str, b: str) -> Column:
-    """Whether two members (their ``n`` and ``sig``) pass the screen: set sizes
-    that allow the threshold, and an estimate not far below it."""
-    return ((SIMILARITY[1] * F.least(f"n_{a}", f"n_{b}")
-             >= SIMILARITY[0] * F.greatest(f"n_{a}", f"n_{b}"))
+    """Whether two members (their ``n``, ``own`` and ``sig``) pass the screen.
+
+    ``own`` shingles of a member occur in no other, so they are in no
+    intersection and in every union; with the set sizes that bounds the
+    similarity exactly.  Then the estimate must not be far below the threshold."""
+    na, nb, oa, ob = (F.col(c) for c in (f"n_{a}", f"n_{b}", f"own_{a}", f"own_{b}"))
+    return ((SIMILARITY[1] * F.least(na - oa, nb - ob)
+             >= SIMILARITY[0] * F.greatest(nb + oa, na + ob))
             & (estimated_similarity(f"sig_{a}", f"sig_{b}") >= SCREEN))
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column("doc_id").to_numpy()
+        for first, sets in shingle_sets(batch.column("text"), SHINGLE_WORDS):
+            n = [len(s) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(ids[first:first + len(sets)], n)),
+                 pa.array(np.concatenate(sets).view(np.int64))], names=["doc_id", "shingle"])
+
+
+def _own_shingles(texts: DataFrame) -> DataFrame:
+    """(doc_id, own): shingles that no other of these documents has."""
+    rows = texts.select("doc_id", "text").mapInArrow(_shingle_rows, "doc_id long, shingle long")
+    return (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("doc_id"))
+            .filter("docs = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("own")))
+
+
 def _screened(left: DataFrame, right: DataFrame, more: Column) -> DataFrame:
     """(a, b), a < b: members of one bucket that pass the screen; the screen is
     part of the join, so nothing else leaves it."""
@@ -187,8 +210,9 @@ def link_components(sigs: DataFrame, docs: DataFrame, max_rounds: int = 20) -> D
 
     is_hub = F.col("doc_id") == F.col("hub")
     comp = _merged(None, _links(_screened(
-        members.filter(~is_hub).select("key", "doc_id", "n", "sig"),
-        members.filter(is_hub).select("key", "doc_id", "n", "sig"), F.lit(True)), texts))
+        members.filter(~is_hub).select("key", "doc_id", "n", "sig", F.lit(0).alias("own")),
+        members.filter(is_hub).select("key", "doc_id", "n", "sig", F.lit(0).alias("own")),
+        F.lit(True)), texts))
 
     members = members.filter(~is_hub).select("key", "size", "doc_id", "n", "sig")
     for round_ in range(max_rounds):
@@ -198,8 +222,11 @@ def link_components(sigs: DataFrame, docs: DataFrame, max_rounds: int = 20) -> D
         now = materialize(now.join(mixed, "key"), "minhash-mixed")
         if now.isEmpty():
             return comp
+        own = _own_shingles(texts.join(now.select("doc_id").distinct(), "doc_id"))
+        now = materialize(now.join(own, "doc_id", "left").withColumn("own", F.coalesce("own", F.lit(0))),
+                          "minhash-mixed")
         # buckets of a known size: every pair across components
-        fields = ["key", "doc_id", "n", "sig", "comp"]
+        fields = ["key", "doc_id", "n", "own", "sig", "comp"]
         small = now.filter(F.col("size") <= SMALL_BUCKET).select(fields)
         pairs = _screened(small, small, F.col("comp_x") < F.col("comp_y"))
         # larger ones: against a growing number of hubs, which are then done
