@@ -14,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from .common import id_and_text
 
