@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
-    bounded_rows, doubles_literal, let, materialize, spare_name, text_or_empty, words_of)
+    bounded_rows, doubles_literal, id_and_text, let, materialize, spare_name, text_or_empty, words_of)
 
 SYMBOLS = "#*$%&|<>"                 # fixed by the contract
 WHITE = " \t\n\x0b\f\r"
@@ -84,8 +84,7 @@ def bucket_counts(docs: DataFrame, folds: DataFrame) -> list[tuple[int, int, int
     """Per bucket: n-grams in all documents, and in the two halves of the
     trusted sample (``folds``: doc_id, fold; at most TRUSTED_DOCS rows).  Only
     the BUCKETS totals reach the driver."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    grams = (d.join(F.broadcast(folds), "doc_id", "left")
+    grams = (id_and_text(docs).join(F.broadcast(folds), "doc_id", "left")
              .select("fold", F.explode(_word_pairs(words_of(F.col("text")))).alias("p"))
              .select("fold", "p.a", "p.b")
              .select("fold", F.explode(F.array(
@@ -118,11 +117,10 @@ def mean_ratio(words: Column, ratios: Column) -> Column:
     return F.when(F.size(words) > 0, let(words, score)).otherwise(F.lit(0.0))
 
 
-def _counted(docs: DataFrame) -> DataFrame:
+def _counted(d: DataFrame, *more: str) -> DataFrame:
     text = F.col("text")
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return d.select(
-        "doc_id", words_of(text).alias("words"),
+        "doc_id", *more, words_of(text).alias("words"),
         (F.length(_without(text, WHITE))).cast("long").alias("word_chars"),
         (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long").alias("n_symbols"),
         duplicate_lines(text).alias("n_dup_lines"))
@@ -154,7 +152,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame | None,
     if not sum(c[1] + c[2] for c in counts):
         return none
     without = [doubles_literal(log_ratios([c[k] for c in counts], raw)) for k in (2, 1)]
-    held = _base(_counted(docs).join(F.broadcast(folds), "doc_id")).filter(~F.col("base_failed"))
+    # the sample first: only its texts are split into words
+    held = _base(_counted(id_and_text(docs).join(F.broadcast(folds), "doc_id"), "fold")) \
+        .filter(~F.col("base_failed"))
     score = F.when(F.col("fold") == 0, mean_ratio(F.col("words"), without[0])) \
              .otherwise(mean_ratio(F.col("words"), without[1]))
     threshold = held.agg(F.min(score).alias("s")).first()["s"]
@@ -170,7 +170,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame | None,
     judged alike; an empty table gives no rows; other columns are ignored.
     """
     ratios, threshold = fit_quality(docs, labels, trusted_docs)
-    out = _base(_counted(docs))
+    out = _base(_counted(id_and_text(docs)))
     out = out.withColumn("score", mean_ratio(F.col("words"), doubles_literal(ratios)))
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
