@@ -16,7 +16,9 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +40,16 @@ _NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
     {"type": "Lowercase"}]}
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-_PRINTABLE = re.compile(r"[!-~]+")
+# Printable ASCII and the letters of Latin-1: composed already, lower-cased one by
+# one, and split by the same expression without its Unicode classes.
+_PLAIN = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+_PLAIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]"
+                           "|[^\\sa-z0-9\xdf-\xf6\xf8-\xff]+")
+# Byte-level tokenizers write a byte as the character of that number where it is a
+# printable one, the others as 256 and up, in order.
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+_BYTE = {b: chr(b) for b in _SHOWN} | {
+    b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 _ODD_SPACE = re.compile("[\x1c-\x1f]")      # separators for Python, none for the tokenizer
 
 
@@ -65,18 +75,30 @@ class Encoder:
                         and splits[0].get("behavior") == "Removed"
                         and [s.get("type") for s in splits] == ["Split", "ByteLevel"]
                         and not splits[-1].get("add_prefix_space"))
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}        # by word
+        self.pieces: dict[str, bytes] = {}       # by what the model encodes
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            shown = piece if piece.isascii() else "".join(map(_BYTE.__getitem__, piece.encode()))
+            ids = array("I", [t.id for t in self.model.tokenize(shown)])
+            if sys.byteorder == "big":
+                ids.byteswap()
+            ids = self.pieces[piece] = ids.tobytes()
+        return ids
+
     def _learn(self, words: list[str]) -> None:
         other = []
         for w in words:
-            if _PRINTABLE.fullmatch(w):
-                ids = [t.id for p in _ASCII_PIECES.findall(w.lower()) for t in self.model.tokenize(p)]
-                self.known[w] = np.array(ids, "<u4").tobytes()
+            if _PLAIN.fullmatch(w):
+                pieces = _PLAIN_PIECES.findall(w.lower())
+                self.known[w] = self._piece(pieces[0]) if len(pieces) == 1 \
+                    else b"".join(map(self._piece, pieces))
             else:
                 other.append(w)
         for w, ids in zip(other, self._whole(other)):
@@ -89,6 +111,7 @@ class Encoder:
                 continue
             if len(self.known) > CACHE_WORDS:
                 self.known.clear()
+                self.pieces.clear()
             words = text.split()
             new = [w for w in set(words) if w not in self.known]
             if new:
