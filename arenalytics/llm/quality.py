@@ -5,8 +5,8 @@ The ratio compares two multinomials over hashed word n-grams (n = 1, 2): a
 trusted target (a bounded sample of documents labelled good) and the raw corpus
 (every document).  A document's score is the mean log ratio of its n-grams, so
 it does not depend on the length.  Every document is held against one
-threshold: the lowest score that a trusted document gets from the ratio fitted
-without its half of the sample.
+threshold: a fixed low quantile of the scores that all trusted documents, not
+only the sample, get from the ratio fitted without their half of the sample.
 """
 
 from __future__ import annotations
@@ -23,7 +23,9 @@ SYMBOLS = "#*$%&|<>"                 # fixed by the contract
 WHITE = " \t\n\x0b\f\r"
 MIN_WORDS, MAX_REPEAT = 50, 50       # fixed by the contract (words; percent)
 BUCKETS = 1 << 14
-TRUSTED_DOCS = 20_000                # bound of the labelled sample
+TRUSTED_DOCS = 20_000                # bound of the labelled sample the target is counted on
+TRUSTED_LOSS = 0.02                  # share of all trusted documents that may lie below the threshold
+SCORE_STEPS = 1024                   # the threshold is a multiple of 1 / SCORE_STEPS
 
 
 def _without(text: Column, chars: str) -> Column:
@@ -106,15 +108,19 @@ def log_ratios(target: list[int], raw: list[int]) -> list[float]:
     return [math.log((x + 1) / t) - math.log((y + 1) / r) for x, y in zip(target, raw)]
 
 
-def mean_ratio(words: Column, ratios: Column) -> Column:
-    """Mean log ratio of a document's n-grams (0 without words)."""
-    def score(w: Column) -> Column:
-        total = F.aggregate(_word_pairs(w), F.lit(0.0), lambda acc, p: acc
-                            + ratios[_bucket(p["a"])]
-                            + F.when(p["b"].isNull(), F.lit(0.0))
-                               .otherwise(ratios[_bucket(p["a"], p["b"])]))
-        return total / (2 * F.size(w) - 1)
-    return F.when(F.size(words) > 0, let(words, score)).otherwise(F.lit(0.0))
+def gram_buckets(words: Column) -> Column:
+    """The buckets of all n-grams of a document, hashed once."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.concat(F.transform(words, lambda a: _bucket(a)),
+                    F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n),
+                               lambda a, b: _bucket(a, b)))
+
+
+def mean_ratio(buckets: Column, ratios: list[float]) -> Column:
+    """Mean log ratio of a document's n-grams (0 without any)."""
+    table = doubles_literal(ratios)
+    return F.when(F.size(buckets) > 0, F.aggregate(
+        buckets, F.lit(0.0), lambda acc, k: acc + table[k]) / F.size(buckets)).otherwise(F.lit(0.0))
 
 
 def _counted(d: DataFrame, *more: str) -> DataFrame:
@@ -133,32 +139,62 @@ def _base(d: DataFrame) -> DataFrame:
                         | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words")))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame | None,
-                trusted_docs: int = TRUSTED_DOCS) -> tuple[list[float], float]:
-    """(log ratio per bucket, threshold).  ``labels`` (doc_id, quality): rows
-    with quality 1 are trusted; of them the ``trusted_docs`` with the smallest
-    hash of their id are used.  Without any every ratio and the threshold are 0."""
-    none = [0.0] * BUCKETS, 0.0
+def _fold() -> Column:
+    return F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(7)), F.lit(2)).cast("int")
+
+
+def low_quantile(scores: DataFrame, share: float = TRUSTED_LOSS) -> float:
+    """The largest multiple of 1 / SCORE_STEPS with at most ``share`` of the
+    scores (column ``score``) in the steps below it; 0 without scores.  Only
+    the counts per step reach the driver; a mean log ratio spans some ten
+    thousand steps at most."""
+    steps = sorted((r["step"], r["n"]) for r in scores.groupBy(
+        F.floor(F.col("score") * SCORE_STEPS).alias("step")).agg(F.count(F.lit(1)).alias("n")).collect())
+    allowed, below = share * sum(n for _, n in steps), 0
+    for step, n in steps:
+        below += n
+        if below > allowed:
+            return step / SCORE_STEPS
+    return 0.0
+
+
+def scores(words: Column, ratios: list[float], without: list[list[float]]) -> Column:
+    """(score, held): by the whole ratio, and by the one in ``without`` that the
+    document's half of the sample is left out of.  A document outside the
+    sample is in neither; its half is taken alike."""
+    def both(k: Column) -> Column:
+        held = F.when(_fold() == 0, mean_ratio(k, without[0])).otherwise(mean_ratio(k, without[1]))
+        return F.struct(mean_ratio(k, ratios).alias("score"), held.alias("held"))
+    return let(let(words, gram_buckets), both)
+
+
+def threshold_of(held: DataFrame, trusted: DataFrame | None) -> float:
+    """The threshold from (doc_id, score) rows of the documents that pass the
+    base rules; 0 without trusted documents.  Only narrow rows are joined."""
+    if trusted is None:
+        return 0.0
+    return low_quantile(held.join(trusted, "doc_id", "left_semi"))
+
+
+def fit_ratios(docs: DataFrame, labels: DataFrame | None, trusted_docs: int = TRUSTED_DOCS):
+    """(trusted ids, log ratio per bucket, the ratios without each half).
+    ``labels`` (doc_id, quality): rows with quality 1 are trusted; the ratios
+    are fitted on the ``trusted_docs`` of them with the smallest hash of their
+    id.  Without any there are no trusted ids and every ratio is 0."""
+    none = None, [0.0] * BUCKETS, [[0.0] * BUCKETS] * 2
     if labels is None:
         return none
-    trusted = bounded_rows(
+    trusted = materialize(
         labels.filter("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
-        .filter("doc_id is not null").distinct(), trusted_docs)
-    folds = materialize(trusted.select(
-        "doc_id", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)).cast("int").alias("fold")),
-        "trusted")
+        .filter("doc_id is not null").distinct(), "trusted")
+    folds = materialize(bounded_rows(trusted, trusted_docs)
+                        .select("doc_id", _fold().alias("fold")), "trusted-sample")
     counts = bucket_counts(docs, folds)
     raw = [c[0] for c in counts]
     if not sum(c[1] + c[2] for c in counts):
         return none
-    without = [doubles_literal(log_ratios([c[k] for c in counts], raw)) for k in (2, 1)]
-    # the sample first: only its texts are split into words
-    held = _base(_counted(id_and_text(docs).join(F.broadcast(folds), "doc_id"), "fold")) \
-        .filter(~F.col("base_failed"))
-    score = F.when(F.col("fold") == 0, mean_ratio(F.col("words"), without[0])) \
-             .otherwise(mean_ratio(F.col("words"), without[1]))
-    threshold = held.agg(F.min(score).alias("s")).first()["s"]
-    return log_ratios([c[1] + c[2] for c in counts], raw), float(threshold or 0.0)
+    return (trusted, log_ratios([c[1] + c[2] for c in counts], raw),
+            [log_ratios([c[k] for c in counts], raw) for k in (2, 1)])
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame | None,
@@ -169,22 +205,29 @@ def judge_quality(docs: DataFrame, labels: DataFrame | None,
     alone.  A null text is empty and fails the base rules; repeated rows are
     judged alike; an empty table gives no rows; other columns are ignored.
     """
-    ratios, threshold = fit_quality(docs, labels, trusted_docs)
-    out = _base(_counted(id_and_text(docs)))
-    out = out.withColumn("score", mean_ratio(F.col("words"), doubles_literal(ratios)))
-    return out.select(
+    trusted, ratios, without = fit_ratios(docs, labels, trusted_docs)
+    out = _base(_counted(id_and_text(docs))).withColumn("s", scores(F.col("words"), ratios, without))
+    out = materialize(out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "score", F.lit(threshold).alias("threshold"),
-        (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"))
+        "base_failed", "s.score", "s.held"), "quality-scores")
+    threshold = threshold_of(out.filter(~F.col("base_failed")).select(
+        "doc_id", F.col("held").alias("score")), trusted)
+    return out.drop("held").withColumn("threshold", F.lit(threshold)).withColumn(
+        "kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame | None,
               trusted_docs: int = TRUSTED_DOCS) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that judge_quality keeps."""
-    ratios, threshold = fit_quality(docs, labels, trusted_docs)
+    trusted, ratios, without = fit_ratios(docs, labels, trusted_docs)
     words = spare_name(docs, "words")
+    s = spare_name(docs, "scores")
     w = F.col(words)
-    good = ((F.size(w) >= MIN_WORDS)
-            & (100 * repeated_words(w) <= MAX_REPEAT * F.size(w))
-            & (mean_ratio(w, doubles_literal(ratios)) >= threshold))
-    return docs.withColumn(words, words_of(text_or_empty())).filter(good).drop(words)
+    passed = docs.withColumn(words, words_of(text_or_empty())).filter(
+        (F.size(w) >= MIN_WORDS) & (100 * repeated_words(w) <= MAX_REPEAT * F.size(w)))
+    passed = passed.withColumn(s, scores(w, ratios, without)).drop(words)
+    if trusted is not None:         # texts are split and scored once
+        passed = materialize(passed, "quality-scores")
+    threshold = threshold_of(passed.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                           F.col(s)["held"].alias("score")), trusted)
+    return passed.filter(F.col(s)["score"] >= threshold).drop(s)
