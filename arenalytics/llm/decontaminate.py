@@ -3,8 +3,9 @@
 A spaced seed is a window of word positions of which a fixed mask regards only
 some.  Two windows with equal regarded words hit, whatever stands at the
 ignored positions, so a substituted word does not hide an overlap.  Hits join
-test and training text by hash; each is verified by laying the benchmark item
-along the document at the hit's offset and counting equal words there.
+test and training text by hash; each is verified around its place: by laying the
+benchmark item along the document, and, for words inserted or left out, by the
+longest common subsequence of the two there.
 
 Words are runs of letters, digits and non-ASCII bytes, lower-cased, so
 punctuation does not matter.
@@ -12,7 +13,10 @@ punctuation does not matter.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,8 @@ from .wordhash import mix, slices, texts_of, word_bounds, word_hashes
 # Fixed masks over windows of SPAN words; 1: regarded.  Each regards 7 of 11.
 MASKS = ("11101001011", "11011010011", "10110110101")
 SPAN = 11
-MIN_OVERLAP = 0.7        # share of the item's words found in place
+MIN_OVERLAP = 0.7        # share of equal words in an overlap
+RUN_WORDS = 20           # equal words that make an overlap, however long the item
 MIN_ITEM_WORDS = 5       # shorter items tell nothing and are left out
 SLACK = 3                # words by which the place may shift around the hit
 BROADCAST_SEEDS = 1_000_000   # seeds of the test side kept in every task (8 MB)
@@ -112,6 +117,86 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(ids, pa.int64()), pa.array(words, pa.binary())], names=["id", "words"])
 
 
+def best_run(i: np.ndarray, j: np.ndarray, rate: float) -> tuple[int, int]:
+    """(equal words, first word in the document) of the longest run of the
+    aligned places (item, document; both rising) in which ``rate`` of the words
+    passed, on either side, are equal."""
+    best, place = 0, 0
+    for a in range(len(i)):
+        if len(i) - a <= best:
+            break
+        n = np.arange(best + 1, len(i) - a + 1)      # longer ones only
+        end = a + n - 1
+        good = np.flatnonzero(n >= rate * (np.maximum(i[end] - i[a], j[end] - j[a]) + 1) - 1e-9)
+        if len(good):
+            best, place = int(n[good[-1]]), int(j[a])
+    return best, place
+
+
+def common_places(item: list[int], doc: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in ``item``, in ``doc``) of a longest common subsequence."""
+    where = defaultdict(list)
+    for j, w in enumerate(doc):
+        where[w].append(j)
+    tails: list[int] = []
+    nodes: list[tuple] = []
+    for i, w in enumerate(item):
+        for j in reversed(where.get(w, ())):
+            k = bisect_left(tails, j)
+            node = (i, j, nodes[k - 1] if k else None)
+            if k == len(tails):
+                tails.append(j)
+                nodes.append(node)
+            else:
+                tails[k], nodes[k] = j, node
+    out = []
+    node = nodes[-1] if nodes else None
+    while node:
+        out.append(node[:2])
+        node = node[2]
+    pairs = np.array(out[::-1], np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def overlap_at(doc: np.ndarray, item: np.ndarray, shifts: list[int],
+               rate: float) -> tuple[int, int]:
+    """(equal words, first word in the document) of the best overlap around the
+    hits at ``shifts``; 0 when none is long enough."""
+    n = len(item)
+    need = min(ceil(rate * n - 1e-9), RUN_WORDS)
+    best, place = 0, 0
+    for s in sorted({x for shift in shifts for x in range(shift - SLACK, shift + SLACK + 1)}):
+        a, z = max(s, 0), min(s + n, len(doc))
+        if z > a:
+            at = np.flatnonzero(doc[a:z] == item[a - s:z - s]) + a
+            if len(at) >= rate * n - 1e-9:
+                same = len(at), a
+            elif len(at) >= need:
+                same = best_run(at, at, rate)
+            else:
+                continue
+            if same[0] > best:
+                best, place = same
+    if best >= rate * n - 1e-9:
+        return best, place
+    # words inserted or left out: align what lies around neighbouring hits
+    wide = SLACK + ceil(n * (1 - rate) / rate)
+    ends = sorted((max(0, s - wide), min(len(doc), s + n + wide)) for s in shifts)
+    k = 0
+    while k < len(ends):
+        a, z = ends[k]
+        while k + 1 < len(ends) and ends[k + 1][0] - ends[k][0] <= wide:
+            k += 1
+            z = max(z, ends[k][1])
+        k += 1
+        i, j = common_places(item.tolist(), doc[a:z].tolist())
+        if len(i) >= need:
+            same, at = best_run(i, j, rate)
+            if same > best:
+                best, place = same, a + at
+    return (best, place) if best >= need else (0, 0)
+
+
 def _verify(min_overlap: float):
     """Function for mapInArrow: (doc_id, text, item_id, shifts, words) rows to
     verified overlaps."""
@@ -125,21 +210,9 @@ def _verify(min_overlap: float):
             row = 0
             for ids, h, woff, _, _ in _hashed(batch.select(["doc_id", "text"])):
                 for d in range(len(ids)):
-                    doc = h[woff[d]:woff[d + 1]]
                     item = np.frombuffer(items[row], np.uint64)
-                    best, place = 0, 0
-                    tried = set()
-                    for shift in shifts[row]:
-                        for s in range(shift - SLACK, shift + SLACK + 1):
-                            if s in tried:
-                                continue
-                            tried.add(s)
-                            a, z = max(s, 0), min(s + len(item), len(doc))
-                            if z > a:
-                                same = int(np.count_nonzero(doc[a:z] == item[a - s:z - s]))
-                                if same > best:
-                                    best, place = same, a
-                    if len(item) and best >= min_overlap * len(item):
+                    best, place = overlap_at(h[woff[d]:woff[d + 1]], item, shifts[row], min_overlap)
+                    if best:
                         out.append((int(ids[d]), items_id[row], best, len(item), place))
                     row += 1
             cols = list(zip(*out)) or [[]] * 5
@@ -182,8 +255,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame,
     """(doc_id, item_id, same_words, item_words, first_word, overlap): the
     documents that hold a benchmark item, substituted words allowed.
 
-    An overlap counts when at least ``min_overlap`` of the item's words stand
-    at their places (the place may shift by SLACK words around a hit).  Null
+    An overlap is a run in which at least ``min_overlap`` of the words, on
+    either side, are equal in order; words may be changed, inserted or left
+    out.  It counts with ``min_overlap`` of the item's words or RUN_WORDS of
+    them, so a long passage of a longer item counts too.  Null
     texts and ids hold nothing, items of fewer than MIN_ITEM_WORDS words are left
     out; repeated rows and items are reported once;
     empty tables give no rows; other columns are ignored.

@@ -88,3 +88,31 @@ def test_edge_documents(edge_docs, spark):
     want = {(i, k) for i, t in rows if i is not None and t for k, x in items.items() if x in t}
     got = {(r.doc_id, r.item_id) for r in dc.contaminated(docs, benchmark).collect()}
     assert want <= got and {i for i, _ in got} == {i for i, _ in want}
+
+
+def test_passages_of_long_items_and_moved_words_are_found(spark):
+    items = {0: words(59), 1: words(500), 2: words(24), 3: words(24), 5: words(30)}
+    texts = {0: items[0][10:50], 1: items[1][100:400],                # passages
+             2: items[2][:12] + ["inserted"] + items[2][12:],
+             3: items[3][:11] + items[3][12:],                        # a word left out
+             5: items[5][:10]}                                        # too short a passage
+    docs = spark.createDataFrame([(i, " ".join(words(80) + w + words(80))) for i, w in texts.items()],
+                                 "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()],
+                                      "item_id long, text string")
+    got = {r.doc_id: r for r in dc.contaminated(docs, benchmark).collect()}
+    assert set(got) == {0, 1, 2, 3} and all(r.item_id == r.doc_id for r in got.values())
+    assert got[0].same_words >= 40 and got[1].same_words >= 300
+    assert got[2].same_words == 24 and got[3].same_words == 23
+
+
+def test_common_places_are_a_longest_common_subsequence():
+    for _ in range(100):
+        a, b = ([rnd.randrange(6) for _ in range(rnd.randrange(15))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        i, j = dc.common_places(a, b)
+        assert len(i) == best[-1][-1] and all(a[p] == b[q] for p, q in zip(i, j))
+        assert all(np.diff(i) > 0) and all(np.diff(j) > 0)
