@@ -2,8 +2,10 @@
 
 A spaced seed is a window of word positions of which a fixed mask regards only
 some.  Two windows with equal regarded words hit, whatever stands at the
-ignored positions, so a substituted word does not hide an overlap.  Hits join
-test and training text by hash; each is verified around its place: by laying the
+ignored positions, so a substituted word does not hide an overlap.  The masks
+of a window ignore every set of words that may differ in it, so any pattern of
+substitutions that the overlap rule accepts leaves a hit.  Hits join test and
+training text by hash; each is verified around its place: by laying the
 benchmark item along the document, and, for words inserted or left out, by the
 longest common subsequence of the two there.
 
@@ -16,6 +18,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import combinations
 from math import ceil
 
 import numpy as np
@@ -27,13 +30,38 @@ from pyspark.sql import functions as F
 from .common import id_and_text, materialize, spare_name, text_or_empty
 from .wordhash import mix, slices, texts_of, word_bounds, word_hashes
 
-# Fixed masks over windows of SPAN words; 1: regarded.  Each regards 7 of 11.
-MASKS = ("11101001011", "11011010011", "10110110101")
-SPAN = 11
 MIN_OVERLAP = 0.7        # share of equal words in an overlap
 RUN_WORDS = 20           # equal words that make an overlap, however long the item
 MIN_ITEM_WORDS = 5       # shorter items tell nothing and are left out
 SLACK = 3                # words by which the place may shift around the hit
+WEIGHT = 4               # words a mask regards
+
+
+def _cover(span: int, changed: int) -> tuple[str, ...]:
+    """Masks over ``span`` words, 1: regarded, such that any ``changed`` of the
+    words are ignored together by one of them (greedy, always the same)."""
+    todo = set(combinations(range(span), changed))
+    blocks = [(b, set(combinations(b, changed))) for b in combinations(range(span), span - WEIGHT)]
+    out = []
+    while todo:
+        best, covered = max(blocks, key=lambda x: len(x[1] & todo))
+        todo -= covered
+        out.append("".join("0" if k in best else "1" for k in range(span)))
+    return tuple(out)
+
+
+# An item of 7 or more words with at most 3 in 10 changed has a window of 7 with
+# at most 2 changed, wherever they are, but for items of 10 and 11 words with 3
+# changed: those are windows themselves as well, as are items of 5 and 6.
+SPAN = 7
+MASKS_OF = {5: _cover(5, 1), 6: _cover(6, 1), SPAN: _cover(SPAN, 2),
+            10: _cover(10, 3), 11: _cover(11, 3)}
+MASKS = MASKS_OF[SPAN]
+
+
+def _spans_of(words: int) -> list[int]:
+    """The windows that an item of so many words is cut into."""
+    return [k for k in MASKS_OF if k == words or k == SPAN < words]
 BROADCAST_SEEDS = 1_000_000   # seeds of the test side kept in every task (8 MB)
 
 SEED_SCHEMA = "seed long, id long, pos int"
@@ -47,12 +75,13 @@ def _seeds(h: np.ndarray, woff: np.ndarray, span: int) -> tuple[np.ndarray, np.n
     last = np.repeat(woff[1:], np.diff(woff))      # end of the text of each word
     first = word[last - word >= span]
     out = []
-    for m, mask in enumerate(MASKS):
-        seed = np.full(len(first), m * SPAN + span, np.uint64)
+    masks = MASKS_OF[span]
+    for m, mask in enumerate(masks):
+        seed = np.full(len(first), m * 16 + span, np.uint64)
         for k in (k for k in range(span) if mask[k] == "1"):
             seed = seed * np.uint64(0xD6E8FEB86659FD93) + h[first + k]
         out.append(mix(seed))
-    return np.concatenate(out), np.tile(first, len(MASKS))
+    return np.concatenate(out), np.tile(first, len(masks))
 
 
 def _hashed(batch: pa.RecordBatch, limit: int = 1 << 20):
@@ -73,16 +102,14 @@ def _rows_of(seed: np.ndarray, at: np.ndarray, ids: np.ndarray, woff: np.ndarray
 
 
 def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Seeds of benchmark items; one of fewer than SPAN words is a window itself."""
+    """Seeds of benchmark items."""
     for batch in batches:
         for ids, h, woff, _, _ in _hashed(batch):
             count = np.diff(woff)
-            for span in np.unique(np.minimum(count, SPAN)):
-                if span < MIN_ITEM_WORDS:
-                    continue
-                seed, at = _seeds(h, woff, int(span))
-                text = np.searchsorted(woff, at, "right") - 1
-                own = np.minimum(count[text], SPAN) == span
+            for span in MASKS_OF:
+                seed, at = _seeds(h, woff, span)
+                n = count[np.searchsorted(woff, at, "right") - 1]
+                own = (n == span) | ((n > span) & (span == SPAN))
                 yield _rows_of(seed[own], at[own], ids, woff)
 
 
@@ -233,8 +260,9 @@ def seed_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     test = materialize(items.mapInArrow(_item_seeds, SEED_SCHEMA), "benchmark-seeds")
     lengths = items.mapInArrow(_word_rows, WORDS_SCHEMA).select(
-        F.least(F.octet_length("words") / 8, F.lit(SPAN)).cast("int").alias("n")).distinct().collect()
-    spans = sorted(r["n"] for r in lengths if r["n"] >= MIN_ITEM_WORDS)     # at most SPAN values
+        F.least(F.octet_length("words") / 8, F.lit(max(MASKS_OF) + 1)).cast("int").alias("n")) \
+        .distinct().collect()                                # at most 12 values
+    spans = sorted({k for r in lengths for k in _spans_of(r["n"])})
     known = None
     if 0 < test.count() <= BROADCAST_SEEDS:
         known = test.select("seed").distinct().toArrow()["seed"].to_numpy()

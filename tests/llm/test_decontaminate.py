@@ -90,18 +90,31 @@ def test_edge_documents(edge_docs, spark):
     assert want <= got and {i for i, _ in got} == {i for i, _ in want}
 
 
+def test_every_accepted_pattern_of_changed_words_is_hit():
+    from itertools import combinations
+    for n in [*range(5, 16), 20]:
+        allowed = n - int(np.ceil(dc.MIN_OVERLAP * n - 1e-9))
+        windows = [(a, mask) for k in dc._spans_of(n) for a in range(n - k + 1)
+                   for mask in dc.MASKS_OF[k]]
+        regarded = {sum(1 << (a + k) for k, c in enumerate(m) if c == "1") for a, m in windows}
+        for gone in combinations(range(n), allowed):
+            bits = sum(1 << k for k in gone)
+            assert any(not r & bits for r in regarded), (n, gone)
+
+
 def test_passages_of_long_items_and_moved_words_are_found(spark):
-    items = {0: words(59), 1: words(500), 2: words(24), 3: words(24), 5: words(30)}
+    items = {0: words(59), 1: words(500), 2: words(24), 3: words(24), 4: words(9), 5: words(30)}
     texts = {0: items[0][10:50], 1: items[1][100:400],                # passages
              2: items[2][:12] + ["inserted"] + items[2][12:],
              3: items[3][:11] + items[3][12:],                        # a word left out
+             4: [*items[4][:4], "changed", *items[4][5:8], "changed"],   # 7 of 9
              5: items[5][:10]}                                        # too short a passage
     docs = spark.createDataFrame([(i, " ".join(words(80) + w + words(80))) for i, w in texts.items()],
                                  "doc_id long, text string")
     benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()],
                                       "item_id long, text string")
     got = {r.doc_id: r for r in dc.contaminated(docs, benchmark).collect()}
-    assert set(got) == {0, 1, 2, 3} and all(r.item_id == r.doc_id for r in got.values())
+    assert set(got) == {0, 1, 2, 3, 4} and all(r.item_id == r.doc_id for r in got.values())
     assert got[0].same_words >= 40 and got[1].same_words >= 300
     assert got[2].same_words == 24 and got[3].same_words == 23
 
