@@ -20,12 +20,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, let
 from .components import connected_components
 
 TRACKING = r"(?:utm_[a-z]+|ref|fbclid|gclid)=[^&#]*"
-CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
-REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\burl\s*=\s*["']?([^"'\s>]+)"""
+CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?\s*canonical\b)[^>]*?(?<![\w-])href\s*=\s*["']?\s*([^"'\s>]+)"""
+REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?\s*refresh\b)[^>]*?\burl\s*=\s*["']?\s*([^"'\s>]+)"""
+ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
 
 
 @dataclass(frozen=True)
@@ -87,25 +88,87 @@ def longest_rule(rules, host: Column, path: Column) -> tuple[Column, Column]:
     return name, verdict
 
 
-def alias_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst) edges between addresses.  Relative targets stay within the
-    page's host; a target that cannot be read gives no edge."""
-    url = F.col("url")
-    scheme = F.lit("http://")
+def decoded(raw: Column) -> Column:
+    """``raw`` with its character references (numbers and ENTITIES) read, once."""
+    def part(x: Column) -> Column:
+        """``x``: what follows an ampersand."""
+        return let(F.regexp_extract(x, r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[a-z]+);", 1),
+                   lambda name: let(number(name), lambda code: read(x, name, code)))
+
+    def number(name: Column) -> Column:
+        return F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, F.length(name)), 16, 10)) \
+                .when(name.startswith("#"), F.substring(name, 2, F.length(name))).cast("long")
+
+    def read(x: Column, name: Column, code: Column) -> Column:
+        char = F.when((code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF),
+                      F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        for entity, meant in ENTITIES.items():
+            char = char.when(name == entity, F.lit(meant))
+        return F.coalesce(F.concat(char, F.substring(x, F.length(name) + 2, F.length(x))),
+                          F.concat(F.lit("&"), x))
+
+    parts = F.split(raw, "&", -1)
+    return F.when(raw.contains("&"), let(parts, lambda p: F.array_join(F.transform(
+        p, lambda x, i: F.when(i == 0, x).otherwise(part(x))), ""))).otherwise(raw)
+
+
+def without_dots(path: Column) -> Column:
+    """A path from ``/`` with its ``.`` and ``..`` segments carried out."""
+    def step(acc: Column, x: Column) -> Column:
+        return F.when(x == ".", acc) \
+                .when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))) \
+                .otherwise(F.concat(acc, F.array(x)))
+
+    def carried_out(p: Column) -> Column:
+        none = F.array().cast("array<string>")
+        kept = F.aggregate(F.split(F.substring(p, 2, F.length(p)), "/", -1), none, step)
+        # a last segment of dots names a folder
+        folder = F.when(p.rlike(r"/\.\.?$"), F.array(F.lit(""))).otherwise(none)
+        return F.when(p.contains("/."), F.concat(F.lit("/"), F.array_join(F.concat(kept, folder), "/"))) \
+                .otherwise(p)
+    return let(path, carried_out)
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """The address of a link ``target`` on the page at ``url``; null when it
+    names no other address or cannot be read."""
+    site = F.lit("http://")
+
+    def absolute(t: Column, host: Column, path: Column) -> Column:
+        folder = F.when(path.contains("/"), F.regexp_extract(path, "^(.*/)", 1)).otherwise(F.lit("/"))
+        return F.when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), t) \
+                .when(t.startswith("//"), F.concat(F.lit("http:"), t)) \
+                .when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | t.startswith("#")
+                      | (F.length(host) == 0), F.lit(None)) \
+                .when(t.startswith("/"), F.concat(site, host, t)) \
+                .when(t.startswith("?"), F.concat(site, host, path, t)) \
+                .otherwise(F.concat(site, host, folder, t))
+
+    def tidy(rest: Column) -> Column:
+        return F.when(F.length(rest) > 0, F.concat(
+            site, F.regexp_extract(rest, r"^([^/?#]*)", 1),
+            without_dots(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)),
+            F.regexp_extract(rest, r"^[^?#]*(.*)$", 1)))
+
+    full = let(target, lambda t: let(url_host(url), lambda h: let(
+        url_path(url), lambda p: absolute(t, h, p))))
+    return let(let(full, _after_scheme), tidy)
 
-    def target(pattern: str) -> Column:
-        raw = F.regexp_extract(F.col("html"), pattern, 1)
-        return F.when(raw.contains("://"), raw) \
-                .when(raw.startswith("//"), F.concat(F.lit("http:"), raw)) \
-                .when(raw.startswith("/"), F.concat(scheme, url_host(url), raw))
 
-    own = served_as(url)
+def alias_edges(pages: DataFrame) -> DataFrame:
+    """(src, dst) edges between addresses, from every canonical and refresh tag.
+    Relative targets are resolved against the page's url; a target that cannot
+    be read gives no edge and hides no other."""
+    url = F.col("url")
     linked = F.lower(F.col("html"))
     html = pages.filter(url.isNotNull() & F.col("html").isNotNull()
                         & (linked.contains("canonical") | linked.contains("http-equiv")))
-    return pages.filter(url.isNotNull()).select(url.alias("src"), own.alias("dst")) \
-        .union(html.select(url.alias("src"), served_as(target(CANONICAL)).alias("dst"))) \
-        .union(html.select(url.alias("src"), served_as(target(REFRESH)).alias("dst"))) \
+    links = html.select(url, F.explode(F.concat(*[
+        F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in (CANONICAL, REFRESH)])).alias("raw")) \
+        .select("url", decoded(F.col("raw")).alias("target")) \
+        .select("url", resolved(F.col("target"), url).alias("address"))
+    return pages.filter(url.isNotNull()).select(url.alias("src"), served_as(url).alias("dst")) \
+        .union(links.select(url.alias("src"), let(F.col("address"), served_as).alias("dst"))) \
         .filter(F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
 
 

@@ -83,3 +83,36 @@ def test_components_match_brute_force(spark):
     got = {r.node: r.component for r in connected_components(df).collect()}
     assert got == {x: find(x) for x in parent}
     assert connected_components(df.filter(F.lit(False))).count() == 0
+
+
+def test_targets_resolve_like_links(spark):
+    import html
+    from urllib.parse import urljoin
+    urls = ["http://a.org/x/y/z.html?q=1#f", "http://a.org", "http://a.org/x/"]
+    targets = ["page2.html", "../es/x", "../../../up", "?id=3", "./a/./b/../c", "/abs/../p", "..", ".",
+               "//b.org/x", "https://c.org/a/b?u=/../v", "/login?next=http://d.org/", "a/..",
+               "x?a=1&amp;b=2", "p&#38;q&#x26;r&#9731;s&amp;lt;&bogus;&", "é/ü"]
+    rows = [(u, t) for u in urls for t in targets]
+    got = spark.createDataFrame(rows, "url string, raw string").select("url", "raw", url_filter.resolved(
+        url_filter.decoded(F.col("raw")), F.col("url")).alias("to")).collect()
+    for r in got:
+        want = urljoin(r.url, html.unescape(r.raw))
+        assert r.to.split("://", 1)[1] == want.split("://", 1)[1], (r.url, r.raw)
+    dots = spark.createDataFrame([("http://a.org/x", "https://c.org/a/../b?u=/../v")], "url string, raw string")
+    assert dots.select(url_filter.resolved(F.col("raw"), F.col("url"))).first()[0] == "http://c.org/b?u=/../v"
+    none = [("http://a.org/x", t) for t in ("mailto:a@b.c", "javascript:x()", "#top")] + [("plain", "x")]
+    assert all(r.to is None for r in spark.createDataFrame(none, "url string, raw string").select(
+        url_filter.resolved(F.col("raw"), F.col("url")).alias("to")).collect())
+
+
+def test_relative_decoded_and_later_links_pass_the_block(spark):
+    link, hop = '<link rel="canonical" href="%s">', '<meta http-equiv="refresh" content="0; url=%s">'
+    rows = [(1, "http://x.net/es/a?p=1&q=2", ""), (2, "http://x.net/es/b", ""),
+            (3, "http://x.net/de/one", link % "../es/b"),
+            (4, "http://m.org/1", link % "http://x.net/es/a?p=1&amp;q=2"),
+            (5, "http://m.org/2", link % "javascript:x()" + link % "http://x.net/es/b"),
+            (6, "http://m.org/3", hop % "mailto:x@y.z" + hop % "1"),       # to /1, an alias of page 4
+            (7, "http://m.org/4", link % "other"), (8, "http://m.org/5?id=1", link % "?id=2")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(pages).collect()}
+    assert {i for i, v in got.items() if v == "block"} == {1, 2, 3, 4, 5, 6}
