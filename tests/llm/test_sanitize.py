@@ -1,0 +1,167 @@
+import hashlib
+import math
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from arenalytics.llm import sanitize
+
+from .test_minhash import shingles  # noqa: F401  (same shingle rule)
+
+PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+
+
+def plain_base(text):
+    """The contract's patterns, as they stand."""
+    out = []
+    for kind, pattern in enumerate(PATTERNS):
+        for m in re.finditer(pattern, text or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            if kind == 1 and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == 2:
+                total = sum(sum(divmod(2 * int(c), 10)) if k % 2 else int(c) for k, c in enumerate(reversed(d)))
+                if not 16 <= len(d) <= 19 or total % 10:
+                    continue
+            if kind == 3 and not 8 <= len(d) <= 15:
+                continue
+            out.append((kind, m.start(), m.end()))
+    return out
+
+
+def written(spans):
+    return ",".join(f"{(*sanitize.KINDS, 'term')[k]}:{s}:{e}" for k, s, e in spans)
+
+
+def clear(span, spans):
+    return all(e <= span[0] or span[1] <= s for _, s, e in spans)
+
+
+def words_of(text, base):
+    return [m for m in re.finditer(r"[0-9A-Za-z\u0080-\U0010FFFF]+", text) if clear(m.span(), base)]
+
+
+def brute(texts):
+    """(spans of the terms per text, {term: generalised})."""
+    low = [(t or "") for t in texts]
+    base = [plain_base(t) for t in low]
+    lower = [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in low]
+
+    def stem(w):
+        return w[:3] + "*" if len(w) > 3 else None
+    of_term, of_entity = defaultdict(set), defaultdict(set)
+    both, kinds = defaultdict(set), defaultdict(set)
+    for d, t in enumerate(low):
+        for m in re.finditer(r"[0-9A-Za-z\u0080-\U0010FFFF]+", lower[d]):
+            of_term[m[0]].add(d)
+            if stem(m[0]):
+                of_term[stem(m[0])].add(d)
+        for k, s, e in base[d]:
+            v = t[s:e].lower() if k == 0 else t[s:e] if k == 1 else re.sub("[^0-9]", "", t[s:e])
+            of_entity[k, v].add(d)
+            ms = [m for m in re.finditer(r"[0-9A-Za-z\u0080-\U0010FFFF]+", t) if abs(m.start() - s) < 10 ** 9]
+            near = [m for m in ms if m.end() <= s and m.start() >= max(0, s - 400)][-8:] \
+                + [m for m in ms if m.start() >= e and m.end() <= e + 400][:8]
+            for m in near:
+                if clear(m.span(), base[d]):
+                    w = re.sub("[A-Z]", lambda c: c[0].lower(), m[0])
+                    for x in (w, stem(w)):
+                        if x:
+                            both[(k, v), x].add(d)
+                            kinds[(k, v), x].add(name(low[d]))
+    n = len(texts)
+    found = {x for (e, x), ds in both.items()
+             if len(kinds[e, x]) >= 3 and math.log2(n / len(of_entity[e])) >= 1
+             and math.log2(len(ds) * n / (len(of_term[x]) * len(of_entity[e]))) >= 0.8 * math.log2(n / len(of_entity[e]))}
+    terms = {x: stem(x) is not None and stem(x) not in found for x in found if not x.endswith("*")}
+    spans = [[m.span() for m in words_of(t, base[d]) if lower[d][m.start():m.end()] in terms]
+             for d, t in enumerate(low)]
+    return base, spans, terms
+
+
+def name(text):
+    """Texts with equal shingles are one (no near copies in these tests)."""
+    return frozenset(shingles(text))
+
+
+def corpus(seed=1):
+    rnd = random.Random(seed)
+    words = [f"{rnd.choice('abcdefghij')}o{k}x" for k in range(400)] + ["été", "Straße", "the", "of", "zorro"] * 30
+
+    def filler(n):
+        return " ".join(rnd.choice(words) for _ in range(n))
+    texts = [filler(rnd.randrange(5, 60)) for _ in range(120)]
+    for k in range(8):        # a nickname and a street that go with one address
+        texts.append(f"{filler(30)} Captain Zorblax of Quuxstreet wrote zorblax@Example.com about the {filler(20)}")
+        texts.append(f"{filler(10)} call +1 (509) 555-6973 the of {filler(9)}")
+    texts += ["x " + filler(3) + " Zorblax was here"]
+    texts += [f"one copied text with Copperfield next to copper@field.org and more {words[0]}"] * 9
+    texts += [filler(5) + " 4111 1111 1111 1111 and 10.0.0.256 10.0.0.25 1.2.3.4.5.6.7.8 +123 +4912345678", None, "",
+              "a@b a@b.c.d@e.f ..@x.y é@x.yé", "5" * 5000, "a" * 3000 + "@", "1 " * 3000, "1.1." * 2000]
+    return texts
+
+
+def scan(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    return {r.doc_id: r for r in sanitize.scan_personal_data(docs).collect()}
+
+
+def test_matches_brute_force(spark):
+    texts = corpus()
+    base, spans, terms = brute(texts)
+    assert terms["zorblax"] and "captain" in terms and "the" not in terms and "copperfield" not in terms
+    got = scan(spark, texts)
+    for d in range(len(texts)):
+        want = base[d] + [(4, s, e) for s, e in spans[d]]
+        assert got[d].spans == written(want), d
+        assert got[d].base_sha256 == hashlib.sha256(written(base[d]).encode()).hexdigest()
+        assert [got[d][f"n_{k}"] for k in (*sanitize.KINDS, "term")] == [
+            sum(x[0] == k for x in want) for k in range(5)]
+
+
+def test_generalised_or_removed(spark):
+    """A class that itself discloses is removed with its terms."""
+    texts = corpus(2) + [f"qqq{x} met qqq@qqq.com filler{k} {k * 7919}" for k, x in enumerate("ababab")]
+    _, _, terms = brute(texts)
+    assert terms["zorblax"] is True and terms["qqqa"] is False
+    docs = spark.createDataFrame([(d, t, "?") for d, t in enumerate(texts)], "doc_id long, text string, pii_k1 string")
+    out = sanitize.sanitise(docs)
+    assert out.columns == docs.columns
+    rows = {r.doc_id: r.text for r in out.collect()}
+    assert len(rows) == len(texts)
+    joined = " ".join(t for t in rows.values() if t)
+    assert "Zorblax" not in joined and "Zor*" in joined and "qqqa" not in joined and "qqq*" not in joined
+    assert "[EMAIL]" in joined and "@Example" not in joined
+    assert rows[texts.index(None)] is None
+
+
+def test_edges(spark, edge_docs, empty_docs):
+    docs, rows = edge_docs
+    got = sanitize.scan_personal_data(docs).collect()
+    assert len(got) == len(rows)
+    want = {i: t for i, t in rows}
+    for r in got:
+        base = plain_base(want[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(written(base).encode()).hexdigest()
+    assert sanitize.scan_personal_data(empty_docs).collect() == []
+    assert sanitize.sanitise(empty_docs).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_base_patterns_on_random_strings(seed):
+    rnd = random.Random(seed)
+    for _ in range(4000):
+        t = "".join(rnd.choice("aé1.@-+ ()2 3%_5\n") for _ in range(rnd.randrange(1, 60)))
+        assert sanitize.base_spans(t) == plain_base(t), t
+        digits = "".join(rnd.choice("0123456789 -.+") for _ in range(40))
+        assert sanitize.base_spans(digits) == plain_base(digits), digits
+
+
+def test_word_and_class_hashes():
+    h, stem = sanitize._hashed(["Abc", "abc", "abcd", "ABCE", "éàü", "éàüx"])
+    assert h[0] == h[1] and stem[0] == 0 and stem[2] == stem[3] != 0 and h[2] != h[3]
+    assert stem[4] == 0 and stem[5] != 0 and len(np.unique(h)) == 5
