@@ -9,11 +9,14 @@
    all; pairs are screened by the collision-corrected similarity of the packed
    signatures and confirmed on the full shingle sets; links are merged into
    components.  Buckets whose members are then of one component need nothing
-   more.  In the others, members of different components are still screened:
-   all of them in buckets of at most SMALL_BUCKET, against more and more hubs
-   in larger ones, until no untested pair across components is left.  There
-   the shingles that a member has to itself bound its similarity exactly, which
-   leaves out most pairs.
+   more.
+4. In the others a pair across components is tested once, in the first bucket
+   that both share.  Each member has a bitmap of its hub's shingles, and the
+   number of its further shingles that some other document has too: the common
+   bits of two members, and the smaller of these numbers, bound their
+   intersection.  So nearly all pairs are ruled out exactly without their
+   texts.  A bucket is dealt to cells of two blocks of BLOCK members, so
+   no task gets a whole bucket.
 
 Only what could change a component is tested, so a group of thousands of near
 copies costs about one test per member, and no link between components is
@@ -41,7 +44,8 @@ SIG_LONGS = N * LOW_BITS // 64
 # A pair whose estimate is this far below the threshold is not confirmed: five
 # standard deviations of the estimate at similarity 0.75.
 SCREEN = 0.52
-SMALL_BUCKET = 2048
+BLOCK = 256                # members on a side of a cell
+CELL_ROWS = 4096           # rows of cells that are worked on together, about
 
 _SEEDS = np.random.RandomState(20240917)
 _MULT = _SEEDS.randint(1, 1 << 62, N).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -136,18 +140,6 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _may_link(a: str, b: str) -> Column:
-    """Whether two members (their ``n``, ``own`` and ``sig``) pass the screen.
-
-    ``own`` shingles of a member occur in no other, so they are in no
-    intersection and in every union; with the set sizes that bounds the
-    similarity exactly.  Then the estimate must not be far below the threshold."""
-    na, nb, oa, ob = (F.col(c) for c in (f"n_{a}", f"n_{b}", f"own_{a}", f"own_{b}"))
-    return ((SIMILARITY[1] * F.least(na - oa, nb - ob)
-             >= SIMILARITY[0] * F.greatest(nb + oa, na + ob))
-            & (estimated_similarity(f"sig_{a}", f"sig_{b}") >= SCREEN))
-
-
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("doc_id").to_numpy()
@@ -165,17 +157,111 @@ def _own_shingles(texts: DataFrame) -> DataFrame:
             .filter("docs = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("own")))
 
 
-def _screened(left: DataFrame, right: DataFrame, more: Column) -> DataFrame:
-    """(a, b), a < b: members of one bucket that pass the screen; the screen is
-    part of the join, so nothing else leaves it."""
+def _to_hubs(members: DataFrame) -> DataFrame:
+    """(a, b), a < b: a member and the hub of its bucket that pass the screen;
+    the screen is part of the join, so nothing else leaves it."""
+    is_hub = F.col("doc_id") == F.col("hub")
     def named(df: DataFrame, x: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(f"{c}_{x}") for c in df.columns])
-    x, y = named(left, "x"), named(right, "y")
-    return (x.join(y, (F.col("key_x") == F.col("key_y")) & more & _may_link("x", "y"))
+        return df.select(*[F.col(c).alias(f"{c}_{x}") for c in ("key", "doc_id", "sig")])
+    x, y = named(members.filter(~is_hub), "x"), named(members.filter(is_hub), "y")
+    close = estimated_similarity("sig_x", "sig_y") >= SCREEN
+    return (x.join(y, (F.col("key_x") == F.col("key_y")) & close)
             .select(F.least("doc_id_x", "doc_id_y").alias("a"),
                     F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct())
 
 
+def _on_hub(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmap of the hub's (sorted) shingles that a member has, and the number
+    of its other shingles that are not its own alone."""
+    for batch in batches:
+        mine = [s for _, part in shingle_sets(batch.column("text"), SHINGLE_WORDS) for s in part]
+        hubs = [s for _, part in shingle_sets(batch.column("text_hub"), SHINGLE_WORDS) for s in part]
+        bits, more = [], []
+        for x, hub, own in zip(mine, hubs, batch.column("own").to_pylist()):
+            at = np.minimum(np.searchsorted(hub, x), len(hub) - 1)
+            has = np.zeros(-(-len(hub) // 64) * 64, np.uint8)
+            has[at[hub[at] == x]] = 1
+            bits.append(np.packbits(has, bitorder="little").tobytes())
+            more.append(len(x) - int(has.sum()) - own)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("hub"), pa.array(bits, pa.binary()), pa.array(more, pa.int64())],
+            names=["doc_id", "hub", "bits", "more"])
+
+
+def _may_link(x: dict, y: dict) -> np.ndarray:
+    """(members x, members y): pairs of different components, not met in an
+    earlier band, whose bound reaches the threshold and whose estimate is not
+    far below it."""
+    ok = x["comp"][:, None] != y["comp"][None, :]
+    band = int(x["band"])
+    for k in range(band):
+        ok &= x["bands"][:, None, k] != y["bands"][None, :, k]
+    if not ok.any():
+        return ok
+    both = np.minimum(x["more"][:, None], y["more"][None, :])
+    for w in range(x["bits"].shape[1]):
+        both += np.bitwise_count(x["bits"][:, None, w] & y["bits"][None, :, w])
+    ok &= (SIMILARITY[1] * both >= SIMILARITY[0] * (x["n"][:, None] + y["n"][None, :] - both))
+    i, j = np.nonzero(ok)
+    if len(i):
+        low = np.uint64(sum(1 << (k * LOW_BITS) for k in range(64 // LOW_BITS)))
+        differ = x["sig"][i] ^ y["sig"][j]
+        any_ = differ
+        for k in range(1, LOW_BITS):
+            any_ = any_ | (differ >> np.uint64(k))
+        equal = N - np.bitwise_count(any_ & low).sum(axis=1)
+        chance = 1.0 / (1 << LOW_BITS)
+        ok[i, j] = (equal / N - chance) / (1 - chance) >= SCREEN
+    return ok
+
+
+def _cells(table: pa.Table) -> pa.Table:
+    """Pairs that pass ``_may_link`` in some cells (key, gi, gj)."""
+    table = table.sort_by([("key", "ascending"), ("gi", "ascending"), ("gj", "ascending")]).combine_chunks()
+    column = {c: table.column(c).to_numpy() for c in ("key", "gi", "gj", "block", "doc_id", "comp", "n", "more")}
+    bits = table.column("bits").to_pylist()
+    sig, bands = (np.array(table.column(c).to_pylist(), np.int64).view(np.uint64).reshape(len(table), -1)
+                  for c in ("sig", "bands"))
+    new = np.flatnonzero((np.diff(column["key"]) != 0) | (np.diff(column["gi"]) != 0)
+                         | (np.diff(column["gj"]) != 0)) + 1
+    a, b = [], []
+    for first, end in zip([0, *new.tolist()], [*new.tolist(), len(table)]):
+        def members(block: int) -> dict:
+            at = first + np.flatnonzero(column["block"][first:end] == block)
+            out = {c: column[c][at] for c in ("doc_id", "comp", "n", "more")}
+            out |= {"sig": sig[at], "bands": bands[at], "bits": np.frombuffer(
+                b"".join([bits[k] for k in at.tolist()]), np.uint64).reshape(len(at), -1)}
+            if len(at):
+                out["band"] = np.flatnonzero(out["bands"][0].view(np.int64) == column["key"][first])[0]
+            return out
+        gi, gj = int(column["gi"][first]), int(column["gj"][first])
+        x = members(gi)
+        y = x if gi == gj else members(gj)
+        if not len(x["doc_id"]) or not len(y["doc_id"]):
+            continue
+        i, j = np.nonzero(_may_link(x, y))
+        u, v = x["doc_id"][i], y["doc_id"][j]
+        keep = (u < v) if gi == gj else np.ones(len(u), bool)
+        a.append(np.minimum(u, v)[keep])
+        b.append(np.maximum(u, v)[keep])
+    empty = np.empty(0, np.int64)
+    return pa.table([pa.array(np.concatenate([empty, *a])), pa.array(np.concatenate([empty, *b]))], names=["a", "b"])
+
+
+def _across(now: DataFrame) -> DataFrame:
+    """(a, b), a < b: pairs of ``now`` (key, doc_id, n, more, bits, sig, bands,
+    comp) across components that may link, each once."""
+    sizes = now.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    cells = max(1, now.count() // CELL_ROWS)
+    dealt = now.join(sizes, "key").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")) \
+        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .withColumns({"gi": F.least("block", "other"), "gj": F.greatest("block", "other")}) \
+        .withColumn("cell", F.pmod(F.xxhash64("key", "gi", "gj"), F.lit(cells)))
+    return dealt.select("cell", "key", "gi", "gj", "block", "doc_id", "comp", "n", "more", "bits", "sig", "bands") \
+        .groupBy("cell").applyInArrow(_cells, "a long, b long")
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` that are links by the sets of their whole texts."""
     pairs = materialize(pairs, "minhash-pairs")
@@ -191,56 +277,37 @@ def _merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
     return connected_components(edges).toDF("doc_id", "comp")
 
 
-def link_components(sigs: DataFrame, docs: DataFrame, max_rounds: int = 20) -> DataFrame:
+def link_components(sigs: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc_id, comp) of the documents in ``sigs`` that are linked with another."""
     bands = sigs.select("doc_id", F.explode("bands").alias("key"))
     sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
     members = materialize(bands.join(sizes, "key"), "minhash-members")
     degree = members.groupBy("doc_id").agg(F.sum("size").alias("degree"))
-    about = sigs.select("doc_id", "n", "sig").join(degree, "doc_id")
+    about = sigs.select("doc_id", "sig").join(degree, "doc_id")
     members = materialize(members.join(about, "doc_id"), "minhash-members")
     hubs = members.groupBy("key").agg(F.max_by("doc_id", "degree").alias("hub"))
-    members = materialize(members.join(hubs, "key").select("key", "size", "doc_id", "n", "sig", "hub"),
-                          "minhash-members")
+    members = materialize(members.join(hubs, "key").select("key", "doc_id", "sig", "hub"), "minhash-members")
 
     # the texts of all candidates, moved once; the same plan at every size
     ids = members.select("doc_id").distinct().hint("merge")
     texts = materialize(id_and_text(docs).join(ids, "doc_id").dropDuplicates(["doc_id"]),
                         "minhash-texts")
-
-    is_hub = F.col("doc_id") == F.col("hub")
-    comp = _merged(None, _links(_screened(
-        members.filter(~is_hub).select("key", "doc_id", "n", "sig", F.lit(0).alias("own")),
-        members.filter(is_hub).select("key", "doc_id", "n", "sig", F.lit(0).alias("own")),
-        F.lit(True)), texts))
-
-    members = members.filter(~is_hub).select("key", "size", "doc_id", "n", "sig")
-    for round_ in range(max_rounds):
-        now = members.join(comp, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-        mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-                   .filter(F.col("lo") != F.col("hi")).select("key")
-        now = materialize(now.join(mixed, "key"), "minhash-mixed")
-        if now.isEmpty():
-            return comp
-        own = _own_shingles(texts.join(now.select("doc_id").distinct(), "doc_id"))
-        now = materialize(now.join(own, "doc_id", "left").withColumn("own", F.coalesce("own", F.lit(0))),
-                          "minhash-mixed")
-        # buckets of a known size: every pair across components
-        fields = ["key", "doc_id", "n", "own", "sig", "comp"]
-        small = now.filter(F.col("size") <= SMALL_BUCKET).select(fields)
-        pairs = _screened(small, small, F.col("comp_x") < F.col("comp_y"))
-        # larger ones: against a growing number of hubs, which are then done
-        large = now.filter(F.col("size") > SMALL_BUCKET)
-        draw = F.pmod(F.xxhash64("doc_id", F.lit(round_)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        drawn = draw < F.lit(SMALL_BUCKET * 2.0 ** round_) / F.col("size")
-        pairs = pairs.union(_screened(large.select(fields), large.filter(drawn).select(fields),
-                                      F.col("comp_x") != F.col("comp_y"))).distinct()
-        comp = _merged(comp, _links(pairs, texts))
-        members = materialize(large.filter(~drawn).select("key", "size", "doc_id", "n", "sig"),
-                              "minhash-members")
-        if members.isEmpty():
-            return comp
-    raise RuntimeError("near-duplicate buckets did not settle")
+    comp = materialize(_merged(None, _links(_to_hubs(members), texts)), "minhash-components")
+
+    now = members.filter("doc_id <> hub").select("key", "doc_id", "hub").join(comp, "doc_id", "left") \
+                 .withColumn("comp", F.coalesce("comp", "doc_id"))
+    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
+               .filter(F.col("lo") != F.col("hi")).select("key")
+    now = materialize(now.join(mixed, "key"), "minhash-mixed")
+    pairs = materialize(now.select("doc_id", "hub").distinct(), "minhash-hub-pairs")
+    left = pairs.select("doc_id").union(pairs.select("hub")).distinct()
+    own = _own_shingles(texts.join(left, "doc_id"))
+    wide = pairs.join(texts, "doc_id").join(texts.toDF("hub", "text_hub"), "hub") \
+                .join(own, "doc_id", "left").fillna({"own": 0})
+    on_hub = materialize(wide.select("doc_id", "hub", "own", "text", "text_hub").mapInArrow(
+        _on_hub, "doc_id long, hub long, bits binary, more long"), "minhash-bitmaps")
+    now = now.join(on_hub, ["doc_id", "hub"]).join(sigs.select("doc_id", "n", "sig", "bands"), "doc_id")
+    return _merged(comp, _links(_across(materialize(now, "minhash-mixed")), texts))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

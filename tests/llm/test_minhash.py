@@ -83,6 +83,22 @@ def test_group_around_an_original(spark, least_id):
     check(spark, list({i: (i, t) for i, t in rows}.values()))
 
 
+@pytest.mark.parametrize("block,rows", [(7, 64), (256, 4096)])
+def test_many_components_in_one_bucket(spark, monkeypatch, block, rows):
+    """1,500 near copies, 4 to 12 words changed, most of them no links: pairs
+    across components are met once and nearly all ruled out by their bitmaps."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "CELL_ROWS", rows)
+    tested = []
+    real = minhash._links
+    monkeypatch.setattr(minhash, "_links", lambda pairs, texts: tested.append(pairs.count()) or real(pairs, texts))
+    rnd = random.Random(11)
+    base = [f"w{rnd.randrange(10 ** 6)}" for _ in range(150)]
+    n = 1500 if block == 256 else 300
+    check(spark, [(i, edited(rnd, base, rnd.randrange(4, 13))) for i in range(n)])
+    assert tested[1] < 6 * n
+
+
 def test_chain_of_edits(spark):
     """Neighbours link, ends do not: the component is the whole chain."""
     rnd = random.Random(9)
