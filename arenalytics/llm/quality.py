@@ -76,25 +76,14 @@ def _bucket(*words: Column) -> Column:
     return F.pmod(F.xxhash64(*words), F.lit(BUCKETS)).cast("int")
 
 
-def _word_pairs(words: Column) -> Column:
-    """(word, next word or null) structs, in order."""
-    return F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))),
-                      lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-
-
-def bucket_counts(docs: DataFrame, folds: DataFrame) -> list[tuple[int, int, int]]:
-    """Per bucket: n-grams in all documents, and in the two halves of the
-    trusted sample (``folds``: doc_id, fold; at most TRUSTED_DOCS rows).  Only
-    the BUCKETS totals reach the driver."""
-    grams = (id_and_text(docs).join(F.broadcast(folds), "doc_id", "left")
-             .select("fold", F.explode(_word_pairs(words_of(F.col("text")))).alias("p"))
-             .select("fold", "p.a", "p.b")
-             .select("fold", F.explode(F.array(
-                 _bucket(F.col("a")), F.when(F.col("b").isNotNull(), _bucket(F.col("a"), F.col("b")))
-             )).alias("k")).filter(F.col("k").isNotNull()))
-    rows = grams.groupBy("k").agg(
-        F.count(F.lit(1)).alias("raw"), F.count_if(F.col("fold") == 0).alias("f0"),
-        F.count_if(F.col("fold") == 1).alias("f1")).collect()
+def bucket_counts(grams: DataFrame, folds: DataFrame) -> list[tuple[int, int, int]]:
+    """Per bucket: n-grams in all documents (``grams``: doc_id, buckets), and in
+    the two halves of the trusted sample (``folds``: doc_id, fold; at most
+    TRUSTED_DOCS rows).  Only the BUCKETS totals reach the driver."""
+    rows = (grams.join(F.broadcast(folds), "doc_id", "left")
+            .select("fold", F.explode("buckets").alias("k")).groupBy("k").agg(
+                F.count(F.lit(1)).alias("raw"), F.count_if(F.col("fold") == 0).alias("f0"),
+                F.count_if(F.col("fold") == 1).alias("f1")).collect())
     out = [(0, 0, 0)] * BUCKETS
     for r in rows:
         out[r["k"]] = (r["raw"], r["f0"], r["f1"])
@@ -123,20 +112,23 @@ def mean_ratio(buckets: Column, ratios: list[float]) -> Column:
         buckets, F.lit(0.0), lambda acc, k: acc + table[k]) / F.size(buckets)).otherwise(F.lit(0.0))
 
 
-def _counted(d: DataFrame, *more: str) -> DataFrame:
-    text = F.col("text")
-    return d.select(
-        "doc_id", *more, words_of(text).alias("words"),
-        (F.length(_without(text, WHITE))).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long").alias("n_symbols"),
-        duplicate_lines(text).alias("n_dup_lines"))
+def _base_failed(n_words: Column, n_repeat_words: Column) -> Column:
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT * n_words)
 
 
-def _base(d: DataFrame) -> DataFrame:
-    n = F.size("words").cast("long")
-    d = d.withColumn("n_words", n).withColumn("n_repeat_words", repeated_words(F.col("words")))
-    return d.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
-                        | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words")))
+def _judged(text: Column) -> Column:
+    """All that a text gives, from one split into words."""
+    def of(words: Column) -> Column:
+        n = F.size(words).cast("long")
+
+        def fields(repeat: Column) -> Column:
+            return F.struct(
+                n.alias("n_words"), F.length(_without(text, WHITE)).cast("long").alias("word_chars"),
+                (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long").alias("n_symbols"),
+                duplicate_lines(text).alias("n_dup_lines"), repeat.alias("n_repeat_words"),
+                _base_failed(n, repeat).alias("base_failed"), gram_buckets(words).alias("buckets"))
+        return let(repeated_words(words), fields)
+    return let(words_of(text), of)
 
 
 def _fold() -> Column:
@@ -158,14 +150,11 @@ def low_quantile(scores: DataFrame, share: float = TRUSTED_LOSS) -> float:
     return 0.0
 
 
-def scores(words: Column, ratios: list[float], without: list[list[float]]) -> Column:
-    """(score, held): by the whole ratio, and by the one in ``without`` that the
-    document's half of the sample is left out of.  A document outside the
-    sample is in neither; its half is taken alike."""
-    def both(k: Column) -> Column:
-        held = F.when(_fold() == 0, mean_ratio(k, without[0])).otherwise(mean_ratio(k, without[1]))
-        return F.struct(mean_ratio(k, ratios).alias("score"), held.alias("held"))
-    return let(let(words, gram_buckets), both)
+def held_ratio(buckets: Column, without: list[list[float]]) -> Column:
+    """Mean ratio by the one in ``without`` that the document's half of the
+    sample is left out of.  A document outside the sample is in neither; its
+    half is taken alike."""
+    return F.when(_fold() == 0, mean_ratio(buckets, without[0])).otherwise(mean_ratio(buckets, without[1]))
 
 
 def threshold_of(held: DataFrame, trusted: DataFrame | None) -> float:
@@ -176,11 +165,12 @@ def threshold_of(held: DataFrame, trusted: DataFrame | None) -> float:
     return low_quantile(held.join(trusted, "doc_id", "left_semi"))
 
 
-def fit_ratios(docs: DataFrame, labels: DataFrame | None, trusted_docs: int = TRUSTED_DOCS):
-    """(trusted ids, log ratio per bucket, the ratios without each half).
-    ``labels`` (doc_id, quality): rows with quality 1 are trusted; the ratios
-    are fitted on the ``trusted_docs`` of them with the smallest hash of their
-    id.  Without any there are no trusted ids and every ratio is 0."""
+def fit_ratios(grams: DataFrame, labels: DataFrame | None, trusted_docs: int = TRUSTED_DOCS):
+    """(trusted ids, log ratio per bucket, the ratios without each half) from
+    (doc_id, buckets).  ``labels`` (doc_id, quality): rows with quality 1 are
+    trusted; the ratios are fitted on the ``trusted_docs`` of them with the
+    smallest hash of their id.  Without any there are no trusted ids and every
+    ratio is 0."""
     none = None, [0.0] * BUCKETS, [[0.0] * BUCKETS] * 2
     if labels is None:
         return none
@@ -189,7 +179,7 @@ def fit_ratios(docs: DataFrame, labels: DataFrame | None, trusted_docs: int = TR
         .filter("doc_id is not null").distinct(), "trusted")
     folds = materialize(bounded_rows(trusted, trusted_docs)
                         .select("doc_id", _fold().alias("fold")), "trusted-sample")
-    counts = bucket_counts(docs, folds)
+    counts = bucket_counts(grams, folds)
     raw = [c[0] for c in counts]
     if not sum(c[1] + c[2] for c in counts):
         return none
@@ -201,15 +191,19 @@ def judge_quality(docs: DataFrame, labels: DataFrame | None,
                   trusted_docs: int = TRUSTED_DOCS) -> DataFrame:
     """One row per document: the counts, base_failed, score, threshold, kept.
 
-    Without any trusted document every score is 0 and the base rules decide
-    alone.  A null text is empty and fails the base rules; repeated rows are
-    judged alike; an empty table gives no rows; other columns are ignored.
+    The texts are read once; their counts and n-gram buckets are written, and
+    the corpus totals and the scores come from those.  Without any trusted
+    document every score is 0 and the base rules decide alone.  A null text is
+    empty and fails the base rules; repeated rows are judged alike; an empty
+    table gives no rows; other columns are ignored.
     """
-    trusted, ratios, without = fit_ratios(docs, labels, trusted_docs)
-    out = _base(_counted(id_and_text(docs))).withColumn("s", scores(F.col("words"), ratios, without))
-    out = materialize(out.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "s.score", "s.held"), "quality-scores")
+    read = id_and_text(docs).withColumn("q", _judged(F.col("text"))).select("doc_id", "q.*")
+    read = materialize(read, "quality-buckets")
+    trusted, ratios, without = fit_ratios(read.select("doc_id", "buckets"), labels, trusted_docs)
+    out = materialize(read.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        mean_ratio(F.col("buckets"), ratios).alias("score"),
+        F.when(~F.col("base_failed"), held_ratio(F.col("buckets"), without)).alias("held")), "quality-scores")
     threshold = threshold_of(out.filter(~F.col("base_failed")).select(
         "doc_id", F.col("held").alias("score")), trusted)
     return out.drop("held").withColumn("threshold", F.lit(threshold)).withColumn(
@@ -219,15 +213,17 @@ def judge_quality(docs: DataFrame, labels: DataFrame | None,
 def keep_good(docs: DataFrame, labels: DataFrame | None,
               trusted_docs: int = TRUSTED_DOCS) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that judge_quality keeps."""
-    trusted, ratios, without = fit_ratios(docs, labels, trusted_docs)
-    words = spare_name(docs, "words")
-    s = spare_name(docs, "scores")
-    w = F.col(words)
-    passed = docs.withColumn(words, words_of(text_or_empty())).filter(
-        (F.size(w) >= MIN_WORDS) & (100 * repeated_words(w) <= MAX_REPEAT * F.size(w)))
-    passed = passed.withColumn(s, scores(w, ratios, without)).drop(words)
-    if trusted is not None:         # texts are split and scored once
-        passed = materialize(passed, "quality-scores")
-    threshold = threshold_of(passed.select(F.col("doc_id").cast("long").alias("doc_id"),
-                                           F.col(s)["held"].alias("score")), trusted)
-    return passed.filter(F.col(s)["score"] >= threshold).drop(s)
+    q, s = spare_name(docs, "judged"), spare_name(docs, "scores")
+    text = text_or_empty()
+
+    def of(words: Column) -> Column:
+        return F.struct(_base_failed(F.size(words), repeated_words(words)).alias("base_failed"),
+                        gram_buckets(words).alias("buckets"))
+    read = materialize(docs.withColumn(q, let(words_of(text), of)), "quality-buckets")
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    buckets = F.col(q)["buckets"]
+    trusted, ratios, without = fit_ratios(read.select(doc_id, buckets.alias("buckets")), labels, trusted_docs)
+    passed = read.filter(~F.col(q)["base_failed"])
+    threshold = threshold_of(passed.select(doc_id, held_ratio(buckets, without).alias("score")),
+                             trusted)
+    return passed.withColumn(s, mean_ratio(buckets, ratios)).filter(F.col(s) >= threshold).drop(q, s)
