@@ -64,7 +64,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True   # their strings are ordinary text
         self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
@@ -75,6 +74,9 @@ class Encoder:
                         and splits[0].get("behavior") == "Removed"
                         and [s.get("type") for s in splits] == ["Split", "ByteLevel"]
                         and not splits[-1].get("add_prefix_space"))
+        # the strings of added tokens are ids of their own, wherever they stand
+        added = [t["content"] for t in conf.get("added_tokens", [])]
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         self.known: dict[str, bytes] = {}        # by word
         self.pieces: dict[str, bytes] = {}       # by what the model encodes
 
@@ -106,7 +108,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
-            if not self.by_word or _ODD_SPACE.search(text):
+            if not self.by_word or _ODD_SPACE.search(text) or self.added and self.added.search(text):
                 yield self._whole([text])[0]
                 continue
             if len(self.known) > CACHE_WORDS:

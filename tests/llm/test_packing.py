@@ -13,8 +13,8 @@ from arenalytics.llm import packing
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
-LIBRARY = Tokenizer.from_file(PATH)
-LIBRARY.encode_special_tokens = True
+LIBRARY = Tokenizer.from_file(PATH)          # as it is, no setting changed
+ADDED = [t.content for t in LIBRARY.get_added_tokens_decoder().values()]
 
 
 def whole_ids(text):
@@ -78,6 +78,15 @@ def test_encoder_on_awkward_texts(monkeypatch):
         assert np.frombuffer(b, "<u4").tolist() + [2] == whole_ids(t), t
 
 
+def test_strings_of_added_tokens_are_their_ids():
+    e = packing.Encoder(PATH)
+    assert ADDED
+    texts = [f"see {t} now" for t in ADDED] + [f"a{t}b {t.upper()} x" for t in ADDED] + ["".join(ADDED) * 2]
+    for t, b in zip(texts, e.encode(texts)):
+        assert np.frombuffer(b, "<u4").tolist() + [2] == whole_ids(t), t
+    assert LIBRARY.token_to_id(ADDED[0]) in np.frombuffer(next(e.encode(texts)), "<u4")
+
+
 def test_cuts_cover_exactly():
     for n in [1, 2, 1023, 1024, 1025, 4095, 4096, 4097, 9000, 12288]:
         c = packing.cuts(n)
