@@ -33,9 +33,17 @@ def latest_matches_per_player(participants: DataFrame, matches: DataFrame,
     m = matches.select("match_id", "game_creation", "queue_id")
     if queue_id:
         m = m.filter(F.col("queue_id") == queue_id)
-    j = participants.select("puuid", "match_id").join(m, "match_id")
+    return _newest(participants.select("puuid", "match_id").join(m, "match_id"), n)
+
+
+def latest_listed(listings: DataFrame, n: int = 20, queue_id: int | None = 420) -> DataFrame:
+    """The same from listings (puuid, match_id, game_creation, queue_id)."""
+    return _newest(listings.filter(F.col("queue_id") == queue_id) if queue_id else listings, n)
+
+
+def _newest(listed: DataFrame, n: int) -> DataFrame:
     w = Window.partitionBy("puuid").orderBy(F.col("game_creation").desc(),
                                             F.col("match_id").asc())
-    top = j.withColumn("rn", F.dense_rank().over(w)).filter(F.col("rn") <= n)
+    top = listed.withColumn("rn", F.dense_rank().over(w)).filter(F.col("rn") <= n)
     return (top.dropDuplicates(["puuid", "match_id"])
                .select("puuid", "match_id", "game_creation", F.col("rn").cast("int")))

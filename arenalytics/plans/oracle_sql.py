@@ -476,6 +476,41 @@ doc_texts AS (
   GROUP BY r.match_id, r.game_creation, r.game_duration, r.game_version, r.platform_id, r.queue_id
 )"""
 
+LISTINGS = """
+accounts AS (
+  SELECT c_custkey, c_name AS name,
+         CAST(c_nationkey + CASE WHEN c_custkey % 5 = 0 THEN 100 ELSE 0 END AS VARCHAR) AS tag,
+         CASE WHEN c_custkey % 10 = 1 THEN 2 ELSE 1 END AS entries,
+         CASE WHEN c_custkey % 5 = 0 THEN 'unknown player' WHEN c_custkey % 7 = 0 THEN 'no listing'
+              ELSE 'processed' END AS outcome
+  FROM customer
+),
+listed AS (
+  SELECT r.match_id, CAST(r.match_id AS BIGINT) AS k, o.o_custkey + d.next AS player, r.game_creation, o.o_orderdate
+  FROM raw_matches r JOIN orders o ON CAST(o.o_orderkey AS VARCHAR) = r.match_id, range(0, 2) d(next)
+  WHERE r.queue_id = 420
+),
+newest AS (
+  SELECT b.b, l.*, a.entries,
+         row_number() OVER (PARTITION BY b.b, l.player ORDER BY l.game_creation DESC, l.match_id) AS rn
+  FROM range(1, 3) b(b) JOIN listed l ON b.b = 2 OR l.o_orderdate < TIMESTAMP '1998-01-01'
+       JOIN accounts a ON a.c_custkey = l.player AND a.outcome = 'processed'
+),
+requested AS (
+  SELECT b, match_id, k, CAST(sum(entries) AS BIGINT) AS copies FROM newest WHERE rn <= 3 GROUP BY b, match_id, k
+),
+asked AS (
+  SELECT r.*, CASE WHEN k % 11 = 0 OR k % 13 = 0 THEN 'missing' WHEN k % 17 = 0 THEN 'error' ELSE 'inserted' END
+              AS answer
+  FROM requested r
+),
+outcomes AS (
+  SELECT s.b, s.match_id, s.copies,
+         CASE WHEN s.b = 2 AND f.match_id IS NOT NULL THEN 'skipped' ELSE s.answer END AS outcome
+  FROM asked s LEFT JOIN asked f ON f.b = 1 AND f.match_id = s.match_id AND f.answer = 'inserted'
+),
+players_of AS (SELECT CAST(l_orderkey AS VARCHAR) AS match_id, count(*) AS n FROM raw_lines GROUP BY l_orderkey)"""
+
 BATCH_LOADED = ("CASE WHEN v.o_orderdate < TIMESTAMP '1998-01-01' "
                 "THEN TIMESTAMP '2001-11-05' ELSE TIMESTAMP '2001-11-06' END")
 
@@ -531,6 +566,32 @@ FROM doc_players l JOIN doc_orders v ON l.l_orderkey = v.o_orderkey"""
 SELECT CAST(o_orderkey AS VARCHAR) AS match_id FROM orders
 WHERE o_orderdate >= TIMESTAMP '1998-01-01'"""
 
+    listings = with_ctes(RAW, LISTINGS)
+    q["listing_outcomes"] = listings + """
+SELECT o.b AS batch_id, o.match_id, o.copies, o.outcome,
+       CAST(CASE WHEN o.outcome = 'inserted' THEN coalesce(p.n, 0) END AS INTEGER) AS participants
+FROM outcomes o LEFT JOIN players_of p USING (match_id)"""
+
+    q["listing_player_errors"] = listings + """
+SELECT b.b AS batch_id, name, tag, CAST(entries AS BIGINT) AS entries, outcome AS error
+FROM accounts, range(1, 3) b(b) WHERE outcome <> 'processed'"""
+
+    q["listing_load_stats"] = listings + """,
+per_player AS (
+  SELECT CAST(sum(entries) FILTER (WHERE outcome = 'processed') AS BIGINT) AS processed,
+         CAST(sum(entries) FILTER (WHERE outcome <> 'processed') AS BIGINT) AS failed FROM accounts
+)
+SELECT o.b AS batch_id, any_value(a.processed) AS summoners_processed,
+       CAST(sum(copies) AS BIGINT) AS matches_found,
+       count_if(outcome = 'inserted') AS matches_inserted,
+       CAST(sum(CASE outcome WHEN 'skipped' THEN copies WHEN 'inserted' THEN copies - 1 ELSE 0 END) AS BIGINT)
+         AS matches_skipped,
+       CAST(sum(CASE WHEN outcome = 'inserted' THEN coalesce(p.n, 0) ELSE 0 END) AS BIGINT) AS participants_inserted,
+       CAST(sum(CASE WHEN outcome = 'error' THEN copies ELSE 0 END) + any_value(a.failed) AS BIGINT) AS errors,
+       any_value(a.failed) AS players_failed,
+       CAST(sum(CASE WHEN outcome = 'missing' THEN copies ELSE 0 END) AS BIGINT) AS matches_missing
+FROM outcomes o CROSS JOIN per_player a LEFT JOIN players_of p USING (match_id) GROUP BY o.b"""
+
     q["player_lookup"] = """
 SELECT t.c_name AS name, CAST(t.tag AS VARCHAR) AS tag, CAST(a.c_custkey AS VARCHAR) AS puuid
 FROM (SELECT c_name, c_nationkey + CASE WHEN c_custkey % 5 = 0 THEN 100 ELSE 0 END AS tag

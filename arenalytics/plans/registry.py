@@ -25,7 +25,7 @@ from ..sources import lookups
 from ..sources.adapter import load_raw
 from ..sources.tables import read_table, register_view, write_layer
 from ..streaming.incremental import run_incremental_stream
-from . import analytics, examples, ingest, marts, staging
+from . import analytics, examples, ingest, listing, marts, staging
 
 # Fixed 'now' for reproducible reports: the day after the newest load
 # timestamp of the driver tables (max l_shipdate is 2001-11-04).
@@ -154,6 +154,27 @@ def _load_inserted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.inserted_match_ids(spark, sink, 2)
 
 
+def _listing_sink(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    sink = listing.run_two_listings(spark, sf_dir, scratch_path(spark, "listing"))
+    return spark.read.parquet(f"{sink}/{table}").drop("run_id") \
+                .withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+def _listing_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of two runs driven by tracked players' listings."""
+    return _listing_sink(spark, sf_dir, "listing_stats")
+
+
+def _listing_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every requested match of both runs."""
+    return _listing_sink(spark, sf_dir, "outcomes")
+
+
+def _listing_player_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracked players that failed alone, with the reason."""
+    return _listing_sink(spark, sf_dir, "player_errors")
+
+
 def _player_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tracked (name, tag) pairs resolved to player ids; a fifth of the tags
     belongs to no account and stays unresolved."""
@@ -333,6 +354,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "explode_participants": _direct(_explode_participants),
         "load_stats": _direct(_load_stats),
         "load_inserted_ids": _direct(_load_inserted_ids),
+        "listing_load_stats": _direct(_listing_load_stats),
+        "listing_outcomes": _direct(_listing_outcomes),
+        "listing_player_errors": _direct(_listing_player_errors),
         "player_lookup": _direct(_player_lookup),
         "sink_round_trip": _direct(_sink_round_trip),
         "stream_incremental_load": _direct(_stream_incremental_load),

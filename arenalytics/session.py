@@ -32,9 +32,11 @@ DEFAULT_CONF = {
 #    bytes of bytecode; a whole-stage-codegen stage whose method is larger
 #    would run interpreted (4× slower on the staging projection).  Above the
 #    limit Spark splits the stage into per-operator compiled code instead.
+#  * variant.allowDuplicateKeys: the last of two equal keys counts.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
