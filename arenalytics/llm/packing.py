@@ -75,8 +75,10 @@ class Encoder:
                         and [s.get("type") for s in splits] == ["Split", "ByteLevel"]
                         and not splits[-1].get("add_prefix_space"))
         # the strings of added tokens are ids of their own, wherever they stand
-        added = [t["content"] for t in conf.get("added_tokens", [])]
-        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
+        added = conf.get("added_tokens", [])
+        self.added = [t["content"] for t in added]
+        # one that is looked for in normalised text may stand there in another form
+        self.by_word = self.by_word and not any(t["normalized"] for t in added)
         self.known: dict[str, bytes] = {}        # by word
         self.pieces: dict[str, bytes] = {}       # by what the model encodes
 
@@ -108,7 +110,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
-            if not self.by_word or _ODD_SPACE.search(text) or self.added and self.added.search(text):
+            if not self.by_word or _ODD_SPACE.search(text) or any(t in text for t in self.added):
                 yield self._whole([text])[0]
                 continue
             if len(self.known) > CACHE_WORDS:
