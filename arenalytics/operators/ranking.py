@@ -2,7 +2,18 @@
 
 A window with no PARTITION BY puts every row in one task
 (``Exchange SinglePartition``).  That is right for a few thousand champions and
-wrong for a player table at cluster scale.  The distributed form:
+wrong for a player table at cluster scale.
+
+RANK and PERCENT_RANK depend on the value alone, so they come from a histogram:
+
+1. Count the rows of every distinct value; a value shared by a third of all
+   rows is combined map-side.
+2. Range-partition the distinct values, sum their counts inside each partition,
+   and add the totals of the partitions before (at most P rows).  That is the
+   number of rows before each value.
+3. Join back on the value.  Rows need no key and may repeat.
+
+NTILE and ROW_NUMBER also order the rows inside a value:
 
 1. The input is written once; each ranking then works on a narrow projection
    (entity key, value).  ``repartitionByRange(P, value, key)`` — sampled bounds
@@ -15,14 +26,15 @@ wrong for a player table at cluster scale.  The distributed form:
    P rows, one per task of the shuffle.
 4. Global row number = offset + local row number.  Global rank = offset +
    local rank − (rows of earlier buckets tied with this bucket's first value).
-   NTILE and PERCENT_RANK follow from row number, rank and the total N.
-5. The ranks are joined back to the input by the entity key.
+   NTILE follows from row number and the total N.
+5. The ranks are joined back to the input by the entity key, which must be
+   unique: rows that repeat one would multiply, so they raise an error.
 
 Range bounds are sampled anew by every execution of the exchange (the sampler
-is seeded by the RDD id), so the bucketed and locally ranked rows are written
-once (Parquet below the shared ``spark.checkpoint.dir``) and both the
-per-bucket summary and the final rows read that copy; a lost executor re-reads
-it instead of re-bucketing.
+is seeded by the RDD id), so the bucketed rows (or values) are written once
+(Parquet below the shared ``spark.checkpoint.dir``) and both the per-bucket
+summary and the result read that copy; a lost executor re-reads it instead of
+re-bucketing.  So ``add_rankings`` runs jobs when it is called.
 """
 
 from __future__ import annotations
@@ -141,21 +153,63 @@ def _ranks(df: DataFrame, s: RankSpec, key: list[str], buckets: int) -> DataFram
     return j.select(*key, col.alias(s.out))
 
 
+def _value_ranks(df: DataFrame, value: str, descending: bool, nulls_first: bool | None,
+                 buckets: int) -> DataFrame:
+    """(value, _before, _total): per distinct value the number of rows ordered
+    before it, and of all rows."""
+    order = RankSpec("", "rank", value, descending, nulls_first).value_order()
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    parted = counts.repartitionByRange(buckets, order).withColumn("_b", F.spark_partition_id())
+    upto = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = write_once(parted.withColumn("_upto", F.sum("_n").over(upto)), "rank-histogram")
+    earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (local.groupBy("_b").agg(F.sum("_n").alias("_in"))
+              .withColumn("_off", F.coalesce(F.sum("_in").over(earlier), F.lit(0)))
+              .withColumn("_total", F.sum("_in").over(Window.partitionBy())))
+    return local.join(totals, "_b").select(
+        value, (F.col("_off") + F.col("_upto") - F.col("_n")).alias("_before"), "_total")
+
+
+def _add_value_ranks(df: DataFrame, specs: list[RankSpec], buckets: int, source: DataFrame) -> DataFrame:
+    """``df`` with the RANK / PERCENT_RANK columns of ``specs``, all over one
+    value in one direction."""
+    s = specs[0]
+    ranks = _value_ranks(source, s.value, s.descending, s.nulls_first, buckets)
+    out = df.join(ranks.withColumnRenamed(s.value, "_value"), F.col(s.value).eqNullSafe(F.col("_value")))
+    for s in specs:
+        col = (F.col("_before") + 1).cast("long") if s.kind == "rank" else \
+            F.when(F.col("_total") > 1, F.col("_before").cast("double") / (F.col("_total") - 1)).otherwise(F.lit(0.0))
+        out = out.withColumn(s.out, col)
+    return out.drop("_value", "_before", "_total")
+
+
 def add_rankings(df: DataFrame, specs: list[RankSpec], key: list[str],
                  buckets: int | None = None) -> DataFrame:
     """Add one column per spec.
 
-    ``key`` names the columns that tell the rows apart (nulls allowed); equal
-    values are split over buckets by it and the ranks come back by it.  One
-    path for every size; ``buckets`` defaults to ``spark.sql.shuffle.partitions``.
+    ``key`` names the columns that tell the rows apart (nulls allowed); only
+    NTILE and ROW_NUMBER use it: equal values are split over buckets by it and
+    the ranks come back by it.  One path for every size; ``buckets`` defaults to
+    ``spark.sql.shuffle.partitions``.
     """
     spark = df.sparkSession
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    buckets = max(1, buckets)
+    columns = df.columns
     out = df = write_once(df, "rank-input")
+    by_value: dict[tuple, list[RankSpec]] = {}
+    by_row = [s for s in specs if s.kind not in ("rank", "percent_rank")]
     for s in specs:
-        ranks = _ranks(df, s, key, max(1, buckets))
+        if s not in by_row:
+            by_value.setdefault((s.value, s.descending, s.nulls_first), []).append(s)
+    for same_value in by_value.values():
+        out = _add_value_ranks(out, same_value, buckets, df)
+    if by_row and not df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
+        raise ValueError(f"rows repeat a key ({', '.join(key)}): they cannot be numbered by it")
+    for s in by_row:
+        ranks = _ranks(df, s, key, buckets)
         names = [f"_key{i}" for i in range(len(key))]
         same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, names)])
         out = out.join(ranks.toDF(*names, s.out), same, "left").drop(*names)
-    return out
+    return out.select(*columns, *[s.out for s in specs])

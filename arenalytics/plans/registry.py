@@ -18,14 +18,17 @@ from pyspark.sql.types import DecimalType, TimestampType
 
 from ..functions.timeutil import ntz_literal
 from ..operators import quality as Q
+from ..operators import sketches as S
 from ..operators.load import insert_if_absent
 from ..operators.topn import latest_matches_per_player
 from ..session import scratch_path
 from ..sources import lookups
 from ..sources.adapter import load_raw
+from ..sources.file_table import FileTable
+from ..sources.published import Published
 from ..sources.tables import read_table, register_view, write_layer
 from ..streaming.incremental import run_incremental_stream
-from . import analytics, examples, ingest, listing, marts, staging
+from . import analytics, build, examples, ingest, listing, marts, staging
 
 # Fixed 'now' for reproducible reports: the day after the newest load
 # timestamp of the driver tables (max l_shipdate is 2001-11-04).
@@ -193,6 +196,46 @@ def _sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oracle_types(spark.read.parquet(path))
 
 
+def _stored_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published full refresh: the place of every row of the two reports that
+    are stored in order of games."""
+    root = scratch_path(spark, "published")
+    build.refresh(spark, *load_raw(spark, sf_dir), root, AS_OF)
+    tables = Published(spark, root)
+    reports = [("champion_stats", "champion_name"), ("player_performance", "puuid")]
+    return Q.union_all([
+        build.in_stored_order(tables.read(t), ["total_games", key]).select(
+            F.lit(t).alias("report"), "position", F.col(key).alias("name"), "total_games")
+        for t, key in reports])
+
+
+def _delete_by_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``DELETE … WHERE queue_id = 420`` on stored matches: only the files that
+    hold the key are rewritten."""
+    stored = FileTable(spark, scratch_path(spark, "delete"))
+    stored.write(Models(spark, sf_dir).stg_matches, cluster_by=["queue_id", "match_id"])
+    stored.delete(F.col("queue_id") == 420)
+    return stored.read()
+
+
+def _approx_unique_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players per champion from the stored sketches of two batches, beside the
+    exact count: whether the estimate is within five standard errors (or one)."""
+    p = Models(spark, sf_dir).stg_participants
+    split = F.col("loaded_at") < F.lit("1997-01-01").cast("timestamp_ntz")
+    batches = []
+    for batch in (p.filter(split), p.filter(~split)):
+        path = scratch_path(spark, "sketches")
+        write_layer(S.distinct_sketches(batch, marts.CHAMPION_KEYS, "puuid"), path)
+        batches.append(spark.read.parquet(path))
+    merged = S.estimates(S.merge_sketches(batches, marts.CHAMPION_KEYS), "estimate")
+    exact = marts.dim_champions(p).select(*marts.CHAMPION_KEYS, "unique_players")
+    off = F.abs(F.col("estimate") - F.col("unique_players"))
+    return marts.join_null_safe(exact, merged, marts.CHAMPION_KEYS).select(
+        *marts.CHAMPION_KEYS, "unique_players",
+        (off <= F.greatest(F.lit(1.0), F.col("unique_players") * (5 * S.standard_error()))).alias("within_bound"))
+
+
 def _load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load statistics of both batches."""
     sink = ingest.run_two_batches(spark, sf_dir, scratch_path(spark, "ingest"))
@@ -264,31 +307,28 @@ def _table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Models(spark, sf_dir)
-    return Q.summarize([
-        Q.Check("raw_matches.match_id", Q.unique(m.raw_matches, "match_id")),
-        Q.Check("stg_matches.match_id", Q.unique(m.stg_matches, "match_id")),
-        Q.Check("dim_champions.champion_name", Q.unique(m.dim_champions(), "champion_name")),
-        Q.Check("dim_summoners.puuid",
-                Q.unique(marts.summoner_aggregates(m.stg_participants), "puuid")),
+    return Q.union_all([
+        Q.unique_failures(m.raw_matches, "raw_matches.match_id", ["match_id"]),
+        Q.unique_failures(m.stg_matches, "stg_matches.match_id", ["match_id"]),
+        Q.unique_failures(m.dim_champions(), "dim_champions.champion_name", ["champion_name"]),
+        Q.unique_failures(marts.summoner_aggregates(m.stg_participants), "dim_summoners.puuid", ["puuid"]),
     ])
 
 
 def _dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All null checks: one scan per table."""
     m = Models(spark, sf_dir)
-    rm, rp, sm, sp = m.raw_matches, m.raw_participants, m.stg_matches, m.stg_participants
-    return Q.summarize([
-        Q.Check("raw_matches.match_id", Q.not_null(rm, "match_id")),
-        Q.Check("raw_matches.game_creation", Q.not_null(rm, "game_creation")),
-        Q.Check("raw_matches.game_duration", Q.not_null(rm, "game_duration")),
-        Q.Check("raw_participants.match_id", Q.not_null(rp, "match_id")),
-        Q.Check("raw_participants.champion_name", Q.not_null(rp, "champion_name")),
-        Q.Check("stg_matches.match_id", Q.not_null(sm, "match_id")),
-        Q.Check("stg_matches.duration_seconds", Q.not_null(sm, "duration_seconds")),
-        Q.Check("stg_participants.kills", Q.not_null(sp, "kills")),
-        Q.Check("stg_participants.deaths", Q.not_null(sp, "deaths")),
-        Q.Check("stg_participants.kda", Q.not_null(sp, "kda")),
-        Q.Check("dim_champions.champion_name", Q.not_null(m.dim_champions(), "champion_name")),
-        Q.Check("fact_matches.match_id", Q.not_null(m.fact_matches(), "match_id")),
+
+    def nulls(df: DataFrame, table: str, *columns: str) -> DataFrame:
+        return Q.count_failures(df, {f"{table}.{c}": Q.null_counter(c) for c in columns})
+
+    return Q.union_all([
+        nulls(m.raw_matches, "raw_matches", "match_id", "game_creation", "game_duration"),
+        nulls(m.raw_participants, "raw_participants", "match_id", "champion_name"),
+        nulls(m.stg_matches, "stg_matches", "match_id", "duration_seconds"),
+        nulls(m.stg_participants, "stg_participants", "kills", "deaths", "kda"),
+        nulls(m.dim_champions(), "dim_champions", "champion_name"),
+        nulls(m.fact_matches(), "fact_matches", "match_id"),
     ])
 
 
@@ -303,12 +343,13 @@ def _dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dq_accepted_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All range checks: one scan per table."""
     m = Models(spark, sf_dir)
-    return Q.summarize([
-        Q.Check("stg_matches.duration_seconds",
-                Q.accepted_range(m.stg_matches, "duration_seconds", 60, 10800)),
-        Q.Check("stg_participants.kills", Q.accepted_range(m.stg_participants, "kills", 0, 100)),
-        Q.Check("stg_participants.deaths", Q.accepted_range(m.stg_participants, "deaths", 0, 100)),
+    return Q.union_all([
+        Q.count_failures(m.stg_matches, {
+            "stg_matches.duration_seconds": Q.range_counter("duration_seconds", 60, 10800)}),
+        Q.count_failures(m.stg_participants, {
+            f"stg_participants.{c}": Q.range_counter(c, 0, 100) for c in ("kills", "deaths")}),
     ])
 
 
@@ -341,7 +382,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "meta_worst_champions": _q(lambda m: analytics.meta_worst_champions(m.champion_stats())),
         "meta_most_popular": _q(lambda m: analytics.meta_most_popular(m.champion_stats())),
         "meta_global_stats": _q(lambda m: analytics.meta_global_stats(m.champion_stats(), AS_OF)),
-        "delete_by_queue": _q(lambda m: examples.delete_by_key(m.stg_matches, "queue_id", 420)),
+        "delete_by_queue": _direct(_delete_by_queue),
+        "approx_unique_players": _direct(_approx_unique_players),
         "run_variables": _q(lambda m: lookups.apply_run_vars(m.stg_matches, "1997-01-01", [420, 440])),
         "meta_analysis": _q(_meta_analysis),
         "meta_analysis_small_samples": _q(_meta_analysis_small_samples),
@@ -359,6 +401,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "listing_player_errors": _direct(_listing_player_errors),
         "player_lookup": _direct(_player_lookup),
         "sink_round_trip": _direct(_sink_round_trip),
+        "stored_order": _direct(_stored_order),
         "stream_incremental_load": _direct(_stream_incremental_load),
         "anti_join_new_matches": _direct(_anti_join_new_matches),
         "latest_n_per_player": _direct(_latest_n_per_player),

@@ -99,3 +99,36 @@ def test_ntile_formula_matches_builtin(spark):
         got = df.select(_ntile(F.col("rn"), F.lit(n), 10).alias("t"),
                         F.ntile(10).over(Window.orderBy("id")).alias("b")).collect()
         assert all(r.t == r.b for r in got), n
+
+
+def test_value_ranks_need_no_key(spark):
+    """Repeated keys and whole repeated rows keep their number and get their ranks."""
+    rows = [(k % 7, None if k % 11 == 0 else float(k % 5)) for k in range(500)] + [(1, 2.0)] * 30
+    df = spark.createDataFrame(rows, "id int, v double")
+    specs = SPECS[:3]
+    names = [s.out for s in specs]
+    got = add_rankings(df, specs, ["id"], 6).select("id", "v", *names).collect()
+    want = _window_columns(df, specs).select("id", "v", *names).collect()
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, got), key=key) == sorted(map(tuple, want), key=key)
+    assert add_rankings(df.limit(0), specs, ["id"], 6).columns == ["id", "v", *names]
+    assert add_rankings(df.limit(0), specs, ["id"], 6).count() == 0
+
+
+def test_numbering_by_a_repeated_key_is_an_error(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 3.0)], "id int, v double")
+    with pytest.raises(ValueError, match="repeat a key"):
+        add_rankings(df, [SPECS[3]], ["id"], 3)
+
+
+def test_a_hot_value_is_split_when_rows_are_numbered(spark, monkeypatch):
+    from arenalytics.operators import ranking
+    kept = []
+    write = ranking.write_once
+    monkeypatch.setattr(ranking, "write_once", lambda df, name: kept.append((name, write(df, name))) or kept[-1][1])
+    df = spark.range(60_000).select(F.col("id").cast("int").alias("id"), F.when(
+        F.col("id") % 3 == 0, 0.5).otherwise(F.col("id") * 1.0).alias("v"))
+    add_rankings(df, [SPECS[0], SPECS[3]], ["id"], 12).count()
+    sizes = {name: [r["count"] for r in out.groupBy("_b").count().collect()] for name, out in kept if name != "rank-input"}
+    assert len(sizes["rank-buckets"]) >= 11 and max(sizes["rank-buckets"]) <= 2 * 60_000 / 12
+    assert max(sizes["rank-histogram"]) <= 2 * 40_001 / 12

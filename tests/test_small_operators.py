@@ -124,3 +124,30 @@ def test_mode_of_domain_matches_general_mode(spark):
     general = {r.k: r.m for r in mode_by(df, ["k"], "v", "m").collect()}
     assert fixed == {1: "ADC", 2: "Top", 3: None}
     assert {k: v for k, v in fixed.items() if v is not None} == general
+
+
+def test_counters_of_a_table_from_one_scan(spark, tmp_dir):
+    from arenalytics.operators import quality as Q
+
+    def scans(x):
+        return x._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+    rows = [(1, 5, "a"), (1, None, None), (None, 101, "b"), (None, -1, "c"), (2, 0, None), (3, 7, "d"), (3, 8, "d")]
+    path = f"{tmp_dir}/t"
+    spark.createDataFrame(rows, "id int, v int, s string").write.parquet(path)
+    df = spark.read.parquet(path)
+    counters = {"id null": Q.null_counter("id"), "s null": Q.null_counter("s"), "v range": Q.range_counter("v", 0, 100)}
+    out = Q.count_failures(df, counters)
+    want = {"id null": Q.not_null(df, "id").count(), "s null": Q.not_null(df, "s").count(),
+            "v range": Q.accepted_range(df, "v", 0, 100).count()}
+    assert {r.check_name: r.failures for r in out.collect()} == want == {"id null": 2, "s null": 2, "v range": 2}
+    assert scans(out) == 1
+    both = Q.unique_failures(df, "unique", ["id"], counters=counters)
+    assert {r.check_name: r.failures for r in both.collect()} == want | {"unique": Q.unique(df, "id").count()}
+    assert scans(both) == 1
+    with_nulls = Q.unique_failures(df, "unique", ["id"], nulls=True).first().failures
+    assert with_nulls == Q.unique_combination(df, ["id"]).count() == 3
+    empty = Q.unique_failures(df.limit(0), "unique", ["id"], counters=counters)
+    assert {r.failures for r in empty.collect()} == {0}
+    observed, seen = Q.counting(df, counters)
+    observed.write.parquet(f"{tmp_dir}/copy")
+    assert seen.get == want
