@@ -27,13 +27,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bitmaps import BITS, MASK, bitmap, has, position_column
 from .common import id_and_text, materialize, spare_name, text_or_empty
 from .wordhash import mix, slices, texts_of, word_bounds, word_hashes
 
 MIN_OVERLAP = 0.7        # share of equal words in an overlap
 RUN_WORDS = 20           # equal words that make an overlap, however long the item
-MIN_ITEM_WORDS = 5       # shorter items tell nothing and are left out
+EXACT_WORDS = 4          # items of so many words or fewer are found word for word only
 SLACK = 3                # words by which the place may shift around the hit
+PLACE = 2 * SLACK + 1    # places of an item are named in steps of so many words
 WEIGHT = 4               # words a mask regards
 
 
@@ -52,9 +54,10 @@ def _cover(span: int, changed: int) -> tuple[str, ...]:
 
 # An item of 7 or more words with at most 3 in 10 changed has a window of 7 with
 # at most 2 changed, wherever they are, but for items of 10 and 11 words with 3
-# changed: those are windows themselves as well, as are items of 5 and 6.
+# changed: those are windows themselves as well, as are items of 5 and 6 and, with
+# every word regarded, the shorter ones.
 SPAN = 7
-MASKS_OF = {5: _cover(5, 1), 6: _cover(6, 1), SPAN: _cover(SPAN, 2),
+MASKS_OF = {k: ("1" * k,) for k in range(1, EXACT_WORDS + 1)} | {5: _cover(5, 1), 6: _cover(6, 1), SPAN: _cover(SPAN, 2),
             10: _cover(10, 3), 11: _cover(11, 3)}
 MASKS = MASKS_OF[SPAN]
 
@@ -62,7 +65,7 @@ MASKS = MASKS_OF[SPAN]
 def _spans_of(words: int) -> list[int]:
     """The windows that an item of so many words is cut into."""
     return [k for k in MASKS_OF if k == words or k == SPAN < words]
-BROADCAST_SEEDS = 1_000_000   # seeds of the test side kept in every task (8 MB)
+
 
 SEED_SCHEMA = "seed long, id long, pos int"
 WORDS_SCHEMA = "id long, words binary"
@@ -113,25 +116,17 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _rows_of(seed[own], at[own], ids, woff)
 
 
-def _text_seeds(spans: list[int], known: np.ndarray | None):
-    """Function for mapInArrow: a row per seed of the texts, of those in
-    ``known`` (sorted) only, if it is given."""
-    sieve = None
-    if known is not None:
-        sieve = np.zeros(1 << 24, bool)
-        sieve[known >> np.uint64(40)] = True
-
+def _text_seeds(spans: list[int], low, high):
+    """Function for mapInArrow: a row per seed of the texts that the bitmaps of
+    the test seeds let through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, h, woff, _, _ in _hashed(batch):
                 for span in spans:
                     seed, at = _seeds(h, woff, span)
-                    if known is not None:
-                        hit = np.flatnonzero(sieve[seed >> np.uint64(40)])
-                        place = np.minimum(np.searchsorted(known, seed[hit]), len(known) - 1)
-                        hit = hit[known[place] == seed[hit]]
-                        seed, at = seed[hit], at[hit]
-                    yield _rows_of(seed, at, ids, woff)
+                    hit = np.flatnonzero(has(low.value, seed & MASK))
+                    hit = hit[has(high.value, seed[hit] >> np.uint64(64 - BITS))]
+                    yield _rows_of(seed[hit], at[hit], ids, woff)
     return run
 
 
@@ -190,6 +185,7 @@ def overlap_at(doc: np.ndarray, item: np.ndarray, shifts: list[int],
     """(equal words, first word in the document) of the best overlap around the
     hits at ``shifts``; 0 when none is long enough."""
     n = len(item)
+    rate = 1.0 if n <= EXACT_WORDS else rate
     need = min(ceil(rate * n - 1e-9), RUN_WORDS)
     best, place = 0, 0
     for s in sorted({x for shift in shifts for x in range(shift - SLACK, shift + SLACK + 1)}):
@@ -225,57 +221,80 @@ def overlap_at(doc: np.ndarray, item: np.ndarray, shifts: list[int],
 
 
 def _verify(min_overlap: float):
-    """Function for mapInArrow: (doc_id, text, item_id, shifts, words) rows to
-    verified overlaps."""
+    """Function for mapInArrow: (doc_id, k1, k2, text, item_id, places, words)
+    rows to verified overlaps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             items = batch.column("words").to_pylist()
             items_id = batch.column("item_id").to_pylist()
-            shifts = batch.column("shifts").to_pylist()
+            doc_ids = batch.column("doc_id").to_pylist()
+            places = batch.column("places").to_pylist()
+            keys = [batch.column(c).to_pylist() for c in ("k1", "k2")]
             row = 0
-            for ids, h, woff, _, _ in _hashed(batch.select(["doc_id", "text"])):
+            for ids, h, woff, _, _ in _hashed(batch.select(["k1", "text"])):
                 for d in range(len(ids)):
                     item = np.frombuffer(items[row], np.uint64)
-                    best, place = overlap_at(h[woff[d]:woff[d + 1]], item, shifts[row], min_overlap)
+                    shifts = [x for p in sorted(places[row]) for x in range(p * PLACE, (p + 1) * PLACE)]
+                    best, place = overlap_at(h[woff[d]:woff[d + 1]], item, shifts, min_overlap)
                     if best:
-                        out.append((int(ids[d]), items_id[row], best, len(item), place))
+                        out.append((doc_ids[row], keys[0][row], keys[1][row], items_id[row],
+                                    best, len(item), place))
                     row += 1
-            cols = list(zip(*out)) or [[]] * 5
+            cols = list(zip(*out)) or [[]] * 7
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(),
-                                                       pa.int32(), pa.int32()))],
-                names=["doc_id", "item_id", "same_words", "item_words", "first_word"])
+                [pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.int32()] * 3)],
+                names=["doc_id", "k1", "k2", "item_id", "same_words", "item_words", "first_word"])
     return run
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, k1, k2): texts are named by a hash, as rows may have no id;
+    what holds for a text holds for all its copies."""
+    return id_and_text(docs).select("doc_id", "text", F.xxhash64("text").alias("k1"),
+                                    F.xxhash64(F.lit(1), "text").alias("k2"))
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    """(id, item_id, text): each item_id and text once, named by a hash of both."""
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")) \
+        .select(F.xxhash64("item_id", "text").alias("id"), "item_id", "text").dropDuplicates(["id"])
+
+
 def seed_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, shifts): documents and items that share a seed, with
-    the distinct word offsets of the item in the document.
+    """(k1, item, places): texts (by hash) and items that share a seed, with
+    the distinct word offsets of the item in the text, in steps of PLACE.
 
-    Test seeds are kept in every task while there are at most BROADCAST_SEEDS;
-    beyond, the seeds of all documents are joined by a shuffle.
+    Tasks keep two bitmaps of fixed size of the test seeds; the seeds that both
+    let through are joined with the test seeds by a shuffle.
     """
-    spark = docs.sparkSession
-    test = materialize(items.mapInArrow(_item_seeds, SEED_SCHEMA), "benchmark-seeds")
-    lengths = items.mapInArrow(_word_rows, WORDS_SCHEMA).select(
+    test = materialize(items.select("id", "text").mapInArrow(_item_seeds, SEED_SCHEMA), "benchmark-seeds")
+    lengths = items.select("id", "text").mapInArrow(_word_rows, WORDS_SCHEMA).select(
         F.least(F.octet_length("words") / 8, F.lit(max(MASKS_OF) + 1)).cast("int").alias("n")) \
-        .distinct().collect()                                # at most 12 values
+        .distinct().collect()                                # at most 13 values
     spans = sorted({k for r in lengths for k in _spans_of(r["n"])})
-    known = None
-    if 0 < test.count() <= BROADCAST_SEEDS:
-        known = test.select("seed").distinct().toArrow()["seed"].to_numpy()
-        known = spark.sparkContext.broadcast(np.sort(known.view(np.uint64)))
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _text_seeds(spans, known.value if known is not None else None)(batches)
-
-    train = id_and_text(docs).filter("doc_id is not null").mapInArrow(rows, SEED_SCHEMA)
-    return (train.select("seed", F.col("id").alias("doc_id"), "pos")
-            .join(test.select("seed", F.col("id").alias("item_id"), F.col("pos").alias("at")), "seed")
-            .groupBy("doc_id", "item_id")
-            .agg(F.collect_set(F.col("pos") - F.col("at")).alias("shifts")))
+    low = bitmap(test, position_column("seed"))
+    high = bitmap(test, F.shiftrightunsigned("seed", 64 - BITS))
+    train = docs.select("k1", "text").mapInArrow(_text_seeds(spans, low, high), SEED_SCHEMA)
+    return (train.select("seed", F.col("id").alias("k1"), "pos")
+            .join(test.select("seed", F.col("id").alias("item"), F.col("pos").alias("at")), "seed")
+            .groupBy("k1", "item")
+            .agg(F.collect_set(F.floor((F.col("pos") - F.col("at")) / PLACE).cast("int")).alias("places")))
+
+
+def _overlaps(docs: DataFrame, benchmark: DataFrame, min_overlap: float) -> DataFrame:
+    """Verified overlaps of every row of ``docs`` (``_keyed``)."""
+    items = materialize(_items(benchmark), "benchmark-items")
+    hits = materialize(seed_hits(docs, items), "seed-hits")
+    words = materialize(items.select("id", "text").mapInArrow(_word_rows, WORDS_SCHEMA), "benchmark-words") \
+        .select(F.col("id").alias("item"), "words").join(
+            items.select(F.col("id").alias("item"), "item_id"), "item")
+    texts = docs.join(hits.select("k1").distinct(), "k1")
+    wide = texts.join(hits, "k1").join(words, "item") \
+        .select("doc_id", "k1", "k2", "text", "item_id", "places", "words")
+    return wide.mapInArrow(_verify(min_overlap), "doc_id long, k1 long, k2 long, item_id long, "
+                           "same_words int, item_words int, first_word int")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame,
@@ -286,31 +305,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame,
     An overlap is a run in which at least ``min_overlap`` of the words, on
     either side, are equal in order; words may be changed, inserted or left
     out.  It counts with ``min_overlap`` of the item's words or RUN_WORDS of
-    them, so a long passage of a longer item counts too.  Null
-    texts and ids hold nothing, items of fewer than MIN_ITEM_WORDS words are left
-    out; repeated rows and items are reported once;
+    them, so a long passage of a longer item counts too.  Items of at most
+    EXACT_WORDS words count word for word.  Null texts and items without words
+    hold nothing; rows without doc_id are searched and reported together under
+    the null id, items without item_id likewise, and of items that share an
+    item_id each text is searched; repeated rows and items are reported once;
     empty tables give no rows; other columns are ignored.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("id"),
-                             text_or_empty().alias("text")) \
-        .filter("id is not null").dropDuplicates(["id"])
-    hits = materialize(seed_hits(docs, items), "seed-hits")
-    words = materialize(items.mapInArrow(_word_rows, WORDS_SCHEMA), "benchmark-words") \
-        .select(F.col("id").alias("item_id"), "words")
-    texts = id_and_text(docs).join(hits.select("doc_id").distinct(), "doc_id")
-    wide = texts.join(hits, "doc_id").join(words, "item_id") \
-        .select("doc_id", "text", "item_id", "shifts", "words")
-    found = wide.mapInArrow(_verify(min_overlap), "doc_id long, item_id long, same_words int, "
-                            "item_words int, first_word int")
-    return (found.groupBy("doc_id", "item_id")
-            .agg(F.max("same_words").alias("same_words"), F.max("item_words").alias("item_words"),
-                 F.min("first_word").alias("first_word"))
+    best = F.struct("same_words", "item_words", -F.col("first_word"))
+    return (_overlaps(_keyed(docs), benchmark, min_overlap).groupBy("doc_id", "item_id")
+            .agg(F.max(best).alias("b"))
+            .select("doc_id", "item_id", "b.same_words", "b.item_words",
+                    (-F.col("b.col3")).alias("first_word"))
             .withColumn("overlap", F.col("same_words") / F.col("item_words")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame,
                   min_overlap: float = MIN_OVERLAP) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that hold no item."""
-    name = spare_name(docs, "dropped_id")
-    bad = contaminated(docs, benchmark, min_overlap).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == F.col(name), "left_anti")
+    """The rows of ``docs``, all columns as they are, whose text holds no item;
+    rows without doc_id are judged like any other."""
+    k1, k2 = (spare_name(docs, c) for c in ("dropped_k1", "dropped_k2"))
+    bad = _overlaps(_keyed(docs), benchmark, min_overlap).select(
+        F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct()
+    text = text_or_empty()
+    return docs.join(bad, (F.xxhash64(text) == F.col(k1)) & (F.xxhash64(F.lit(1), text) == F.col(k2)), "left_anti")

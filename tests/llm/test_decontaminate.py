@@ -30,8 +30,10 @@ def planted(spark):
         text = " ".join(filler[0]) + " -- " + ", ".join(x.upper() for x in w) + ". " + " ".join(filler[1])
         docs.append((i, text))
         want.add((i, item))
+    # a row without an id and an item of three words are searched too
     docs += [(100, None), (101, ""), (None, " ".join(items[0])), (102, " ".join(items[6])),
-             (103, " ".join(items[0][:12]))]
+             (103, " ".join(items[0][:12])), (104, " ".join([*items[6][:2], "changed"]))]
+    want |= {(None, 0), (102, 6)}
     benchmark = spark.createDataFrame(
         [(i, " ".join(w), 0) for i, w in items.items()] + [(50, None, 0), (51, "", 0), (0, " ".join(items[0]), 0)],
         "item_id long, text string, pos int")
@@ -46,10 +48,64 @@ def test_planted_items_are_found_and_clean_texts_are_not(planted):
     assert all(r.overlap >= dc.MIN_OVERLAP for r in got.values())
 
 
-def test_seeds_beyond_the_broadcast_bound_are_joined(planted, monkeypatch):
+def test_full_bitmaps_change_nothing(planted, monkeypatch):
+    """Bitmaps only sieve: with every bit set the join alone decides."""
     docs, benchmark, want = planted
-    monkeypatch.setattr(dc, "BROADCAST_SEEDS", 0)
-    assert {(r.doc_id, r.item_id) for r in dc.contaminated(docs, benchmark).collect()} == want
+    real = dc.bitmap
+
+    def full(keys, position):
+        bits = real(keys, position)
+        return keys.sparkSession.sparkContext.broadcast(np.full_like(bits.value, 255))
+    monkeypatch.setattr(dc, "bitmap", full)
+    assert {(r.doc_id, r.item_id) for r in dc.contaminated(docs.limit(30), benchmark).collect()} == {
+        w for w in want if w[0] in {r.doc_id for r in docs.limit(30).collect()}}
+
+
+def test_items_that_share_an_id_and_items_without_one(spark):
+    a, b, c = words(12), words(15), words(9)
+    benchmark = spark.createDataFrame([(1, " ".join(a)), (1, " ".join(b)), (None, " ".join(c)), (2, " ... "), (3, None)],
+                                      "item_id long, text string")
+    docs = spark.createDataFrame([(10, " ".join(a)), (11, " ".join(b)), (12, " ".join(c)), (13, " ".join(a + b)),
+                                  (14, "clean"), (11, " ".join(b))], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.item_id, r.same_words) for r in dc.contaminated(docs, benchmark).collect()), key=str)
+    assert got == [(10, 1, 12), (11, 1, 15), (12, None, 9), (13, 1, 15)]
+    assert [r.doc_id for r in dc.decontaminate(docs, benchmark).collect()] == [14]
+
+
+def brute_overlap(doc, item, rate=dc.MIN_OVERLAP):
+    """Whether the words hold the item by the rule, substitutions only: some
+    place at which enough of its words, or of a run, stand in order."""
+    n = len(item)
+    rate = 1.0 if n <= dc.EXACT_WORDS else rate
+    need = min(int(np.ceil(rate * n - 1e-9)), dc.RUN_WORDS)
+    for s in range(-n + 1, len(doc)):
+        same = [0 <= s + k < len(doc) and doc[s + k] == item[k] for k in range(n)]
+        if sum(same) >= rate * n - 1e-9:
+            return True
+        for a in range(n):
+            for z in range(a + need, n + 1):
+                if same[a] and same[z - 1] and need <= sum(same[a:z]) >= rate * (z - a) - 1e-9:
+                    return True
+    return False
+
+
+def test_substitutions_match_brute_force(spark):
+    rnd2 = random.Random(77)
+    items = {k: words(n) for k, n in enumerate([2, 4, 5, 6, 8, 10, 11, 16, 33])}
+    docs = {}
+    for d in range(120):
+        item = list(rnd2.choice(list(items.values())))
+        for k in rnd2.sample(range(len(item)), rnd2.randrange(0, max(1, len(item) // 2))):
+            item[k] = f"zz{rnd2.randrange(9)}"
+        docs[d] = words(rnd2.randrange(0, 40)) + item + words(rnd2.randrange(0, 40))
+    want = {(d, i) for d, w in docs.items() for i, item in items.items() if brute_overlap(w, item)}
+    got = {(r.doc_id, r.item_id) for r in dc.contaminated(
+        spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")).collect()}
+    assert want <= got                                   # nothing the rule accepts is lost
+    extra = {(d, i) for d, i in got - want}              # only overlaps with moved words
+    assert all(len(dc.common_places(items[i], docs[d])[0]) >= min(
+        np.ceil(dc.MIN_OVERLAP * len(items[i]) - 1e-9), dc.RUN_WORDS) for d, i in extra)
 
 
 def test_filter_drops_whole_documents(planted):
