@@ -125,7 +125,7 @@ parts AS (
          regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path,
          regexp_replace(regexp_replace(
            regexp_extract(coalesce(rest, ''), '^[^?#]*\?([^#]*)', 1),
-           '(?:^|&)(?:utm_[a-z]+|ref|fbclid|gclid)=[^&#]*', '', 'g'), '^&', '') AS query
+           '(?:^|&)(?:utm_[a-z]+|fbclid|gclid)=[^&#]*', '', 'g'), '^&', '') AS query
   FROM rest_of
 ),
 ruled AS (

@@ -3,6 +3,7 @@
 A url is judged by the longest rule that fits it.  Urls that no rule fits take
 the verdict of their aliases: connected components over redirect and canonical
 edges, where an explicit allow anywhere in the component outranks every block.
+Rules judge every address in the graph, also link targets that no page holds.
 
 Edges come from the pages themselves:
 
@@ -20,10 +21,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, let
+from .common import ascii_lower, let, materialize
 from .components import connected_components
 
-TRACKING = r"(?:utm_[a-z]+|ref|fbclid|gclid)=[^&#]*"
+TRACKING = r"(?:utm_[a-z]+|fbclid|gclid)=[^&#]*"
 CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?\s*canonical\b)[^>]*?(?<![\w-])href\s*=\s*["']?\s*([^"'\s>]+)"""
 REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?\s*refresh\b)[^>]*?\burl\s*=\s*["']?\s*([^"'\s>]+)"""
 ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
@@ -156,9 +157,10 @@ def resolved(target: Column, url: Column) -> Column:
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst) edges between addresses, from every canonical and refresh tag.
-    Relative targets are resolved against the page's url; a target that cannot
-    be read gives no edge and hides no other."""
+    """(src, dst) edges: from every page to the targets of its canonical and
+    refresh tags, and from pages and targets to the address they are served
+    under (written ``://address``).  Relative targets are resolved against the
+    page's url; a target that cannot be read gives no edge and hides no other."""
     url = F.col("url")
     linked = F.lower(F.col("html"))
     html = pages.filter(url.isNotNull() & F.col("html").isNotNull()
@@ -166,10 +168,11 @@ def alias_edges(pages: DataFrame) -> DataFrame:
     links = html.select(url, F.explode(F.concat(*[
         F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in (CANONICAL, REFRESH)])).alias("raw")) \
         .select("url", decoded(F.col("raw")).alias("target")) \
-        .select("url", resolved(F.col("target"), url).alias("address"))
-    return pages.filter(url.isNotNull()).select(url.alias("src"), served_as(url).alias("dst")) \
-        .union(links.select(url.alias("src"), let(F.col("address"), served_as).alias("dst"))) \
-        .filter(F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
+        .select(url.alias("src"), resolved(F.col("target"), url).alias("dst")) \
+        .filter("dst is not null").distinct()
+    addresses = pages.filter(url.isNotNull()).select("url").union(links.select("dst")) \
+        .select(url.alias("src"), F.concat(F.lit("://"), served_as(url)).alias("dst")).filter("dst is not null")
+    return addresses.union(links).filter(F.col("src") != F.col("dst"))
 
 
 def judge_urls(pages: DataFrame, rules=RULES, default: str = "allow",
@@ -193,8 +196,10 @@ def judge_urls(pages: DataFrame, rules=RULES, default: str = "allow",
     if edges is None:
         edges = alias_edges(p)
     comp = connected_components(edges).select(F.col("node").alias("url"), "component")
-    by_url = judged.select("url", "ruled").filter(F.col("ruled").isNotNull()).distinct()
-    passed = (by_url.join(comp, "url").groupBy("component")
+    comp = materialize(comp, "url-components")
+    _, by_rule = longest_rule(rules, F.col("host"), F.col("path"))
+    passed = (comp.select("component", host.alias("host"), path.alias("path"))
+              .select("component", by_rule.alias("ruled")).filter("ruled is not null").groupBy("component")
               .agg(F.max((F.col("ruled") == "allow").cast("int")).alias("has_allow")))
     alias = comp.join(passed, "component").select(
         "url", "component",
