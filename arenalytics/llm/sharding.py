@@ -18,7 +18,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import materialize, spare_name, text_or_empty
 
 ROW_BYTES = 8          # fixed by the contract: bytes counted per row besides its text
 
@@ -116,32 +116,45 @@ def shard_of(splitters: list[int], key: str = "key") -> Column:
     return F.size(F.filter(cuts, lambda s: s <= F.col(key)))
 
 
+def numbered(rows: DataFrame, splitters: list[int]) -> DataFrame:
+    """``rows`` (with ``key``) with ``shard`` and ``slot``, gapless from 0 in
+    key order.
+
+    The rows are range-partitioned on the key into as many tasks as the session
+    shuffles to, however few shards there are, and numbered where they stand;
+    one row per task and shard tells where its numbers begin."""
+    placed = (rows.withColumn("shard", shard_of(splitters)).repartitionByRange("key").sortWithinPartitions("key")
+              .withColumn("_at", F.monotonically_increasing_id()))
+    # the task and the place in it: written once, as ranges are sampled anew by every run
+    placed = materialize(placed.withColumn("_task", F.shiftright("_at", 33)), "shard-places")
+    pieces = placed.groupBy("_task", "shard").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy("shard").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
+    return placed.join(pieces, ["_task", "shard"]).withColumn(
+        "slot", F.col("_at") - F.col("_first") + F.col("_before")).drop("_task", "_at", "_first", "_before")
+
+
 def assign_shards(docs: DataFrame, n_shards: int = 24, probes: int = 256,
                   tolerance: float = 0.0005) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot): every document in one shard,
     bytes near equal, slots gapless from 0 in key order.
 
     Null texts count 8 bytes; repeated rows each get their own slot; an empty
-    table gives no rows; other columns are ignored.  A shard is the unit one
-    writer handles, so its slots are numbered in one task of known size.
+    table gives no rows; other columns are ignored.
     """
     rows = materialize(sized_rows(docs), "shard-keys")
     cuts = find_splitters(rows, n_shards, probes, tolerance)
-    w = Window.partitionBy("shard").orderBy("key")
-    return (rows.withColumn("shard", shard_of(cuts))
-            .withColumn("slot", F.row_number().over(w).cast("long") - 1)
-            .select("doc_id", "size", "text_crc32", "shard", "slot"))
+    return numbered(rows, cuts).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = 24) -> list[int]:
-    """Write the documents themselves, one folder per shard in slot order;
-    returns the splitters.  All columns are kept; the folder column is named
-    ``shard`` (an input column of that name, in any case, is an error)."""
-    if any(c.lower() in ("shard", "__key") for c in docs.columns):
-        raise ValueError("documents already have a column shard or __key")
+    """Write the documents themselves, one folder per shard, its files and their
+    rows in slot order; returns the splitters.  All columns are kept; the folder
+    column is named ``shard``, with underscores before it if ``docs`` has one of
+    that name."""
+    shard, key = spare_name(docs, "shard"), spare_name(docs, "order_key")
     cuts = find_splitters(materialize(sized_rows(docs), "shard-keys"), n_shards)
-    (docs.withColumn("__key", order_key().cast("decimal(38,0)"))
-     .withColumn("shard", shard_of(cuts, "__key"))
-     .repartition(n_shards, "shard").sortWithinPartitions("shard", "__key")
-     .drop("__key").write.partitionBy("shard").parquet(path))
+    (docs.withColumn(key, order_key().cast("decimal(38,0)")).withColumn(shard, shard_of(cuts, key))
+     .repartitionByRange(key).sortWithinPartitions(key).drop(key)
+     .write.partitionBy(shard).parquet(path))
     return cuts

@@ -47,3 +47,31 @@ def test_written_shards_hold_the_documents(spark, tmp_dir):
     back = spark.read.parquet(f"{tmp_dir}/shards")
     want = {r.doc_id: r.shard for r in sharding.assign_shards(docs, 5).collect()}
     assert {r.doc_id: r.shard for r in back.collect()} == want
+
+
+def test_cuts_and_slots_match_a_plain_sort(spark):
+    """Against all rows sorted on the driver: slots count up in key order, and
+    every cut stands where the bytes before it are nearest to its share."""
+    rows = [(i, "y" * (i * 53 % 300)) for i in range(1500)] + [(5000 + i, "copy " * 9) for i in range(700)] + [(7, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    keyed = sharding.sized_rows(docs).collect()
+    total, n = sum(r["size"] for r in keyed), 7
+    got = sorted((r.shard, r.slot, r.doc_id, r.size) for r in sharding.assign_shards(docs, n, tolerance=0.0).collect())
+    order = sorted((int(r.key), r.doc_id, r["size"]) for r in keyed)
+    assert [(d, s) for _, _, d, s in got] == [(d, s) for _, d, s in order]
+    upto, last = [0], None
+    for k, _, s in order:                                 # bytes up to each distinct key
+        upto = upto[:-1] + [upto[-1] + s] if k == last else [*upto, upto[-1] + s]
+        last = k
+    for j in range(1, n):
+        below = sum(s for shard, _, _, s in got if shard < j)
+        assert abs(below - total * j / n) <= min(abs(u - total * j / n) for u in upto) + 1e-6
+
+
+def test_written_shards_keep_clashing_columns(spark, tmp_dir):
+    docs = spark.createDataFrame([(i, f"text {i}" * 5, "mine", 1.5) for i in range(200)],
+                                 "doc_id long, text string, shard string, order_key double")
+    sharding.write_shards(docs, f"{tmp_dir}/clash", 4)
+    back = spark.read.parquet(f"{tmp_dir}/clash").collect()
+    assert len(back) == 200 and {(r.shard, r.order_key) for r in back} == {("mine", 1.5)}
+    assert len({r._shard for r in back}) == 4
