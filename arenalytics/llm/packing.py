@@ -32,7 +32,7 @@ from .common import id_and_text, materialize
 WINDOW, END_ID = 4096, 2           # fixed by the contract
 PARTS = 4                          # pieces of a remainder: at most WINDOW / PARTS ids
 BATCH_PIECES = 2048
-CACHE_WORDS = 250_000              # words whose ids a worker remembers
+CACHE_WORDS = 500_000              # words whose ids a worker remembers
 NARROW_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 # The white-space-free words of these two settings can be encoded one by one.
@@ -79,7 +79,7 @@ class Encoder:
         self.added = [t["content"] for t in added]
         # one that is looked for in normalised text may stand there in another form
         self.by_word = self.by_word and not any(t["normalized"] for t in added)
-        self.known: dict[str, bytes] = {}        # by word
+        self.known = _Known(self._learn)         # by word
         self.pieces: dict[str, bytes] = {}       # by what the model encodes
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -96,17 +96,16 @@ class Encoder:
             ids = self.pieces[piece] = ids.tobytes()
         return ids
 
-    def _learn(self, words: list[str]) -> None:
-        other = []
-        for w in words:
-            if _PLAIN.fullmatch(w):
-                pieces = _PLAIN_PIECES.findall(w.lower())
-                self.known[w] = self._piece(pieces[0]) if len(pieces) == 1 \
-                    else b"".join(map(self._piece, pieces))
-            else:
-                other.append(w)
-        for w, ids in zip(other, self._whole(other)):
-            self.known[w] = ids
+    def _learn(self, word: str) -> bytes:
+        """The ids of a word met for the first time."""
+        low = word.lower()
+        if word.isascii() and low.isalpha():
+            return self._piece(low)
+        if word.isascii() and low[:-1].isalpha() and "!" <= low[-1] <= "~":
+            return self._piece(low[:-1]) + self._piece(low[-1])
+        if _PLAIN.fullmatch(word):
+            return b"".join(map(self._piece, _PLAIN_PIECES.findall(low)))
+        return self._whole([word])[0]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
@@ -116,11 +115,19 @@ class Encoder:
             if len(self.known) > CACHE_WORDS:
                 self.known.clear()
                 self.pieces.clear()
-            words = text.split()
-            new = [w for w in set(words) if w not in self.known]
-            if new:
-                self._learn(new)
-            yield b"".join(map(self.known.__getitem__, words))
+            yield b"".join(map(self.known.__getitem__, text.split()))
+
+
+class _Known(dict):
+    """Ids by word; a new word is learnt when it is asked for."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.learn(word)
+        return ids
 
 
 def encoder_of(path: str) -> Encoder:
