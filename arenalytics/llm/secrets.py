@@ -1,13 +1,15 @@
 """Secret scan (DataFrame functions only): fixed patterns, and character Markov
 models of random strings and of ordinary identifiers.
 
-The base kinds are three patterns.  The method adds spans: every long token is
-scored by the log-likelihood ratio of two first-order Markov chains over its
-characters, one trained on the values of the base spans (random strings), one
-on identifier-like tokens outside them (ordinary), and is a secret when its mean
-ratio reaches a threshold.  The models are tables of character pairs, so they
-fit one constant; they are counted by Spark over all base spans and the
-identifiers of a bounded sample of documents.
+The base kinds are three patterns.  The method adds spans: every token that
+may be a key is scored by the log-likelihood ratio of two first-order Markov
+chains over its characters, one trained on the values of the base spans (random
+strings), one on the identifiers of all documents outside them (ordinary).  It
+is a secret when the whole ratio outweighs the odds against one, so a short
+token must look more random, character by character, than a long one.  Tokens
+are the parts between separators, so a key inside a path or an address is found
+alone; numbers are no keys.  The models are tables of character pairs, so they
+fit one constant; they are counted by Spark over every document.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_rows, doubles_literal, id_and_text, let, text_or_empty
+from .common import doubles_literal, id_and_text, let, text_or_empty
 
 # Fixed by the contract: the kinds, in order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex")
@@ -28,15 +30,21 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"          # [0-9a-f]+ of 32 or more: runs are
 MIN_VALUE, MIN_ACCESS = 8, 16
 
 METHOD = "markov"
-TOKEN = r"[A-Za-z0-9+/_=-]{16,}"             # what the method judges
-# Ordinary tokens it learns from: shorter than those it judges, so that a secret
-# nobody has labelled is not learnt as ordinary.
-IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_][A-Za-z0-9_-]{5,14}(?![A-Za-z0-9+/_=-])"
+# What the method judges: runs of letters and digits, of 8 characters if they mix
+# letters with digits or small letters with capitals after them, of 16 otherwise.
+TOKEN = (r"(?<![A-Za-z0-9])(?![0-9]+(?![A-Za-z0-9]))(?:(?=[A-Za-z0-9]*?(?:[0-9][A-Za-z]|[A-Za-z][0-9]|[a-z][A-Z]))"
+         r"[A-Za-z0-9]{8,}|[A-Za-z0-9]{16,})")
+# Ordinary tokens it learns from: mostly shorter than the keys it looks for, so that
+# a secret nobody has labelled is not learnt as ordinary.
+IDENTIFIER = r"(?<![A-Za-z0-9])[A-Za-z][A-Za-z0-9]{3,14}(?![A-Za-z0-9])"
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
-MIN_RATIO = 0.1                              # mean nats per character
-SAMPLE_DOCS = 20_000                         # documents the identifiers are taken from
+JUDGED = 62                                  # of these, the letters and digits
+ANY = 0.5                                    # share of keys of any alphabet among random strings
+ODDS = 9.0                                   # nats by which a token must look random
 PLACEHOLDER = "[SECRET]"
 
+PIECE = 256                                  # matches of a text that are placed together
+
 SPANS = "array<struct<start:int,end:int,kind:int,value:string>>"
 
 
@@ -47,20 +55,41 @@ def _found(text: Column, pattern: str, kind: int, value_group: int = 0) -> Colum
                      F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("whole"),
                      F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)).alias("value"))
 
+    none = F.array().cast(SPANS)
+
+    def add(p: Column, acc: Column, i: Column) -> Column:
+        start = acc["at"] + F.length(p["between"][i])
+        end = start + F.length(p["whole"][i])
+        one = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"),
+                       p["value"][i].alias("value"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
     def spans(p: Column) -> Column:
-        def add(acc: Column, i: Column) -> Column:
-            start = acc["at"] + F.length(p["between"][i])
-            end = start + F.length(p["whole"][i])
-            one = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"),
-                           p["value"][i].alias("value"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(p["whole"]) - 1),
-                           F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out")),
-                           add, lambda acc: acc["out"])
+        # in pieces, each counted from 0: lists are grown by copying
+        last = F.size(p["whole"]) - 1
+
+        def piece(c: Column) -> Column:
+            return F.aggregate(F.sequence(c * PIECE, F.least(c * PIECE + (PIECE - 1), last)),
+                               F.struct(F.lit(0).alias("at"), none.alias("out")),
+                               lambda acc, i: add(p, acc, i))
+        return let(F.transform(F.sequence(F.lit(0), (last / PIECE).cast("int")), piece), joined)
+
+    def joined(pieces: Column) -> Column:
+        begins = F.aggregate(
+            pieces, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"),
+                                    F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+        return let(begins, lambda at: F.flatten(F.transform(pieces, lambda x, k: F.transform(
+            x["out"], lambda s: F.struct((s["start"] + at[k]).alias("start"), (s["end"] + at[k]).alias("end"),
+                                         s["kind"].alias("kind"), s["value"].alias("value"))))))
 
     return F.when(text.rlike(pattern), let(parts, spans)).otherwise(F.array().cast(SPANS))
 
 
+def _has_base(text: Column) -> Column:
+    return text.rlike(ASSIGN) | text.rlike(ACCESS) | text.rlike(HEX)
+
+
 def base_spans(text: Column) -> Column:
     """The spans of the base kinds, by start, then kind as listed."""
     assign = F.filter(_found(text, ASSIGN, 0, 2), lambda s: F.length(s["value"]) >= MIN_VALUE)
@@ -83,70 +112,69 @@ def _pair(previous: Column, current: Column) -> Column:
 
 
 def pair_counts(strings: DataFrame) -> dict[int, tuple[int, int]]:
-    """(ordinary, random) counts per character pair of (value, random) rows; at
-    most the square of the alphabet reaches the driver."""
+    """(ordinary, random) counts per character pair of (value, random, n) rows;
+    at most the square of the alphabet reaches the driver."""
     v = F.col("value")
     pairs = F.transform(
         F.sequence(F.lit(1), F.length(v)),
         lambda i: _pair(F.when(i == 1, F.lit(0)).otherwise(F.ascii(F.substring(v, i - 1, F.lit(1)))),
                         F.substring(v, i, F.lit(1))))
-    rows = (strings.filter(F.length(v) > 0).select("random", F.explode(pairs).alias("pair"))
-            .groupBy("pair").agg(F.count_if(~F.col("random")).alias("ordinary"),
-                                 F.count_if(F.col("random")).alias("random")).collect())
+    def total(kind: Column) -> Column:
+        return F.sum(F.when(kind, F.col("n")).otherwise(0))
+    rows = (strings.filter(F.length(v) > 0).select("random", "n", F.explode(pairs).alias("pair"))
+            .groupBy("pair").agg(total(~F.col("random")).alias("ordinary"),
+                                 total(F.col("random")).alias("random")).collect())
     return {r["pair"]: (r["ordinary"], r["random"]) for r in rows}
 
 
-def training_strings(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """(value, random): labelled samples.  Random: the values of all base
-    spans.  Ordinary: identifier-like tokens, none of them inside a base span,
-    of the ``sample_docs`` documents with the smallest hash of their id."""
-    d = id_and_text(docs)
+def training_strings(docs: DataFrame) -> DataFrame:
+    """(value, random, n): labelled samples and how often they occur, over all
+    documents.  Random: the values of the base spans.  Ordinary: identifier-like
+    tokens, none of them inside a base span."""
+    d = id_and_text(docs).select("text", _has_base(F.col("text")).alias("hit"))
     text = F.col("text")
-    positive = (d.filter(text.rlike(ASSIGN) | text.rlike(ACCESS) | text.rlike(HEX))
-                .select(F.explode(base_spans(text)).alias("s"))
+    positive = (d.filter("hit").select(F.explode(base_spans(text)).alias("s"))
                 .select(F.col("s.value").alias("value"), F.lit(True).alias("random")))
-    ids = bounded_rows(d.select("doc_id").filter("doc_id is not null").distinct(), sample_docs)
     clean = text
     for pattern in (ASSIGN, ACCESS, HEX):
         clean = F.regexp_replace(clean, pattern, " ")
-    negative = (d.join(F.broadcast(ids), "doc_id")
-                .select(F.explode(F.regexp_extract_all(clean, F.lit(IDENTIFIER), F.lit(0)))
-                        .alias("value"), F.lit(False).alias("random")))
-    return positive.union(negative)
+    clean = F.when(F.col("hit"), clean).otherwise(text)
+    negative = d.select(F.explode(F.regexp_extract_all(clean, F.lit(IDENTIFIER), F.lit(0))).alias("value"),
+                        F.lit(False).alias("random"))
+    return positive.union(negative).groupBy("value", "random").agg(F.count(F.lit(1)).alias("n"))
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
+def train(docs: DataFrame) -> list[float]:
     """Log-likelihood ratio (random over ordinary) per character pair.  One is
-    added to every count, so an unseen class is the uniform one."""
-    counts = pair_counts(training_strings(docs, sample_docs))
+    added to every count; random strings are, for a share of ANY, of any
+    letters and digits, as the labelled ones may all have one alphabet."""
+    counts = pair_counts(training_strings(docs))
     codes = [ord(c) for c in SYMBOLS]
     out = [0.0] * (128 * 128)
     for before in [0, *codes]:
         row = [counts.get(before * 128 + c, (0, 0)) for c in codes]
         ordinary, random_ = (sum(r[k] for r in row) + len(codes) for k in (0, 1))
         for c, (o, r) in zip(codes, row):
-            out[before * 128 + c] = math.log((r + 1) / random_) - math.log((o + 1) / ordinary)
+            key = ANY / JUDGED + (1 - ANY) * (r + 1) / random_
+            out[before * 128 + c] = math.log(key) - math.log((o + 1) / ordinary)
     return out
 
 
-def mean_ratio(value: Column, ratios: Column) -> Column:
-    """Mean log-likelihood ratio of a token of SYMBOLS."""
-    chars = F.split(value, "")
-
+def whole_ratio(value: Column, ratios: Column) -> Column:
+    """Log-likelihood ratio of a token of SYMBOLS."""
     def score(c: Column) -> Column:
-        total = F.aggregate(
+        return F.aggregate(
             c, F.struct(F.lit(0).alias("last"), F.lit(0.0).alias("sum")),
             lambda acc, x: F.struct(F.ascii(x).alias("last"),
-                                    (acc["sum"] + ratios[_pair(acc["last"], x)]).alias("sum")))
-        return total["sum"] / F.size(c)
+                                    (acc["sum"] + ratios[_pair(acc["last"], x)]).alias("sum")))["sum"]
 
-    return let(F.filter(chars, lambda c: F.length(c) > 0), score)
+    return let(F.filter(F.split(value, ""), lambda c: F.length(c) > 0), score)
 
 
-def method_spans(text: Column, base: Column, ratios: Column, min_ratio: float) -> Column:
+def method_spans(text: Column, base: Column, ratios: Column, odds: float) -> Column:
     """Tokens the models take for random, apart from the base spans."""
     tokens = F.filter(_found(text, TOKEN, len(KINDS)),
-                      lambda s: mean_ratio(s["value"], ratios) >= min_ratio)
+                      lambda s: whole_ratio(s["value"], ratios) >= odds)
     return let(base, lambda b: F.filter(tokens, lambda s: ~F.exists(
         b, lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"]))))
 
@@ -158,15 +186,14 @@ def written(spans: Column) -> Column:
         ":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def with_spans(docs: DataFrame, ratios: list[float], min_ratio: float = MIN_RATIO) -> DataFrame:
+def with_spans(docs: DataFrame, ratios: list[float], odds: float = ODDS) -> DataFrame:
     """(doc_id, base, method): the spans of every document."""
     d = id_and_text(docs).select("doc_id", "text", base_spans(F.col("text")).alias("base"))
     return d.select("doc_id", "base", method_spans(
-        F.col("text"), F.col("base"), doubles_literal(ratios), min_ratio).alias("method"))
+        F.col("text"), F.col("base"), doubles_literal(ratios), odds).alias("method"))
 
 
-def scan_secrets(docs: DataFrame, min_ratio: float = MIN_RATIO,
-                 sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def scan_secrets(docs: DataFrame, odds: float = ODDS) -> DataFrame:
     """One row per document: (doc_id, n_assign, n_access, n_hex, n_markov,
     base_sha256, spans).
 
@@ -174,7 +201,7 @@ def scan_secrets(docs: DataFrame, min_ratio: float = MIN_RATIO,
     doc_id are scanned like any other; an empty table gives no rows; other
     columns are ignored.
     """
-    s = with_spans(docs, train(docs, sample_docs), min_ratio)
+    s = with_spans(docs, train(docs), odds)
     def count(kind: int) -> Column:
         return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
 
@@ -199,15 +226,14 @@ def _blanked(text: Column, spans: Column) -> Column:
                                                                     F.length(text))))
 
 
-def redact_secrets(docs: DataFrame, min_ratio: float = MIN_RATIO,
-                   sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def redact_secrets(docs: DataFrame, odds: float = ODDS) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by PLACEHOLDER; all rows
     and columns stay, a null text stays null."""
-    ratios = doubles_literal(train(docs, sample_docs))
+    ratios = doubles_literal(train(docs))
     text = text_or_empty()
 
     def spans(base: Column) -> Column:
-        return _ordered(F.concat(base, method_spans(text, base, ratios, min_ratio)))
+        return _ordered(F.concat(base, method_spans(text, base, ratios, odds)))
 
     blanked = let(let(base_spans(text), spans), lambda s: F.when(F.size(s) == 0, text)
                   .otherwise(_blanked(text, s)))

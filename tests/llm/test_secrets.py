@@ -82,3 +82,77 @@ def test_redaction_replaces_spans_and_nothing_else(edge_docs):
 def test_empty(empty_docs):
     assert sc.scan_secrets(empty_docs).count() == 0
     assert sc.redact_secrets(empty_docs).count() == 0
+
+
+def brute_model(rows):
+    """The pair table in plain Python."""
+    import math
+    from collections import Counter
+    count = [Counter(), Counter()]
+    for _, t in rows:
+        t = t or ""
+        values = [m[2] for m in ASSIGN.finditer(t) if len(m[2]) >= 8]
+        values += [m[0] for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+        values += [m[0] for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+        for pattern in (ASSIGN.pattern, "AKIA[A-Z0-9]+", r"(?<![0-9a-f])[0-9a-f]{32,}"):
+            t = re.sub(pattern, " ", t, flags=re.I | re.A if pattern == ASSIGN.pattern else 0)
+        for k, strings in enumerate((re.findall(sc.IDENTIFIER, t), values)):
+            for v in strings:
+                count[k].update(zip([None, *v], v))
+    n = len(sc.SYMBOLS)
+
+    def ratio(a, b):
+        o, r = ((c[a, b] + 1) / (sum(c[a, x] for x in sc.SYMBOLS) + n) for c in count)
+        return math.log(sc.ANY / sc.JUDGED + (1 - sc.ANY) * r) - math.log(o)
+    return lambda v: sum(ratio(a, b) for a, b in zip([None, *v], v))
+
+
+def test_method_spans_match_brute_force(edge_docs):
+    docs, rows = edge_docs
+    score = brute_model(rows)
+    seen = {}
+    got = {r.doc_id: [x for x in r.spans.split(",") if x.startswith("markov")] for r in sc.scan_secrets(docs).collect()}
+    found = 0
+    for i, t in rows:
+        base, want = brute(t), []
+        for m in re.finditer(sc.TOKEN, t or ""):
+            v = m[0]
+            if v not in seen:
+                seen[v] = score(v)
+            assert abs(seen[v] - sc.ODDS) > 1e-6
+            if seen[v] >= sc.ODDS and all(m.end() <= a or b <= m.start() for a, _, b in base):
+                want.append(f"markov:{m.start()}:{m.end()}")
+        assert got[i] == want, i
+        found += len(want)
+    assert len(seen) > 5
+
+
+def test_precision_and_recall_on_planted_keys(spark):
+    """Keys of several alphabets and lengths against numbers, paths and names."""
+    import random
+    import string
+    rnd = random.Random(21)
+    text = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+
+    def key(n, alphabet):
+        while True:
+            v = "".join(rnd.choice(alphabet) for _ in range(n))
+            if re.search("[0-9][A-Za-z]|[A-Za-z][0-9]|[a-z][A-Z]", v):
+                return v
+    mixed = string.ascii_letters + string.digits
+    keys = [key(n, a) for n in (12, 16, 20, 32) for a in (mixed, string.ascii_lowercase + string.digits) for _ in range(25)]
+    keys.append("Zx9Qw3Lk7Pv2")
+    rows = [(i, f"{text[d][:300]}\nsee {k} here", True) for i, (k, d) in enumerate(zip(keys, sorted(text) * 9))]
+    path = [(1000 + i, f"open /srv/{k}/readable/{'longer' * 3}/part_of_names", True) for i, k in enumerate(keys[:20])]
+    clean = ["2026120300000001", "1111111111111111", "5188518586763493 and 4111-1111-1111-1111",
+             "/usr/share/verylongfoldername/anotherverylongname/index", "2001-12-31T23:59:59 build20240131", "base64encode",
+             "https://example.org/aaaa/bbbbbbbbbbbbbbbbbbbb?q=international"]
+    rows += path + [(2000 + i, c, False) for i, c in enumerate(clean)] + [
+        (3000 + d, t, None) for d, t in text.items()]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r.doc_id: r.n_markov for r in sc.scan_secrets(docs).collect()}
+    caught = sum(got[i] > 0 for i, _, k in rows if k)
+    wrong = sum(got[i] > 0 for i, _, k in rows if k is False)
+    # what is missed: keys of 12 small letters and digits with few changes between them
+    assert caught >= 0.92 * (len(keys) + len(path)) and wrong == 0 and got[len(keys) - 1] == 1
+    assert all(got[i] == 1 for i, _, _ in path)          # the key alone, not the path
