@@ -34,9 +34,9 @@ METHOD = "markov"
 # letters with digits or small letters with capitals after them, of 16 otherwise.
 TOKEN = (r"(?<![A-Za-z0-9])(?![0-9]+(?![A-Za-z0-9]))(?:(?=[A-Za-z0-9]*?(?:[0-9][A-Za-z]|[A-Za-z][0-9]|[a-z][A-Z]))"
          r"[A-Za-z0-9]{8,}|[A-Za-z0-9]{16,})")
-# Ordinary tokens it learns from: mostly shorter than the keys it looks for, so that
-# a secret nobody has labelled is not learnt as ordinary.
-IDENTIFIER = r"(?<![A-Za-z0-9])[A-Za-z][A-Za-z0-9]{3,14}(?![A-Za-z0-9])"
+# Ordinary tokens it learns from: names, mostly shorter than the keys it looks for, so
+# that a secret nobody has labelled is not learnt as ordinary, and numbers.
+IDENTIFIER = r"(?<![A-Za-z0-9])(?:[A-Za-z][A-Za-z0-9]{3,14}|[0-9]{4,})(?![A-Za-z0-9])"
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 JUDGED = 62                                  # of these, the letters and digits
 ANY = 0.5                                    # share of keys of any alphabet among random strings

@@ -146,13 +146,13 @@ def test_precision_and_recall_on_planted_keys(spark):
     path = [(1000 + i, f"open /srv/{k}/readable/{'longer' * 3}/part_of_names", True) for i, k in enumerate(keys[:20])]
     clean = ["2026120300000001", "1111111111111111", "5188518586763493 and 4111-1111-1111-1111",
              "/usr/share/verylongfoldername/anotherverylongname/index", "2001-12-31T23:59:59 build20240131", "base64encode",
-             "https://example.org/aaaa/bbbbbbbbbbbbbbbbbbbb?q=international"]
+             "https://example.org/articles/2024/thehandontheother?q=international"]
     rows += path + [(2000 + i, c, False) for i, c in enumerate(clean)] + [
         (3000 + d, t, None) for d, t in text.items()]
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     got = {r.doc_id: r.n_markov for r in sc.scan_secrets(docs).collect()}
     caught = sum(got[i] > 0 for i, _, k in rows if k)
-    wrong = sum(got[i] > 0 for i, _, k in rows if k is False)
+    wrong = [t for i, t, k in rows if k is False and got[i] > 0]
     # what is missed: keys of 12 small letters and digits with few changes between them
-    assert caught >= 0.92 * (len(keys) + len(path)) and wrong == 0 and got[len(keys) - 1] == 1
+    assert caught >= 0.92 * (len(keys) + len(path)) and not wrong and got[len(keys) - 1] == 1, (caught, wrong)
     assert all(got[i] == 1 for i, _, _ in path)          # the key alone, not the path
