@@ -32,11 +32,14 @@ MIN_VALUE, MIN_ACCESS = 8, 16
 METHOD = "markov"
 # What the method judges: runs of letters and digits, of 8 characters if they mix
 # letters with digits or small letters with capitals after them, of 16 otherwise.
-TOKEN = (r"(?<![A-Za-z0-9])(?![0-9]+(?![A-Za-z0-9]))(?:(?=[A-Za-z0-9]*?(?:[0-9][A-Za-z]|[A-Za-z][0-9]|[a-z][A-Z]))"
+MIXED = r"(?:[0-9][A-Za-z]|[A-Za-z][0-9]|[a-z][A-Z])"
+TOKEN = (r"(?<![A-Za-z0-9])(?![0-9]+(?![A-Za-z0-9]))(?:(?=[A-Za-z0-9]*?" + MIXED + r")"
          r"[A-Za-z0-9]{8,}|[A-Za-z0-9]{16,})")
 # Ordinary tokens it learns from: names, mostly shorter than the keys it looks for, so
-# that a secret nobody has labelled is not learnt as ordinary, and numbers.
+# that a secret nobody has labelled is not learnt as ordinary, and numbers.  For the
+# same reason a name that mixes classes must occur LEARNT times or more.
 IDENTIFIER = r"(?<![A-Za-z0-9])(?:[A-Za-z][A-Za-z0-9]{3,14}|[0-9]{4,})(?![A-Za-z0-9])"
+LEARNT = 3
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 JUDGED = 62                                  # of these, the letters and digits
 ANY = 0.5                                    # share of keys of any alphabet among random strings
@@ -141,7 +144,8 @@ def training_strings(docs: DataFrame) -> DataFrame:
     clean = F.when(F.col("hit"), clean).otherwise(text)
     negative = d.select(F.explode(F.regexp_extract_all(clean, F.lit(IDENTIFIER), F.lit(0))).alias("value"),
                         F.lit(False).alias("random"))
-    return positive.union(negative).groupBy("value", "random").agg(F.count(F.lit(1)).alias("n"))
+    return positive.union(negative).groupBy("value", "random").agg(F.count(F.lit(1)).alias("n")) \
+        .filter(F.col("random") | ~F.col("value").rlike(MIXED) | (F.col("n") >= LEARNT))
 
 
 def train(docs: DataFrame) -> list[float]:

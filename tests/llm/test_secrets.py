@@ -88,7 +88,7 @@ def brute_model(rows):
     """The pair table in plain Python."""
     import math
     from collections import Counter
-    count = [Counter(), Counter()]
+    count, strings_of = [Counter(), Counter()], [Counter(), Counter()]
     for _, t in rows:
         t = t or ""
         values = [m[2] for m in ASSIGN.finditer(t) if len(m[2]) >= 8]
@@ -97,8 +97,12 @@ def brute_model(rows):
         for pattern in (ASSIGN.pattern, "AKIA[A-Z0-9]+", r"(?<![0-9a-f])[0-9a-f]{32,}"):
             t = re.sub(pattern, " ", t, flags=re.I | re.A if pattern == ASSIGN.pattern else 0)
         for k, strings in enumerate((re.findall(sc.IDENTIFIER, t), values)):
-            for v in strings:
-                count[k].update(zip([None, *v], v))
+            strings_of[k].update(strings)
+    for k in (0, 1):
+        for v, n in strings_of[k].items():
+            if k or n >= sc.LEARNT or not re.search(sc.MIXED, v):
+                for pair in zip([None, *v], v):
+                    count[k][pair] += n
     n = len(sc.SYMBOLS)
 
     def ratio(a, b):
