@@ -32,7 +32,7 @@ from .common import id_and_text, materialize
 WINDOW, END_ID = 4096, 2           # fixed by the contract
 PARTS = 4                          # pieces of a remainder: at most WINDOW / PARTS ids
 BATCH_PIECES = 2048
-CACHE_WORDS = 500_000              # words whose ids a worker remembers
+CACHE_WORDS = 1_000_000              # words whose ids a worker remembers
 NARROW_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 # The white-space-free words of these two settings can be encoded one by one.
@@ -86,23 +86,28 @@ class Encoder:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
+    def _modelled(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else "".join(map(_BYTE.__getitem__, piece.encode()))
+        ids = array("I", [t.id for t in self.model.tokenize(shown)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            shown = piece if piece.isascii() else "".join(map(_BYTE.__getitem__, piece.encode()))
-            ids = array("I", [t.id for t in self.model.tokenize(shown)])
-            if sys.byteorder == "big":
-                ids.byteswap()
-            ids = self.pieces[piece] = ids.tobytes()
+            ids = self.pieces[piece] = self._modelled(piece)
         return ids
 
     def _learn(self, word: str) -> bytes:
         """The ids of a word met for the first time."""
         low = word.lower()
-        if word.isascii() and low.isalpha():
-            return self._piece(low)
-        if word.isascii() and low[:-1].isalpha() and "!" <= low[-1] <= "~":
-            return self._piece(low[:-1]) + self._piece(low[-1])
+        if word.isascii():
+            # letters alone are one piece, remembered as the word they are
+            if low.isalpha():
+                return self._modelled(low) if low == word else self.known[low]
+            if low[:-1].isalpha() and "!" <= low[-1] <= "~":
+                return self.known[low[:-1]] + self._piece(low[-1])
         if _PLAIN.fullmatch(word):
             return b"".join(map(self._piece, _PLAIN_PIECES.findall(low)))
         return self._whole([word])[0]
