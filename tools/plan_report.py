@@ -34,11 +34,10 @@ def main():
                     f"{pushed[:160]} |")
     print("# Physical plan shapes\n")
     print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local mode, pre-AQE plan).\n")
-    print("Single-partition exchanges")
-    print("are global aggregates of one row or the per-bucket ranking summary.  Ranked")
-    print("marts show only the part after their eager writes.  Registered queries are")
-    print("lazy plans from the raw tables, so a mart with several aggregates (measures +")
-    print("distinct counts) repeats the stand-in scan and its spreading per aggregate; in")
+    print("Single-partition exchanges are global aggregates of one row, and offsets over one")
+    print("row per shuffle partition in the rankings.  Queries that rank or load run jobs when")
+    print("they are built and show only the part after their eager writes.  A mart with several")
+    print("aggregates (measures and distinct counts) repeats the stand-in scan per aggregate; in")
     print("the full build those aggregates read the stored staging table instead.\n")
     print("| Query | Shuffles | Single-partition | Broadcasts | Sort-merge joins "
           "| Python nodes | Pushed filters |")
