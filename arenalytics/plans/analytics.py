@@ -63,19 +63,31 @@ def champion_stats(dim_c: DataFrame, stg_p: DataFrame, as_of,
 
 def recent_games(stg_p: DataFrame, as_of) -> DataFrame:
     """Games per player loaded in the last 30 days before ``as_of``'s date."""
-    since = F.date_sub(as_of_date(as_of), C.RECENT_DAYS).cast("timestamp_ntz")
-    return (stg_p.filter(F.col("loaded_at") >= since)
+    return (stg_p.filter(is_recent(as_of))
                  .groupBy("puuid").agg(F.count(F.lit(1)).alias("games_last_30_days")))
 
 
-def player_performance(dim_s: DataFrame, stg_p: DataFrame, as_of,
+def is_recent(as_of) -> Column:
+    """Whether a row was loaded in the last 30 days before ``as_of``'s date."""
+    since = F.date_sub(as_of_date(as_of), C.RECENT_DAYS).cast("timestamp_ntz")
+    return F.col("loaded_at") >= since
+
+
+def player_performance(dim_s: DataFrame, stg_p: DataFrame | None, as_of,
                        buckets: int | None = None) -> DataFrame:
-    """Player report with deciles, skill tier and activity (28 columns)."""
-    p = dim_s.join(recent_games(stg_p, as_of), "puuid", "left")
-    ranked = add_rankings(p, [
-        RankSpec("kda_decile", "ntile", "avg_kda", tiebreak=("puuid",)),
-        RankSpec("winrate_decile", "ntile", "win_rate", tiebreak=("puuid",)),
-    ], ["puuid"], buckets)
+    """Player report with deciles, skill tier and activity (28 columns).
+
+    ``dim_s`` is ``marts.dim_summoners`` with the staged participants, or without
+    them ``marts.summoner_aggregates`` with ``is_recent``: then the percentile of
+    the skill tier is ranked here, beside the deciles."""
+    specs = [RankSpec("kda_decile", "ntile", "avg_kda", tiebreak=("puuid",)),
+             RankSpec("winrate_decile", "ntile", "win_rate", tiebreak=("puuid",))]
+    if stg_p is None:
+        p = dim_s
+        specs.append(RankSpec("kda_percentile", "percent_rank", "_kda_key"))
+    else:
+        p = dim_s.join(recent_games(stg_p, as_of), "puuid", "left")
+    ranked = add_rankings(p, specs, ["puuid"], buckets)
     days = F.datediff(as_of_date(as_of), F.to_date("last_game"))
     return ranked.select(
         "puuid", "summoner_name", "total_games",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exact import mean_double, rounded_mean, rounded_rate
@@ -174,9 +174,10 @@ SUMMONER_COLUMNS = [
     "last_game", "kda_percentile", "winrate_percentile"]
 
 
-def summoner_aggregates(stg_p: DataFrame) -> DataFrame:
+def summoner_aggregates(stg_p: DataFrame, recent: Column | None = None) -> DataFrame:
     """Per-player aggregates plus the two unrounded ordering keys of the
-    percentiles (``_kda_key``, ``_wr_key``: exact sums, one division).
+    percentiles (``_kda_key``, ``_wr_key``: exact sums, one division); with
+    ``recent`` also ``games_last_30_days``, the number of rows it marks.
 
     Three narrow aggregates, joined per player:
 
@@ -212,6 +213,7 @@ def summoner_aggregates(stg_p: DataFrame) -> DataFrame:
         mean_double("kda", in_scale=2).alias("_kda_key"),
         (F.count_if(F.col("win")).cast("double") / F.count(F.lit(1))).alias("_wr_key"),
         mode_of_domain("standardized_role", STANDARD_ROLES).alias("preferred_role"),
+        *([] if recent is None else [F.count_if(recent).alias("games_last_30_days")]),
     )
     per_champ = ek.on(stg_p, "champion_name", "summoner_name").groupBy(
         *ek.cols, "champion_name").agg(

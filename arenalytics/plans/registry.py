@@ -50,11 +50,9 @@ def oracle_types(df: DataFrame) -> DataFrame:
 class Models:
     """Lazily built model chain for one (session, sf_dir).
 
-    Each registered query is one lazy plan from the raw tables; the marts'
-    several reads of the staged participants are separate scans of it.  (The
-    full refresh, ``plans/build.py``, stores the staging table once and every
-    mart reads the stored copy; measured in-process at sf0.1, writing staging
-    per query did not pay for itself in local mode.)
+    Each query starts at the raw tables, and each aggregate of a mart is a scan
+    of its own columns.  The full refresh, ``plans/build.py``, stores the staging
+    table and every mart reads the stored copy.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, buckets: int | None = None):
@@ -84,8 +82,8 @@ class Models:
                                         AS_OF, buckets=self.buckets)
 
     def player_performance(self) -> DataFrame:
-        return analytics.player_performance(self.dim_summoners(), self.stg_participants,
-                                            AS_OF, buckets=self.buckets)
+        players = marts.summoner_aggregates(self.stg_participants, analytics.is_recent(AS_OF))
+        return analytics.player_performance(players, None, AS_OF, buckets=self.buckets)
 
 
 def _q(build: Callable[[Models], DataFrame], **model_opts):

@@ -116,6 +116,9 @@ def test_player_performance_recent_and_days(spark):
              participant(3, "m3", puuid="b", loaded_at=t[2])]
     _, sp = _stg(spark, parts, [match("m1"), match("m2"), match("m3")])
     pp = analytics.player_performance(marts.dim_summoners(sp), sp, AS_OF)
+    players = marts.summoner_aggregates(sp, analytics.is_recent(AS_OF))
+    in_one = analytics.player_performance(players, None, AS_OF)
+    assert sorted(pp.collect()) == sorted(in_one.collect())
     out = {r.puuid: r for r in pp.collect()}
     assert out["a"].recent_games == 1 and out["b"].recent_games == 0
     assert out["a"].days_since_last_game == 9 and out["a"].activity_status == "Occasional"
