@@ -47,7 +47,8 @@ _SPLIT = byte_table(*[ord(c) for c in ".,;:!?"], range(0x0A, 0x0E))      # False
 _WORD = _SPLIT & byte_table(0x20, 0x09)
 
 WIDEN = 4                       # growth of the frontier from round to round
-HELD = 3 << 20                  # n-grams a task holds before it sends them on
+HELD = 1 << 19                  # n-grams a task holds before it sends them on: summing them takes several times their bytes
+SLICE = 1 << 18                 # bytes of text hashed at a time
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -68,7 +69,7 @@ def _words(batch: pa.RecordBatch) -> Iterator[tuple]:
     seeds = np.array([_lang_hash(x) for x in names], np.uint64)
     of = langs.indices.to_numpy(zero_copy_only=False)
     data, off = texts_of(batch.column("text"))
-    for i, j in slices(off):
+    for i, j in slices(off, SLICE):
         b, o = data[off[i]:off[j]], off[i:j + 1] - off[i]
         starts, ends, text = runs(b, o, _WORD)
         if not len(starts):

@@ -73,3 +73,4 @@ class Held:
             self._sum()
             yield from self.parts[0].to_batches(max_chunksize=1 << 16)
         self.parts, self.rows = [], 0
+        pa.default_memory_pool().release_unused()      # workers live on between tasks

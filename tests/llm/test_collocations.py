@@ -105,3 +105,30 @@ def test_empty_and_clashing_columns(spark):
 def test_score_is_exact_past_64_bits(spark, a, left, right):
     df = spark.createDataFrame([(a, left, right)], "a long, l long, r long")
     assert df.select(collocations.score("a", "l", "r")).first()[0] == 1000000 * a * a // (left * right)
+
+
+HELD_BYTES = """
+import resource, numpy as np, pyarrow as pa
+from arenalytics.llm import collocations as C
+rng = np.random.default_rng(1)
+words = np.array([f"w{i}" for i in range(30000)])
+texts = [" ".join(words[rng.integers(0, 30000, 200)].tolist()) for _ in range(20000)]
+batches = [pa.RecordBatch.from_arrays([pa.array(["en"] * 1000), pa.array(texts[i:i + 1000])], names=["lang", "text"])
+           for i in range(0, len(texts), 1000)]
+count = C._counter(["h1", "h2"], lambda x, y: np.ones(len(x), bool))
+top = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10
+sum(len(b) for b in count(iter(batches[:1])))
+before = top()
+sum(len(b) for b in count(iter(batches)))
+print(top() - before)
+"""
+
+
+def test_counting_ngrams_fits_a_small_worker():
+    """Two tasks of an executor of 3000 MB count at once, beside 60 % of heap."""
+    import subprocess
+    import sys
+    from pathlib import Path
+    out = subprocess.run([sys.executable, "-c", HELD_BYTES], capture_output=True, text=True, check=True,
+                         cwd=Path(__file__).parents[2])
+    assert int(out.stdout) < 250
