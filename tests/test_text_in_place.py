@@ -78,3 +78,36 @@ def test_landing_is_packed_and_whole(spark, tmp_dir, monkeypatch):
     assert ids == {"b1": ["1", "2"], "b2a": ["2", "3", "4"], "b2b": ["3", "4"]}
     again = spark.read.text(f"{tmp_dir}/landing/*")
     assert again.columns == ["value"] and again.count() == 7
+
+
+def test_a_load_leaves_only_its_sink(spark, tmp_dir, monkeypatch):
+    """Scratch tables of a batch go when it is committed, or when it fails."""
+    import os
+
+    import pytest
+
+    from arenalytics.session import ensure_checkpoint_dir
+    from test_ingest import _batch1, _write
+
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    _write(f"{tmp_dir}/b1", _batch1())
+    ingest.ingest_batch(spark, f"{tmp_dir}/b1", f"{tmp_dir}/sink", 1, DAY)
+    assert set(os.listdir(root)) == before
+
+    def fails(*_):
+        raise RuntimeError("no room")
+
+    monkeypatch.setattr(ingest, "commit_matches", fails)
+    with pytest.raises(RuntimeError, match="no room"):
+        ingest.ingest_batch(spark, f"{tmp_dir}/b1", f"{tmp_dir}/sink", 2, DAY)
+    assert set(os.listdir(root)) == before
+
+
+def test_stand_in_landing_goes_when_it_is_loaded(spark, tmp_dir, monkeypatch):
+    import os
+    names = dict(zip(("orders", "lineitem", "part"), tables(spark)))
+    monkeypatch.setattr(ingest, "read_table", lambda _spark, _dir, name: names[name])
+    sink = ingest.run_two_batches(spark, "", tmp_dir)
+    assert os.listdir(tmp_dir) == ["sink"]
+    assert sorted(r.match_id for r in ingest.read_sink(spark, sink, "matches").collect()) == ["1", "2", "3", "4"]
