@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from ..functions.timeutil import ntz_literal
 from ..operators import load as L
 from ..operators.topn import latest_listed
-from ..session import materialize
+from ..session import materialize, scratch_scope
 from ..sources.adapter import raw_matches_from_orders
 from ..sources.documents import responses_from_tables
 from ..sources.lookups import DEFAULT_QUEUE_ID, MATCHES_PER_RUN
@@ -77,44 +78,49 @@ def plan_requests(players: DataFrame, listings: DataFrame, n: int = MATCHES_PER_
 
 
 def load_listed(spark: SparkSession, tracked: DataFrame, accounts: DataFrame, answered: DataFrame,
-                listings: DataFrame, responses: DataFrame, sink: str, batch_id: int,
+                listings: DataFrame, responses: DataFrame | Callable[[DataFrame], DataFrame],
+                sink: str, batch_id: int,
                 loaded_at: dt.datetime, n: int = MATCHES_PER_RUN,
                 queue_id: int | None = DEFAULT_QUEUE_ID, run_id: str = LISTING_RUN) -> DataFrame:
     """One run; returns its statistics row.  ``responses``: (match_id, value),
-    the landed answer of each match asked for; of several the smallest text."""
+    the landed answer of each match asked for; of several the smallest text.  Or
+    a function that gives them for the ids (``match_id``) to ask for."""
     paths = sink_paths(sink) | {t: os.path.join(sink, t) for t in ("player_errors", "outcomes", "listing_stats")}
     loaded = ntz_literal(loaded_at)
 
     def write(df: DataFrame, table: str) -> None:
         _write_partition(df, paths[table], run_id, batch_id)
 
-    players = materialize(look_up(tracked, accounts, answered), "listing-players")
-    requests = materialize(plan_requests(players, listings, n, queue_id), "listing-requests")
-    requests = materialize(L.tag_existing(requests, loaded_match_ids(spark, sink, run_id, batch_id)),
-                           "listing-requests")
-    asked = requests.filter(~F.col("_exists")).select("match_id", "copies")
-    answers = responses.join(asked.select("match_id"), "match_id", "left_semi") \
-        .groupBy("match_id").agg(F.min("value").alias("value"))
-    parsed = parse_once(answers, "match_id")
-    new = parsed.filter("status is null")
-
-    status = parsed.select("match_id", "status", F.size("players").alias("players"))
-    fate = (F.when(F.col("_exists"), SKIPPED)
-            .when(F.col("players").isNull() & F.col("status").isNull(), MISSING)
-            .when(F.col("status") == L.EMPTY, MISSING).when(F.col("status") == L.ERROR, L.ERROR)
-            .otherwise(L.INSERTED))
-    outcomes = materialize(requests.join(status, "match_id", "left").select(
-        "match_id", "copies", fate.alias("outcome"),
-        F.when(fate == L.INSERTED, F.col("players")).alias("participants")), "listing-outcomes")
-
-    write(L.explode_participants(new, loaded), "participants")
-    write(parsed.filter(F.col("status") == L.ERROR).select(
-        "match_id", F.col("value").alias("document"), loaded.alias("loaded_at")), "quarantine")
-    write(players.filter(F.col("outcome") != PROCESSED).select(
-        "name", "tag", "entries", F.col("outcome").alias("error")), "player_errors")
-    write(outcomes, "outcomes")
-    write(listing_statistics(players, outcomes), "listing_stats")
-    commit_matches(L.flatten_match(new, loaded), sink, run_id, batch_id)
+    with scratch_scope(spark, "listing-run"):
+        players = materialize(look_up(tracked, accounts, answered), "listing-players")
+        requests = materialize(plan_requests(players, listings, n, queue_id), "listing-requests")
+        requests = materialize(L.tag_existing(requests, loaded_match_ids(spark, sink, run_id, batch_id)),
+                               "listing-requests")
+        asked = requests.filter(~F.col("_exists")).select("match_id", "copies")
+        ids = asked.select("match_id")
+        landed = responses if isinstance(responses, DataFrame) else responses(ids)
+        answers = landed.join(ids, "match_id", "left_semi") \
+            .groupBy("match_id").agg(F.min("value").alias("value"))
+        parsed = parse_once(answers, "match_id")
+        new = parsed.filter("status is null")
+
+        status = parsed.select("match_id", "status", F.size("players").alias("players"))
+        fate = (F.when(F.col("_exists"), SKIPPED)
+                .when(F.col("players").isNull() & F.col("status").isNull(), MISSING)
+                .when(F.col("status") == L.EMPTY, MISSING).when(F.col("status") == L.ERROR, L.ERROR)
+                .otherwise(L.INSERTED))
+        outcomes = materialize(requests.join(status, "match_id", "left").select(
+            "match_id", "copies", fate.alias("outcome"),
+            F.when(fate == L.INSERTED, F.col("players")).alias("participants")), "listing-outcomes")
+
+        write(L.explode_participants(new, loaded), "participants")
+        write(parsed.filter(F.col("status") == L.ERROR).select(
+            "match_id", F.col("value").alias("document"), loaded.alias("loaded_at")), "quarantine")
+        write(players.filter(F.col("outcome") != PROCESSED).select(
+            "name", "tag", "entries", F.col("outcome").alias("error")), "player_errors")
+        write(outcomes, "outcomes")
+        write(listing_statistics(players, outcomes), "listing_stats")
+        commit_matches(L.flatten_match(new, loaded), sink, run_id, batch_id)
     return spark.read.parquet(paths["listing_stats"]).filter(
         (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)).select(
         "batch_id", *COUNTERS, *MORE_COUNTERS)
@@ -176,8 +182,8 @@ def stand_in_services(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "answered": c.filter(key % 7 != 0).select(key.cast("string").alias("puuid")),
         "listings": listed.select("puuid", F.col("o_orderkey").cast("string").alias("match_id"))
                           .join(matches, "match_id"),
-        "responses": responses_from_tables(orders, read_table(spark, sf_dir, "lineitem"),
-                                           read_table(spark, sf_dir, "part"))}
+        "responses": lambda asked: responses_from_tables(orders, read_table(spark, sf_dir, "lineitem"),
+                                                         read_table(spark, sf_dir, "part"), asked)}
 
 
 def run_two_listings(spark: SparkSession, sf_dir: str, sink: str) -> str:

@@ -73,3 +73,37 @@ def test_all_queues_without_a_queue(spark, tmp_dir):
     assert s["matches_found"] == 9                       # the cap of three still holds
     fate = {r.match_id for r in spark.read.parquet(f"{tmp_dir}/sink/outcomes").collect()}
     assert "other queue" in fate and "C" not in fate
+
+
+def test_only_the_matches_to_ask_for_are_answered(spark, tmp_dir):
+    seen = []
+
+    def answer(asked):
+        seen.append(sorted(r.match_id for r in asked.collect()))
+        return spark.createDataFrame(RESPONSES, "match_id string, value string")
+
+    sink = f"{tmp_dir}/sink"
+    asking = services(spark, [], LISTINGS) | {"responses": answer}
+    for batch in (1, 2):
+        listing.load_listed(spark, **asking, sink=sink, batch_id=batch, loaded_at=LOADED, n=3)
+    assert seen == [["A", "B", "C", "D", "E"], ["B", "C", "D", "E"]]
+    fate = {r.match_id: r.outcome for r in spark.read.parquet(f"{sink}/outcomes").filter("batch_id = 1").collect()}
+    assert fate == {"A": "inserted", "B": "missing", "C": "missing", "D": "error", "E": "error"}
+
+
+def test_stand_in_answers_are_built_for_the_asked_only(spark):
+    """The same rows as building all answers and choosing after, whatever the
+    ids: unknown ones, no numbers, null, repeated orders, orders without lines."""
+    from pyspark.sql import functions as F
+
+    from arenalytics.sources.documents import responses_from_tables
+    from test_text_in_place import tables
+
+    orders, lines, part = tables(spark)
+    orders = orders.union(orders.filter("o_orderkey = 2")).union(
+        orders.limit(1).withColumn("o_orderkey", F.lit(None).cast("long")))
+    asked = spark.createDataFrame([("2",), ("4",), ("02",), ("99",), ("x",), (None,)], "match_id string")
+    every = responses_from_tables(orders, lines, part).join(asked, "match_id", "left_semi")
+    some = responses_from_tables(orders, lines, part, asked)
+    assert sorted(some.collect()) == sorted(every.collect())
+    assert len(some.collect()) == 3
