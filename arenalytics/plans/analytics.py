@@ -11,6 +11,7 @@ from ..functions import classify as C
 from ..functions.exact import round_ratio, unscaled
 from ..functions.timeutil import date_literal, ntz_literal
 from ..operators.ranking import RankSpec, add_rankings
+from ..session import materialize
 
 CHAMPION_STATS_COLUMNS = [
     "champion_name", "champion_id", "total_games", "pick_rate", "win_rate",
@@ -45,11 +46,19 @@ def total_matches(stg_p: DataFrame) -> Column:
     return stg_p.agg(F.countDistinct("match_id").alias("total_matches")).scalar()
 
 
-def champion_stats(dim_c: DataFrame, stg_p: DataFrame, as_of,
+def champion_stats(dim_c: DataFrame, stg_p: DataFrame | None, as_of,
                    buckets: int | None = None) -> DataFrame:
-    """Ranked champion table with pick rate and tier (23 columns)."""
-    c = dim_c.withColumn(
-        "pick_rate", round_ratio(F.col("total_games") * 100, total_matches(stg_p), 2))
+    """Ranked champion table with pick rate and tier (23 columns).
+
+    ``dim_c`` is ``marts.dim_champions`` with the staged participants, or without
+    them that of dealt participants: then its marks hold the number of matches,
+    which is summed over the champions, written once for it."""
+    if stg_p is None:
+        dim_c = materialize(dim_c, "champions")
+        matches = dim_c.agg(F.coalesce(F.sum("_first_of_match"), F.lit(0))).scalar()
+    else:
+        matches = total_matches(stg_p)
+    c = dim_c.withColumn("pick_rate", round_ratio(F.col("total_games") * 100, matches, 2))
     ranked = add_rankings(c, [
         RankSpec("winrate_rank", "rank", "win_rate", descending=True),
         RankSpec("popularity_rank", "rank", "total_games", descending=True),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exact import mean_double, rounded_mean, rounded_rate
@@ -76,6 +76,22 @@ def distinct_count(df: DataFrame, keys: list[str], value: str, alias: str,
                 .groupBy(*ek.cols).agg(F.count(F.lit(1)).alias(alias)))
 
 
+def mark_first_of_match(stg_p: DataFrame, keys: list[str]) -> DataFrame:
+    """``stg_p`` with two marks: ``_first_of_match`` on one row of every match and
+    ``_first_of_key`` on one row of every (match, key).  A conditional count of
+    the marks is the distinct count of matches, in the same aggregate as the
+    other measures; for participants that are dealt by match this moves nothing.
+    Rows without a match are not marked (a distinct count leaves NULL out)."""
+    key = F.struct(*keys)
+    w = Window.partitionBy("match_id").orderBy(*keys)
+    at, before = F.row_number().over(w), F.lag(key).over(w)
+    known = F.col("match_id").isNotNull()
+    return (stg_p.withColumns({"_at": at, "_before": before})
+            .withColumn("_first_of_match", known & (F.col("_at") == 1))
+            .withColumn("_first_of_key", known & ((F.col("_at") == 1) | ~key.eqNullSafe(F.col("_before"))))
+            .drop("_at", "_before"))
+
+
 def fact_matches(stg_m: DataFrame, stg_p: DataFrame) -> DataFrame:
     """stg_matches ⟕ stg_participants, grouped per match (18 columns).
 
@@ -126,7 +142,7 @@ CHAMPION_COLUMNS = [
     "unique_players"]
 
 
-def dim_champions(stg_p: DataFrame) -> DataFrame:
+def dim_champions(stg_p: DataFrame, dealt: bool = False) -> DataFrame:
     """Per (champion_name, champion_id) statistics (20 columns).
 
     The measures are one hash aggregate combined map-side (a popular champion
@@ -135,9 +151,14 @@ def dim_champions(stg_p: DataFrame) -> DataFrame:
     two exact distinct counts are separate (champion, value) aggregates — a
     champion is a hot key by nature, and these shuffle on the pair.  All three
     share the encoded champion key, so joining them adds no shuffle.
+
+    With ``dealt`` (participants already dealt by match) matches are counted by
+    marks beside the measures, and a 21st column ``_first_of_match`` holds the
+    matches a champion is the first one of: its sum is the number of matches.
     """
     ek = EntityKeys(stg_p, CHAMPION_KEYS)
-    base = ek.on(stg_p).groupBy(*ek.cols).agg(
+    marked = mark_first_of_match(stg_p, CHAMPION_KEYS) if dealt else stg_p
+    base = ek.on(marked).groupBy(*ek.cols).agg(
         F.count(F.lit(1)).alias("total_games"),
         F.sum(F.when(F.col("win"), 1).otherwise(0)).alias("total_wins"),
         rounded_rate("win").alias("win_rate"),
@@ -154,15 +175,17 @@ def dim_champions(stg_p: DataFrame) -> DataFrame:
         F.min("loaded_at").alias("first_seen"),
         F.max("loaded_at").alias("last_seen"),
         mode_of_domain("standardized_role", STANDARD_ROLES).alias("most_played_role"),
+        *([F.count_if("_first_of_key").alias("total_matches"),
+           F.count_if("_first_of_match").alias("_first_of_match")] if dealt else []),
     )
-    out = (base.join(distinct_count(stg_p, CHAMPION_KEYS, "match_id", "total_matches", ek),
-                     ek.cols, "left")
-               .join(distinct_count(stg_p, CHAMPION_KEYS, "puuid", "unique_players", ek),
-                     ek.cols, "left"))
+    if not dealt:
+        base = base.join(distinct_count(stg_p, CHAMPION_KEYS, "match_id", "total_matches", ek), ek.cols, "left")
+    out = base.join(distinct_count(stg_p, CHAMPION_KEYS, "puuid", "unique_players", ek), ek.cols, "left")
     out = out.select(*ek.decoded(), *[c for c in out.columns if c not in ek.cols])
     return out.select(
         *[F.coalesce(c, F.lit(0)).alias(c) if c in ("total_matches", "unique_players")
-          else F.col(c) for c in CHAMPION_COLUMNS])
+          else F.col(c) for c in CHAMPION_COLUMNS],
+        *(["_first_of_match"] if dealt else []))
 
 
 SUMMONER_COLUMNS = [
@@ -174,7 +197,7 @@ SUMMONER_COLUMNS = [
     "last_game", "kda_percentile", "winrate_percentile"]
 
 
-def summoner_aggregates(stg_p: DataFrame, recent: Column | None = None) -> DataFrame:
+def summoner_aggregates(stg_p: DataFrame, recent: Column | None = None, dealt: bool = False) -> DataFrame:
     """Per-player aggregates plus the two unrounded ordering keys of the
     percentiles (``_kda_key``, ``_wr_key``: exact sums, one division); with
     ``recent`` also ``games_last_30_days``, the number of rows it marks.
@@ -190,10 +213,13 @@ def summoner_aggregates(stg_p: DataFrame, recent: Column | None = None) -> DataF
     Both distinct counts therefore shuffle on (player, value) first, which
     spreads a heavy player over many tasks, and never drag the measure
     buffers through a row-multiplying Expand.  All three are keyed by the
-    encoded player key, so joining them adds no shuffle.
+    encoded player key, so joining them adds no shuffle.  With ``dealt``
+    (participants already dealt by match) the matches are counted by marks
+    beside the measures instead.
     """
     ek = EntityKeys(stg_p, ["puuid"])
-    base = ek.on(stg_p).groupBy(*ek.cols).agg(
+    marked = mark_first_of_match(stg_p, ["puuid"]) if dealt else stg_p
+    base = ek.on(marked).groupBy(*ek.cols).agg(
         F.count(F.lit(1)).alias("total_games"),
         F.sum(F.when(F.col("win"), 1).otherwise(0)).alias("total_wins"),
         rounded_rate("win").alias("win_rate"),
@@ -214,6 +240,7 @@ def summoner_aggregates(stg_p: DataFrame, recent: Column | None = None) -> DataF
         (F.count_if(F.col("win")).cast("double") / F.count(F.lit(1))).alias("_wr_key"),
         mode_of_domain("standardized_role", STANDARD_ROLES).alias("preferred_role"),
         *([] if recent is None else [F.count_if(recent).alias("games_last_30_days")]),
+        *([F.count_if("_first_of_key").alias("total_matches")] if dealt else []),
     )
     per_champ = ek.on(stg_p, "champion_name", "summoner_name").groupBy(
         *ek.cols, "champion_name").agg(
@@ -224,15 +251,16 @@ def summoner_aggregates(stg_p: DataFrame, recent: Column | None = None) -> DataF
         F.min_by(F.col("champion_name"),
                  F.struct(F.col("champion_name").isNull(), -F.col("_n"),
                           F.col("champion_name"))).alias("most_played_champion"))
-    matches = distinct_count(stg_p, ["puuid"], "match_id", "total_matches", ek)
-    out = base.join(champs, ek.cols, "left").join(matches, ek.cols, "left")
+    out = base.join(champs, ek.cols, "left")
+    if not dealt:
+        out = out.join(distinct_count(stg_p, ["puuid"], "match_id", "total_matches", ek), ek.cols, "left")
     out = out.select(*ek.decoded(), *[c for c in out.columns if c not in ek.cols])
     return out.withColumn("total_matches", F.coalesce("total_matches", F.lit(0)))
 
 
-def dim_summoners(stg_p: DataFrame, buckets: int | None = None) -> DataFrame:
+def dim_summoners(stg_p: DataFrame, buckets: int | None = None, dealt: bool = False) -> DataFrame:
     """Per-player profile with KDA and win-rate percentiles (24 columns)."""
-    agg = summoner_aggregates(stg_p)
+    agg = summoner_aggregates(stg_p, dealt=dealt)
     ranked = add_rankings(agg, [
         RankSpec("kda_percentile", "percent_rank", "_kda_key"),
         RankSpec("winrate_percentile", "percent_rank", "_wr_key"),
