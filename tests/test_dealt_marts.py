@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from arenalytics.plans import analytics, marts
 from arenalytics.plans.registry import Models
+from arenalytics.sources.adapter import raw_participants_from_lines
 
 from helpers import match, matches_df, participant, participants_df
-from test_text_in_place import tables
+from test_text_in_place import plan, tables, without_broadcasts
 
 AS_OF = dt.date(2024, 4, 1)
 
@@ -61,3 +62,20 @@ def test_few_orders_are_dealt_as_many_are(models):
 def test_pick_rate_is_of_all_matches(models):
     assert [r.pick_rate for r in models.champion_stats().select(F.col("pick_rate").cast("double").alias("pick_rate"))
             .collect()] == [200.0]
+
+
+def test_packed_lines_give_the_same_participants(spark):
+    orders, lines, part = tables(spark)
+    at_noon, before = dt.datetime(1999, 5, 1, 12, 30), dt.datetime(1960, 2, 3)
+    odd = [(1, 5, 6, 7, 3.9, 1e6, 0.1, "N", "O", at_noon), (1, 5, None, 1, 255.0, 1048575.0, 2.55, "R", "F", before),
+           (2, 5, 6, 15, 256.0, 5e8, 9.0, None, None, None), (2, 5, 39999, 3, -4.0, -1.5, -0.5, "A", "O", at_noon.date()),
+           (3, 5, 6, None, None, None, None, "NN", "O", dt.datetime(2150, 1, 1)), (3, None, 6, 2, 1.0, 1.0, 0.0, "A", "O", None),
+           (None, 5, 6, 2, 1.0, 1.0, 0.0, "A", "O", None), (4, 5, 6, 16, 0.0, 0.0, 0.0, "", "F", dt.datetime(1970, 1, 1))]
+    odd = [(*r[:-1], dt.datetime.combine(r[-1], dt.time()) if type(r[-1]) is dt.date else r[-1]) for r in odd]
+    lines = lines.union(spark.createDataFrame(odd + odd[:2], lines.schema))
+    whole, packed = (raw_participants_from_lines(lines, orders, part, packed=x) for x in (False, True))
+    assert whole.schema == packed.schema and whole.count() == 14
+    assert sorted_rows(packed) == sorted_rows(whole)
+    # one long in place of seven columns on the way to the matches
+    moved = [x for x in without_broadcasts(spark, lambda: packed.drop("id")).splitlines() if "hashpartitioning(_match" in x]
+    assert len(moved) == 1 and "_word" in plan(packed)
