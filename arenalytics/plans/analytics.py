@@ -42,7 +42,10 @@ def as_of_date(as_of: dt.datetime | dt.date) -> Column:
 
 def total_matches(stg_p: DataFrame) -> Column:
     """``SELECT COUNT(DISTINCT match_id)`` over all participants, as a scalar
-    subquery (two-phase distinct aggregate, evaluated once)."""
+    subquery (two-phase distinct aggregate, evaluated once; a count of the marks
+    where they are stored)."""
+    if "_first_of_match" in stg_p.columns:
+        return stg_p.agg(F.count_if("_first_of_match").alias("total_matches")).scalar()
     return stg_p.agg(F.countDistinct("match_id").alias("total_matches")).scalar()
 
 

@@ -37,10 +37,13 @@ def build_all(spark: SparkSession, raw_matches: DataFrame, raw_participants: Dat
     # reads (e.g. the project's start-date variable) skip files and row groups
     # by their statistics, without a folder per day
     sm = put("stg_matches", staging.stg_matches(raw_matches), by_date=True)
-    sp = put("stg_participants", staging.stg_participants(raw_participants, sm))
+    # participants are stored with marks (``_first_of_...``), taken while they are
+    # dealt by match: every distinct count over matches reads them in place
+    sp = put("stg_participants", marts.with_match_marks(
+        staging.stg_participants(raw_participants, sm.hint("merge"))))
     put("fact_matches", marts.fact_matches(sm, sp), by_date=True)
-    dc = put("dim_champions", marts.dim_champions(sp))
-    ds = put("dim_summoners", marts.dim_summoners(sp))
+    dc = put("dim_champions", marts.dim_champions(sp, dealt=True).drop("_first_of_match"))
+    ds = put("dim_summoners", marts.dim_summoners(sp, dealt=True))
     # the two reports are stored ordered by games played (a distributed range
     # sort; readers scanning the files in order see the report order)
     by_games = [F.col("total_games").desc(), F.col("champion_name").asc()]

@@ -81,7 +81,10 @@ def mark_first_of_match(stg_p: DataFrame, keys: list[str]) -> DataFrame:
     ``_first_of_key`` on one row of every (match, key).  A conditional count of
     the marks is the distinct count of matches, in the same aggregate as the
     other measures; for participants that are dealt by match this moves nothing.
-    Rows without a match are not marked (a distinct count leaves NULL out)."""
+    Rows without a match are not marked (a distinct count leaves NULL out).
+    Marks that ``with_match_marks`` stored are taken as they are."""
+    if mark_name(keys) in stg_p.columns:
+        return stg_p.withColumn("_first_of_key", F.col(mark_name(keys)))
     key = F.struct(*keys)
     w = Window.partitionBy("match_id").orderBy(*keys)
     at, before = F.row_number().over(w), F.lag(key).over(w)
@@ -92,13 +95,35 @@ def mark_first_of_match(stg_p: DataFrame, keys: list[str]) -> DataFrame:
             .drop("_at", "_before"))
 
 
+def mark_name(keys: list[str]) -> str:
+    return "_first_of_" + "_".join(keys)
+
+
+def with_match_marks(stg_p: DataFrame) -> DataFrame:
+    """``stg_p`` with the marks of the marts, to be stored with the participants:
+    on one row of every match, (match, champion name), (match, champion) and
+    (match, player).  Once stored the rows are no longer dealt by match; with the
+    marks no distinct count of a mart has to move them again."""
+    known = F.col("match_id").isNotNull()
+    for order, groups in ((CHAMPION_KEYS, [[], CHAMPION_KEYS[:1], CHAMPION_KEYS]), (["puuid"], [["puuid"]])):
+        w = Window.partitionBy("match_id").orderBy(*order)
+        before = {k: f"_before_{k}" for k in order}
+        stg_p = stg_p.withColumns({"_at": F.row_number().over(w)} | {b: F.lag(k).over(w) for k, b in before.items()})
+        for keys in groups:
+            new = reduce(lambda a, b: a | b, [~F.col(k).eqNullSafe(F.col(before[k])) for k in keys], F.col("_at") == 1)
+            stg_p = stg_p.withColumn(mark_name(keys or ["match"]), known & new)
+        stg_p = stg_p.drop("_at", *before.values())
+    return stg_p
+
+
 def fact_matches(stg_m: DataFrame, stg_p: DataFrame) -> DataFrame:
     """stg_matches ⟕ stg_participants, grouped per match (18 columns).
 
     Aggregate first, join second: participants are reduced to one row per
     match (map-side combined, so even a match holding a huge share of the rows
     collapses before the shuffle) and the distinct champions per match come
-    from distinct (match, champion) pairs.  The left join then pairs one match
+    from stored marks in the same aggregate, or without them from distinct
+    (match, champion) pairs.  The left join then pairs one match
     row with at most one aggregate row on each side — no skewed join input.
     Semantics of the grouped left join are kept: a match without players has
     total_players 1 (COUNT(*) counts the NULL-extended row), wins 0, distinct
@@ -110,6 +135,8 @@ def fact_matches(stg_m: DataFrame, stg_p: DataFrame) -> DataFrame:
     def mean(c):
         return (F.sum(c).cast("double") / F.count(c)).alias(f"avg_{c}")
 
+    marked = mark_name(["champion_name"])
+    stored = marked in stg_p.columns
     per_match = stg_p.groupBy("match_id").agg(
         mean("kills"), mean("deaths"), mean("assists"),
         F.sum("total_cs").alias("total_cs"),
@@ -117,11 +144,11 @@ def fact_matches(stg_m: DataFrame, stg_p: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_players"),
         wins("Blue").alias("_blue"),
         wins("Red").alias("_red"),
+        *([F.count_if(F.col(marked) & F.col("champion_name").isNotNull()).alias("_champs")] if stored else []),
     )
-    champs = distinct_count(stg_p, ["match_id"], "champion_name", "_champs")
-    j = (stg_m.select(*MATCH_KEYS)
-              .join(per_match, "match_id", "left")
-              .join(champs, "match_id", "left"))
+    j = stg_m.select(*MATCH_KEYS).join(per_match, "match_id", "left")
+    if not stored:
+        j = j.join(distinct_count(stg_p, ["match_id"], "champion_name", "_champs"), "match_id", "left")
     return j.select(
         "match_id", "game_datetime", "game_date", "duration_minutes",
         "game_length_category", "queue_type", "game_version", "region",
@@ -152,8 +179,8 @@ def dim_champions(stg_p: DataFrame, dealt: bool = False) -> DataFrame:
     champion is a hot key by nature, and these shuffle on the pair.  All three
     share the encoded champion key, so joining them adds no shuffle.
 
-    With ``dealt`` (participants already dealt by match) matches are counted by
-    marks beside the measures, and a 21st column ``_first_of_match`` holds the
+    With ``dealt`` (participants already dealt by match, or stored with their
+    marks) matches are counted by marks beside the measures, and a 21st column ``_first_of_match`` holds the
     matches a champion is the first one of: its sum is the number of matches.
     """
     ek = EntityKeys(stg_p, CHAMPION_KEYS)
@@ -214,8 +241,8 @@ def summoner_aggregates(stg_p: DataFrame, recent: Column | None = None, dealt: b
     spreads a heavy player over many tasks, and never drag the measure
     buffers through a row-multiplying Expand.  All three are keyed by the
     encoded player key, so joining them adds no shuffle.  With ``dealt``
-    (participants already dealt by match) the matches are counted by marks
-    beside the measures instead.
+    (participants already dealt by match, or stored with their marks) the
+    matches are counted by marks beside the measures instead.
     """
     ek = EntityKeys(stg_p, ["puuid"])
     marked = mark_first_of_match(stg_p, ["puuid"]) if dealt else stg_p

@@ -48,7 +48,8 @@ def stg_participants(participants: DataFrame, matches: DataFrame) -> DataFrame:
     Two projection layers: first the exact rounded values as scaled longs,
     then decimals and labels from those longs.  Each rounded value is
     computed once (the CS rating reads the rounded rate), and each layer's
-    generated code stays small enough for the JIT compiler.
+    generated code stays small enough for the JIT compiler.  18 digits hold any
+    of them, and are kept and stored as a long.
     """
     p = participants.filter(
         (F.col("kills") >= 0) & (F.col("deaths") >= 0) & (F.col("assists") >= 0)
@@ -90,18 +91,18 @@ def stg_participants(participants: DataFrame, matches: DataFrame) -> DataFrame:
         "kills",
         "deaths",
         "assists",
-        from_unscaled("_kda100", 2).alias("kda"),
+        from_unscaled("_kda100", 2, precision=18).alias("kda"),
         C.kda_rating("kills", "deaths", "assists").alias("kda_rating"),
         "gold_earned",
         F.col("total_damage_dealt").alias("damage_dealt"),
         F.col("total_damage_taken").alias("damage_taken"),
         F.col("cs").alias("total_cs"),
-        from_unscaled("_cs10", 1).alias("cs_per_min"),
+        from_unscaled("_cs10", 1, precision=18).alias("cs_per_min"),
         C.cs_rating("_cs10", scale=1).alias("cs_rating"),
         "vision_score",
-        from_unscaled("_vision10", 1).alias("vision_per_min"),
+        from_unscaled("_vision10", 1, precision=18).alias("vision_per_min"),
         "win",
-        from_unscaled("_gold_pm", 0).alias("gold_per_min"),
-        from_unscaled("_dpg100", 2).alias("damage_per_gold"),
+        from_unscaled("_gold_pm", 0, precision=18).alias("gold_per_min"),
+        from_unscaled("_dpg100", 2, precision=18).alias("damage_per_gold"),
         "loaded_at",
     )

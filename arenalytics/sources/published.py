@@ -56,10 +56,14 @@ class Published:
             raise RuntimeError(f"could not publish {version}")
 
     def read(self, table: str) -> DataFrame:
+        """A table of the version that holds, without the columns that a refresh
+        stores for itself (their names begin with an underscore)."""
         version = self.current()
         if version is None:
             raise LookupError(f"nothing is published below {self.root}")
-        return self.spark.read.parquet(os.path.join(version, table))
+        stored = self.spark.read.parquet(os.path.join(version, table))
+        own = [c for c in stored.columns if c.startswith("_")]
+        return stored.drop(*own) if own else stored
 
     def drop_old(self, keep: int = 2) -> list[str]:
         """Delete all but the last ``keep`` published versions, and versions that
